@@ -60,13 +60,15 @@ def fact_orders(
     etl_user: str,
     payment_policy: str = "all",
     dim_payment_method: DataFrame | None = None,
+    after_key: int = 0,
 ) -> DataFrame:
     """One row per order and payment (or per order, see ``payments_per_order``).
 
     The lookups are left joins on keys that are unique in the dimension, so Catalyst
     broadcasts a dimension whose measured size allows it and otherwise sorts and
     merges, and adaptive execution splits a busy user's or address's order rows.
-    With ``dim_payment_method`` the method's key is looked up as well.
+    With ``dim_payment_method`` the method's key is looked up as well. Keys start above
+    ``after_key``, the highest one of earlier batches.
     """
     rows = orders_with_payments(
         orders.select(
@@ -120,7 +122,7 @@ def fact_orders(
         "payment_id",
     )
     # The payment id makes the order total where an order has several payments.
-    numbered = dense_keys(shaped, ["order_id", "payment_id"], "order_key")
+    numbered = dense_keys(shaped, ["order_id", "payment_id"], "order_key", after_key)
     return numbered.select("order_key", *columns).withColumns(audit_columns(as_of, etl_user))
 
 
@@ -131,6 +133,7 @@ def fact_shipment_tracking(
     as_of: datetime,
     etl_user: str,
     dim_location: DataFrame | None = None,
+    after_key: int = 0,
 ) -> DataFrame:
     """One row per shipment and matching order fact, with the minutes since its estimated time.
 
@@ -162,5 +165,5 @@ def fact_shipment_tracking(
         "current_location",
         minutes_between(F.col("estimated_delivery_time"), moment(as_of)).alias("elapsed_time_minutes"),
     )
-    numbered = dense_keys(shaped, ["shipment_id", "order_key"], "tracking_key")
+    numbered = dense_keys(shaped, ["shipment_id", "order_key"], "tracking_key", after_key)
     return numbered.withColumns(audit_columns(as_of, etl_user))

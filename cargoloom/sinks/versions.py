@@ -1,7 +1,7 @@
 """Tables that are replaced as a whole without ever being half there.
 
-A new version is written to its own directory and then entered in a small log; readers
-take the newest entry. A run that dies before the log entry leaves the old version current.
+A new version is written to its own directory and then entered in the table's small log;
+readers take the newest entry. A run that dies before the log entry leaves the old version current.
 Old version directories stay until the file system's owner removes them.
 """
 
@@ -11,14 +11,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from cargoloom.functions.moments import batch_id
 from cargoloom.sinks.zones import write_parquet
 
-_LOG_SCHEMA = "table_name string, version string"
+_LOG_SCHEMA = "version string"
 
 
 @dataclass(frozen=True)
@@ -26,18 +26,18 @@ class VersionedTables:
     spark: SparkSession
     base_path: str
 
-    def _log_path(self) -> str:
-        return f"{self.base_path.rstrip('/')}/_versions_log"
+    def _log_path(self, table: str) -> str:
+        return f"{self.base_path.rstrip('/')}/{table}/log"
 
     def _path(self, table: str, version: str) -> str:
         return f"{self.base_path.rstrip('/')}/{table}/version_{version}"
 
     def current_version(self, table: str) -> str | None:
         try:
-            log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path())
+            log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path(table))
         except AnalysisException:
             return None
-        return log.filter(F.col("table_name") == table).agg(F.max("version")).first()[0]
+        return log.agg(F.max("version")).first()[0]
 
     def current(self, table: str) -> DataFrame | None:
         version = self.current_version(table)
@@ -49,8 +49,8 @@ class VersionedTables:
         if version == self.current_version(table):
             raise ValueError(f"{table} already has version {version}; the rows may be read from it")
         rows = write_parquet(df, self._path(table, version), "overwrite", partition_by)
-        entry = self.spark.createDataFrame([(table, version)], _LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(self._log_path())
+        entry = self.spark.createDataFrame([(version,)], _LOG_SCHEMA)
+        entry.coalesce(1).write.mode("append").parquet(self._log_path(table))
         return rows
 
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Below this many rows, read with that many partitions; else with the last number.
@@ -31,6 +32,12 @@ def partitions_for(
     return step if rows_per_partition is None else max(step, -(-rows // rows_per_partition))
 
 
+def partitions_column(rows: Column, ladder: Sequence[tuple[int, int]] = PARTITION_LADDER) -> Column:
+    """The ladder as a column, to list it next to the bounds of many tables."""
+    steps = [F.when(rows < limit, n) for limit, n in reversed(ladder)]
+    return reduce(lambda higher, step: step.otherwise(higher), steps, F.lit(PARTITIONS_ABOVE))
+
+
 def bounds(df: DataFrame, column: str) -> DataFrame:
     """Smallest and largest key and the row count, as one row."""
     return df.agg(
