@@ -7,7 +7,6 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from time import monotonic
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 from cargoloom.functions.text import trim_padding
@@ -22,7 +21,7 @@ Metric = tuple[str, str, str, float]
 def each(tasks: Sequence[Callable], max_concurrent: int = 4) -> list:
     """Submit some independent Spark jobs at the same time and wait for all."""
     with ThreadPoolExecutor(max_concurrent) as pool:
-        return [f.result() for f in [pool.submit(inheritable_thread_target(t)) for t in tasks]]
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
 def land(read: Reader, zones: Zones, spec: TableSpec, as_of: datetime) -> list[Metric]:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from time import monotonic
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +17,7 @@ from cargoloom.plans.facts import fact_orders, fact_shipment_tracking
 from cargoloom.plans.landing import Metric, Reader, each, land_all
 from cargoloom.plans.metrics import check_metrics, metric_rows, save_metrics, transform_metrics
 from cargoloom.plans.warehouse_schema import FOREIGN_KEYS, foreign_key_columns
+from cargoloom.session import path_exists
 from cargoloom.sinks.versions import VersionedTables
 from cargoloom.sinks.zones import Zones
 from cargoloom.sources.specs import LOGISTICS_TABLES, TableSpec
@@ -37,12 +37,9 @@ def load_dimension(tables: VersionedTables, df: DataFrame, table: str, key: str,
 
 def highest_key(zones: Zones, table: str, as_of: datetime) -> int:
     """The highest fact key of earlier batches, so that keys stay unique over the history."""
-    try:
-        history = zones.read("processed", table, merge_schema=False)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 0  # no batch yet
+    if not path_exists(zones.spark, zones.path("processed", table)):
+        return 0
+    history = zones.read("processed", table, merge_schema=False)
     earlier = history.filter(F.col("dl_batch_id") != batch_id(as_of))
     return earlier.agg(F.coalesce(F.max(FACT_KEYS[table]), F.lit(0))).first()[0]
 
@@ -64,37 +61,40 @@ def build_tables(
     raw = {n: zones.read("raw", n, merge_schema=False) for n in ("users", "drivers", "orders", "shipments", "payments")}
     metrics: list[Metric] = []
 
-    def save_dim(name: str, df: DataFrame) -> DataFrame:
+    def save_dim(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         started = monotonic()
-        rows = zones.load_processed(df, f"dim_{name}")
+        rows = zones.load_processed(build(), f"dim_{name}")
         metrics.extend(
             [("build", f"dim_{name}", "rows", rows), ("build", f"dim_{name}", "seconds", monotonic() - started)]
         )
         return zones.read("processed", f"dim_{name}", merge_schema=False)
 
     def build_users_and_drivers() -> dict[str, DataFrame]:
-        user = save_dim("user", dim_user(raw["users"], as_of, warehouse.current("dim_user")))
-        driver = save_dim("driver", dim_driver(raw["drivers"], user, as_of, warehouse.current("dim_driver")))
+        user = save_dim("user", lambda: dim_user(raw["users"], as_of, warehouse.current("dim_user")))
+        driver = save_dim(
+            "driver", lambda: dim_driver(raw["drivers"], user, as_of, warehouse.current("dim_driver"))
+        )
         return {"user": user, "driver": driver}
 
-    built = each(
-        [
-            lambda: {"date": save_dim("date", dim_date_covering(dates_of(raw), "day"))},
-            build_users_and_drivers,
-            lambda: {"location": save_dim("location", dim_location(raw["orders"], as_of, warehouse.current("dim_location")))},
-        ]
-    )
+    def build_dates() -> dict[str, DataFrame]:
+        return {"date": save_dim("date", lambda: dim_date_covering(dates_of(raw), "day"))}
+
+    def build_locations() -> dict[str, DataFrame]:
+        known = warehouse.current("dim_location")
+        return {"location": save_dim("location", lambda: dim_location(raw["orders"], as_of, known))}
+
+    built = each([build_dates, build_users_and_drivers, build_locations])
     dims = {name: df for part in built for name, df in part.items()}
 
-    def save_fact(table: str, df: DataFrame) -> DataFrame:
+    def save_fact(table: str, build: Callable[[], DataFrame]) -> DataFrame:
         started = monotonic()
-        rows = zones.load_batch(df, table, as_of)
+        rows = zones.load_batch(build(), table, as_of)
         metrics.extend([("build", table, "rows", rows), ("build", table, "seconds", monotonic() - started)])
         return batch_of(zones, table, as_of)
 
     orders = save_fact(
         "fact_orders",
-        fact_orders(
+        lambda: fact_orders(
             raw["orders"],
             raw["payments"],
             dims["user"],
@@ -107,7 +107,7 @@ def build_tables(
     )
     tracking = save_fact(
         "fact_shipment_tracking",
-        fact_shipment_tracking(
+        lambda: fact_shipment_tracking(
             raw["shipments"],
             orders,
             dims["driver"],

@@ -51,3 +51,9 @@ def work_dir(spark: SparkSession) -> str:
 def new_work_path(spark: SparkSession, label: str) -> str:
     """A path under the work folder that nothing has used before."""
     return f"{work_dir(spark)}/cargoloom/{label}-{uuid.uuid4().hex}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, asked of the file system the path belongs to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -11,11 +11,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargoloom.functions.moments import batch_id
+from cargoloom.session import path_exists
 from cargoloom.sinks.zones import write_parquet
 
 _LOG_SCHEMA = "version string"
@@ -33,10 +33,9 @@ class VersionedTables:
         return f"{self.base_path.rstrip('/')}/{table}/version_{version}"
 
     def current_version(self, table: str) -> str | None:
-        try:
-            log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path(table))
-        except AnalysisException:
+        if not path_exists(self.spark, self._log_path(table)):
             return None
+        log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path(table))
         return log.agg(F.max("version")).first()[0]
 
     def current(self, table: str) -> DataFrame | None:

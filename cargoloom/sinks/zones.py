@@ -30,7 +30,7 @@ def with_lineage(df: DataFrame, table: str, as_of: datetime) -> DataFrame:
 
 def with_file_partitions(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str]]:
     """The frame with its derived day columns, and the names to partition the files by."""
-    days = {f"{c}_partition": F.date_format(c, "yyyy-MM-dd") for c in spec.date_partitions}
+    days = {f"{c}_partition": F.date_format(c, spec.partition_format) for c in spec.date_partitions}
     return (df.withColumns(days) if days else df), [*days, *spec.partitions]
 
 

@@ -7,13 +7,18 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class TableSpec:
-    """``date_partitions`` become ``<column>_partition`` days; ``partitions`` partition the files as they are."""
+    """``date_partitions`` become ``<column>_partition`` days; ``partitions`` partition the files as they are.
+
+    A table with few rows per day gets larger files with a coarser ``partition_format``,
+    such as ``yyyy-MM``.
+    """
 
     name: str
     partition_column: str | None = None
     incremental_column: str | None = None
     date_partitions: tuple[str, ...] = ()
     partitions: tuple[str, ...] = ()
+    partition_format: str = "yyyy-MM-dd"
 
 
 # The six source tables with their read keys, marks and file partitions.
