@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargoloom.session import new_work_path
 
 _SLOT = "__slot"
-_SLICE = "__slice"
-_BEFORE = "__before"
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -19,7 +17,7 @@ def dense_keys(df: DataFrame, order_by: Sequence[str], key: str, after: int = 0)
     """Number the rows ``after + 1, after + 2, ...`` in the order of ``order_by``.
 
     The values are those of ``row_number() over (order by ...)`` (nulls first), but
-    the work is a range-partitioned sort: each task numbers its own slice, and one row
+    the work is a range-partitioned sort: each task numbers its own slice, and one number
     per slice tells how many rows come before it. A frequent leading value does not
     make a hot task as long as ``order_by`` goes on with columns that tell its rows
     apart, because all of them bound the ranges.
@@ -34,18 +32,18 @@ def dense_keys(df: DataFrame, order_by: Sequence[str], key: str, after: int = 0)
     slotted = df.orderBy(*order_by).withColumn(_SLOT, F.monotonically_increasing_id())
     slotted.write.parquet(path)
 
-    rows = spark.read.schema(slotted.schema).parquet(path).withColumn(_SLICE, F.shiftright(_SLOT, _ROW_BITS))
-    # One row per sort task, so at most spark.sql.shuffle.partitions rows: small
-    # enough for a running total and a broadcast at any data size.
-    slices = rows.groupBy(_SLICE).agg(F.count(F.lit(1)).alias("n"))
-    starts = slices.select(
-        _SLICE,
-        (F.sum("n").over(Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, 0)) - F.col("n")).alias(_BEFORE),
-    )
+    rows = spark.read.schema(slotted.schema).parquet(path)
+    slice_no = F.shiftright(_SLOT, _ROW_BITS)
+    # One row per sort task, so at most spark.sql.shuffle.partitions rows reach the driver.
+    sizes = {s: n for s, n in rows.groupBy(slice_no).agg(F.count(F.lit(1))).collect()}
+    before, starts = after, []
+    for s in range(max(sizes, default=0) + 1):
+        starts.append(before)
+        before += sizes.get(s, 0)
+    # A single constant for Catalyst: looking up a slice's start needs no join.
+    start = F.get(F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>"), slice_no.cast("int"))
     place = F.col(_SLOT).bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return rows.join(F.broadcast(starts), _SLICE).select(
-        (place + F.col(_BEFORE) + F.lit(after + 1)).cast("long").alias(key), *df.columns
-    )
+    return rows.select((start + place + 1).alias(key), *df.columns)
 
 
 def stable_keys(

@@ -543,23 +543,24 @@ def notification_timeline(spark, sf):
     return lifecycle.notification_timeline(source(spark, sf, "orders"))
 
 
-def _dispatched(spark, sf, as_of: datetime):
+def _dispatched(spark, sf, as_of: datetime, undated: str):
     """Shipments with the status they have at a moment: those due later are on their way."""
-    later = F.col("estimated_delivery_time") > moment(as_of)
-    return source(spark, sf, "shipments").withColumn("status", F.when(later, "in_transit").otherwise("completed"))
+    due = F.col("estimated_delivery_time") <= moment(as_of)
+    status = F.when(due, "completed").when(~due, "in_transit").otherwise(undated)
+    return source(spark, sf, "shipments").withColumn("status", status)
 
 
 @query
 def available_drivers(spark, sf):
     return lifecycle.available_drivers(
-        source(spark, sf, "drivers"), _dispatched(spark, sf, datetime(1995, 1, 8))
+        source(spark, sf, "drivers"), _dispatched(spark, sf, datetime(1995, 1, 8), undated="in_transit")
     )
 
 
 @query
 def idle_drivers(spark, sf):
     return lifecycle.idle_drivers(
-        source(spark, sf, "drivers"), _dispatched(spark, sf, datetime(2001, 10, 25))
+        source(spark, sf, "drivers"), _dispatched(spark, sf, datetime(2001, 10, 25), undated="completed")
     )
 
 
