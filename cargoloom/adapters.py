@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 CUSTOMER_PLACE = (
     "{customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey"
 )
-LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_shipdate AS DATE))"
 METHOD = (
     "CASE {0} % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'e_wallet' WHEN 2 THEN 'bank_transfer' ELSE 'cash' END"
 )
@@ -105,7 +105,22 @@ SOURCES: dict[str, tuple[str, dict[str, str]]] = {
     ),
 }
 
-TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem", "events")
+# Given schemas spare each read the job that would look them up in a file's footer.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+TABLES = tuple(SCHEMAS)
 
 
 def source_sql(name: str, dialect: str = "duckdb") -> str:
@@ -118,7 +133,7 @@ def source_sql(name: str, dialect: str = "duckdb") -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -18,7 +18,7 @@ from cargoloom.operators import lifecycle, quality
 from cargoloom.operators.keys import dense_keys, stable_keys
 from cargoloom.operators.upsert import updatable_columns, upsert
 from cargoloom.plans import dimensions, facts, metrics, warehouse_run
-from cargoloom.plans.landing import land, land_increment, landed_mark
+from cargoloom.plans.landing import each, land, land_increment, landed_mark
 from cargoloom.session import new_work_path
 from cargoloom.sinks.versions import VersionedTables, apply_retention, retained
 from cargoloom.sinks.zones import Zones, with_lineage
@@ -64,28 +64,28 @@ def _locations(spark, sf):
     return dimensions.dim_location(source(spark, sf, "orders"), AS_OF)
 
 
-def _orders_fact(spark, sf, payments="payments", users=None, **options):
+def _users_and_locations(spark, sf):
+    """Two dimensions that do not need each other, built at the same time."""
+    return each([lambda: _users(spark, sf), lambda: _locations(spark, sf)])
+
+
+def _orders_fact(spark, sf, payments="payments", dims=None, **options):
+    users, places = dims or _users_and_locations(spark, sf)
     return facts.fact_orders(
-        source(spark, sf, "orders"),
-        source(spark, sf, payments),
-        users or _users(spark, sf),
-        _locations(spark, sf),
-        AS_OF,
-        ETL_USER,
-        **options,
+        source(spark, sf, "orders"), source(spark, sf, payments), users, places, AS_OF, ETL_USER, **options
     )
 
 
-def _tracking_fact(spark, sf, orders=None, users=None, **options):
-    users = users or _users(spark, sf)
-    return facts.fact_shipment_tracking(
-        source(spark, sf, "shipments"),
-        orders or _orders_fact(spark, sf, users=users),
-        _drivers(spark, sf, users),
-        AS_OF,
-        ETL_USER,
-        **options,
+def _facts(spark, sf, places=None):
+    """Order facts and drivers, built at the same time; with ``places`` the tracking facts look locations up too."""
+    dims = _users_and_locations(spark, sf)
+    orders, drivers = each(
+        [lambda: _orders_fact(spark, sf, dims=dims), lambda: _drivers(spark, sf, dims[0])]
     )
+    tracking = facts.fact_shipment_tracking(
+        source(spark, sf, "shipments"), orders, drivers, AS_OF, ETL_USER, dim_location=places
+    )
+    return orders, tracking
 
 
 # --- star schema -------------------------------------------------------------------
@@ -94,10 +94,8 @@ def _tracking_fact(spark, sf, orders=None, users=None, **options):
 @query
 def city_delivery(spark, sf):
     """Orders and mean delivery minutes per destination city: the flagship report."""
-    places = _locations(spark, sf)
-    orders = facts.fact_orders(
-        source(spark, sf, "orders"), source(spark, sf, "payments"), _users(spark, sf), places, AS_OF, ETL_USER
-    )
+    users, places = _users_and_locations(spark, sf)
+    orders = _orders_fact(spark, sf, dims=(users, places))
     by_place = orders.groupBy("delivery_location_key").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("delivery_duration_minutes").alias("minutes"),
@@ -174,13 +172,13 @@ def fact_orders_fanout_sum(spark, sf):
 
 @query
 def fact_shipment_tracking(spark, sf):
-    return _tracking_fact(spark, sf)
+    return _facts(spark, sf)[1]
 
 
 @query
 def fact_shipment_tracking_located(spark, sf):
     places = dimensions.dim_location(source(spark, sf, "orders"), AS_OF, shipments=source(spark, sf, "shipments"))
-    return _tracking_fact(spark, sf, dim_location=places)
+    return _facts(spark, sf, places)[1]
 
 
 @query
@@ -369,14 +367,12 @@ def upsert_dimension(spark, sf):
 
 @query
 def dimension_checks(spark, sf):
-    users = _users(spark, sf)
+    users, places = _users_and_locations(spark, sf)
     return quality.union_checks(
         [
             quality.key_checks(users, "dim_user", "user_key"),
-            quality.key_checks(
-                dimensions.dim_driver(source(spark, sf, "drivers"), users, AS_OF), "dim_driver", "driver_key"
-            ),
-            quality.key_checks(_locations(spark, sf), "dim_location", "location_key"),
+            quality.key_checks(_drivers(spark, sf, users), "dim_driver", "driver_key"),
+            quality.key_checks(places, "dim_location", "location_key"),
         ]
     )
 
@@ -389,14 +385,12 @@ def duplicate_keys(spark, sf):
 
 @query
 def null_key_counts(spark, sf):
-    return quality.null_key_checks(_tracking_fact(spark, sf), "fact_shipment_tracking")
+    return quality.null_key_checks(_facts(spark, sf)[1], "fact_shipment_tracking")
 
 
 @query
 def fact_report(spark, sf):
-    users = _users(spark, sf)
-    orders = _orders_fact(spark, sf, users=users)
-    tracking = _tracking_fact(spark, sf, orders, users)
+    orders, tracking = _facts(spark, sf)
     return quality.union_checks([quality.orders_report(orders), quality.tracking_report(tracking)])
 
 
@@ -464,10 +458,9 @@ def zone_row_statistics(spark, sf):
 
 @query
 def transform_metrics(spark, sf):
-    users, places = _users(spark, sf), _locations(spark, sf)
-    drivers = dimensions.dim_driver(source(spark, sf, "drivers"), users, AS_OF)
-    orders = facts.fact_orders(
-        source(spark, sf, "orders"), source(spark, sf, "payments"), users, places, AS_OF, ETL_USER
+    users, places = _users_and_locations(spark, sf)
+    orders, drivers = each(
+        [lambda: _orders_fact(spark, sf, dims=(users, places)), lambda: _drivers(spark, sf, users)]
     )
     checks = metrics.transform_metrics({"user": users, "driver": drivers, "location": places}, {"orders": orders})
     return metrics.with_build_metadata(checks, "transform", AS_OF, ETL_USER)
