@@ -80,7 +80,8 @@ def initial_status(
     """The status a new order starts with, from its creation and promised delivery time."""
     created = F.col("created_at")
     return (
-        F.when(created > _earlier(as_of, fresh), "processing")
+        F.when(created.isNull(), None)
+        .when(created > _earlier(as_of, fresh), "processing")
         .when(created > _earlier(as_of, accepted_before), "accepted")
         .when(F.col("delivery_time") > moment(as_of), "in_transit")
         .otherwise(FINAL)
@@ -89,10 +90,9 @@ def initial_status(
 
 def status_by_age(as_of: datetime, steps: tuple[tuple[str, timedelta], ...] = AGE_STEPS) -> Column:
     """The status by age alone: each step holds while the order is younger than its limit."""
-    status = None
+    status = F.when(F.col("created_at").isNull(), None)
     for name, limit in steps:
-        younger = F.col("created_at") > _earlier(as_of, limit)
-        status = F.when(younger, name) if status is None else status.when(younger, name)
+        status = status.when(F.col("created_at") > _earlier(as_of, limit), name)
     return status.otherwise(FINAL)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from datetime import datetime
 from time import monotonic
 
@@ -21,7 +22,7 @@ Metric = tuple[str, str, str, float]
 def each(tasks: Sequence[Callable], max_concurrent: int = 4) -> list:
     """Submit some independent Spark jobs at the same time and wait for all."""
     with ThreadPoolExecutor(max_concurrent) as pool:
-        return [f.result() for f in [pool.submit(t) for t in tasks]]
+        return [f.result() for f in [pool.submit(copy_context().run, t) for t in tasks]]
 
 
 def land(read: Reader, zones: Zones, spec: TableSpec, as_of: datetime) -> list[Metric]:
@@ -42,7 +43,9 @@ def land_all(
     return [metric for metrics in landed for metric in metrics]
 
 
-def land_increment(df: DataFrame, zones: Zones, spec: TableSpec, as_of: datetime, after: datetime | None) -> tuple[int, datetime | None]:
+def land_increment(
+    df: DataFrame, zones: Zones, spec: TableSpec, as_of: datetime, after: datetime | None
+) -> tuple[int, datetime | None]:
     """Land the rows above the mark; returns their number and the next mark.
 
     Pass the mark of the last run (see ``landed_mark``). Running a day's increment again

@@ -17,7 +17,7 @@ from cargoloom.plans.facts import fact_orders, fact_shipment_tracking
 from cargoloom.plans.landing import Metric, Reader, each, land_all
 from cargoloom.plans.metrics import check_metrics, metric_rows, save_metrics, transform_metrics
 from cargoloom.plans.warehouse_schema import FOREIGN_KEYS, foreign_key_columns
-from cargoloom.session import path_exists
+from cargoloom.session import path_exists, work_scope
 from cargoloom.sinks.versions import VersionedTables
 from cargoloom.sinks.zones import Zones
 from cargoloom.sources.specs import LOGISTICS_TABLES, TableSpec
@@ -153,14 +153,15 @@ def run(
     """
     zones = Zones(spark, base_path)
     warehouse = VersionedTables(spark, f"{base_path.rstrip('/')}/warehouse")
-    metrics = land_all(read, zones, as_of, specs)
-    dims, facts, built = build_tables(spark, zones, warehouse, as_of, etl_user, payment_policy)
-    loaded = each(
-        [
-            lambda n=n: ("warehouse", f"dim_{n}", "rows", load_dimension(warehouse, dims[n], f"dim_{n}", f"{n}_key", as_of))
-            for n in DIMENSIONS
-        ]
-    )
+    with work_scope(spark):
+        metrics = land_all(read, zones, as_of, specs)
+        dims, facts, built = build_tables(spark, zones, warehouse, as_of, etl_user, payment_policy)
+
+    def load(name: str) -> Metric:
+        table = f"dim_{name}"
+        return ("warehouse", table, "rows", load_dimension(warehouse, dims[name], table, f"{name}_key", as_of))
+
+    loaded = each([lambda n=n: load(n) for n in DIMENSIONS])
     checks = union_checks([transform_metrics(dims, facts), reference_checks(dims, facts)])
     rows = metric_rows(spark, as_of, [*metrics, *built, *loaded]).unionByName(check_metrics(checks, as_of))
     save_metrics(rows, base_path)

@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
+_scope: ContextVar[str | None] = ContextVar("cargoloom_work_scope", default=None)
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -50,7 +55,25 @@ def work_dir(spark: SparkSession) -> str:
 
 def new_work_path(spark: SparkSession, label: str) -> str:
     """A path under the work folder that nothing has used before."""
-    return f"{work_dir(spark)}/cargoloom/{label}-{uuid.uuid4().hex}"
+    return f"{_scope.get() or work_dir(spark) + '/cargoloom'}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Work paths made inside are removed at the end.
+
+    Use it around building *and saving* tables: frames with new surrogate keys read
+    their work path until they are saved. Outside a scope work paths stay until the
+    owner of the work folder clears it, like checkpoints.
+    """
+    root = new_work_path(spark, "scope")
+    token = _scope.set(root)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        place = spark._jvm.org.apache.hadoop.fs.Path(root)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -101,3 +101,30 @@ def test_fan_out_join_without_frequent_keys_is_the_plain_join(spark, rows):
     joined = fan_out_left_join(left, right, "id", ["v"], share=0.5)
     assert "__salt" not in joined._jdf.queryExecution().optimizedPlan().toString()
     assert rows(joined) == rows(left.join(right, "id", "left"))
+
+
+def test_busy_key_on_the_left_is_split_by_adaptive_execution(spark):
+    """The lookups rely on it: the left rows of one key go to several tasks."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        facts = spark.range(0, 60000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("user_id"), F.col("id").alias("order_id")
+        )
+        users = spark.range(60000).withColumnRenamed("id", "user_id").withColumn("user_key", F.col("user_id") + 1)
+        joined = facts.join(users, "user_id", "left")
+        assert len(joined.collect()) == 60000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -1,11 +1,12 @@
 from datetime import date, datetime, timedelta
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
 
 from cargoloom.operators.upsert import updatable_columns, upsert
-from cargoloom.plans.landing import land_increment, landed_mark
-from cargoloom.session import new_work_path, path_exists, work_dir
+from cargoloom.plans.landing import each, land_increment, landed_mark
+from cargoloom.session import new_work_path, path_exists, work_dir, work_scope
 from cargoloom.sinks.versions import VersionedTables, apply_retention, retained
 from cargoloom.sinks.zones import LINEAGE, Zones, with_lineage, write_parquet
 from cargoloom.sources import jdbc
@@ -55,6 +56,30 @@ def test_filters_sit_inside_the_subquery():
     assert where in jdbc.bounds_relation("Orders", "order_id", where)
 
 
+def test_parallel_extract_reads_the_filtered_subquery_in_ranges():
+    """What the JDBC reader is told, with the reader itself stood in for."""
+    spark, told = MagicMock(), {}
+    reader = spark.read.format.return_value
+    reader.option.side_effect = lambda k, v: told.__setitem__(k, v) or reader
+    reader.options.return_value = reader
+    reader.load.return_value.first.return_value = (5, 900_004, 250_000)
+    source = jdbc.JdbcSource(spark, "jdbc:x", {"user": "u"})
+    source.extract_incremental("Orders", "created_at", "2024-01-01", "order_id")
+    assert told == {
+        "url": "jdbc:x",
+        "dbtable": "(SELECT * FROM Orders WHERE created_at > '2024-01-01') filtered",
+        "partitionColumn": "order_id",
+        "lowerBound": "5",
+        "upperBound": "900005",
+        "numPartitions": "8",
+    }
+    assert reader.options.call_args.kwargs["fetchsize"] == "100000"
+    told.clear()
+    reader.load.return_value.first.return_value = (None, None, 0)  # an empty table is read as it is
+    source.extract("Orders", "order_id")
+    assert told == {"url": "jdbc:x", "dbtable": "Orders"}
+
+
 # --- zones -------------------------------------------------------------------------
 
 
@@ -175,3 +200,16 @@ def test_work_paths(spark):
     assert path.startswith(work_dir(spark)) and not path_exists(spark, path)
     spark.range(1).write.parquet(path)
     assert path_exists(spark, path)
+
+
+def test_work_scope_removes_what_was_made_inside(spark):
+    def make():
+        path = new_work_path(spark, "y")
+        spark.range(1).write.parquet(path)
+        return path
+
+    with work_scope(spark):
+        inside = each([make, make])
+        assert all(path_exists(spark, p) for p in inside)
+    outside = make()
+    assert not any(path_exists(spark, p) for p in inside) and path_exists(spark, outside)
