@@ -66,11 +66,13 @@ def fact_orders(
 
     The lookups are left joins on keys that are unique in the dimension, so Catalyst
     broadcasts a dimension whose measured size allows it and otherwise sorts and
-    merges, and adaptive execution splits a busy user's or address's order rows.
-    With ``dim_payment_method`` the method's key is looked up as well. Keys start above
+    merges, and adaptive execution splits a busy user's or address's order rows. They
+    come before the payments, while there is one row per order. With
+    ``dim_payment_method`` the method's key is looked up as well. Keys start above
     ``after_key``, the highest one of earlier batches.
     """
-    rows = orders_with_payments(
+    places = dim_location.select("full_address", "location_key")
+    placed = (
         orders.select(
             "order_id",
             "user_id",
@@ -80,16 +82,13 @@ def fact_orders(
             "delivery_time",
             "status",
             "created_at",
-        ),
-        payments,
-        payment_policy,
-    )
-    places = dim_location.select("full_address", "location_key")
-    rows = (
-        rows.join(dim_user.select("user_id", "user_key"), "user_id", "left")
+        )
+        .join(dim_user.select("user_id", "user_key"), "user_id", "left")
         .join(places.toDF("pickup_address", "pickup_location_key"), "pickup_address", "left")
         .join(places.toDF("delivery_address", "delivery_location_key"), "delivery_address", "left")
+        .drop("user_id", "pickup_address", "delivery_address")
     )
+    rows = orders_with_payments(placed, payments, payment_policy)
     method_key = []
     if dim_payment_method is not None:
         methods = dim_payment_method.select("payment_method", "payment_method_key")
@@ -137,22 +136,21 @@ def fact_shipment_tracking(
 ) -> DataFrame:
     """One row per shipment and matching order fact, with the minutes since its estimated time.
 
-    With ``dim_location`` the key of the current location is looked up as well.
+    With ``dim_location`` the key of the current location is looked up as well. The
+    lookups in dimensions come first, before an order with several facts repeats rows.
     """
-    rows = fan_out_left_join(
-        shipments.select(
-            "shipment_id", "order_id", "driver_id", "estimated_delivery_time", "status", "current_location"
-        ),
-        fact_orders.select("order_id", "order_key"),
-        "order_id",
-        spread_by=["order_key"],
+    rows = shipments.select(
+        "shipment_id", "order_id", "driver_id", "estimated_delivery_time", "status", "current_location"
     ).join(dim_driver.select("driver_id", "driver_key"), "driver_id", "left")
     location_key = []
     if dim_location is not None:
-        places = dim_location.select(F.col("full_address").alias("__place"), F.col("location_key"))
-        rows = rows.join(places, F.trim("current_location") == F.col("__place"), "left")
-        rows = rows.withColumnRenamed("location_key", "current_location_key")
+        places = dim_location.select(
+            F.col("full_address").alias("__place"), F.col("location_key").alias("current_location_key")
+        )
+        rows = rows.join(places, F.trim("current_location") == F.col("__place"), "left").drop("__place")
         location_key = ["current_location_key"]
+    facts = fact_orders.select("order_id", "order_key")
+    rows = fan_out_left_join(rows.drop("driver_id"), facts, "order_id", spread_by=["order_key"])
 
     shaped = rows.select(
         "shipment_id",
