@@ -6,12 +6,14 @@ one table share one aggregation over it.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, NumericType, StringType
 
 from cargoloom.sinks.zones import LINEAGE
 
@@ -192,6 +194,23 @@ class ColumnRule:
         return "string" if self.length() is not None else self.type
 
 
+# The ranges of the integral types.
+INTEGRAL_BITS = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
+
+
+def _misfits(value: Column, held: DataType, target: str) -> Column:
+    """Whether a value cannot be cast. ``try_cast`` decides, but it costs an exception per misfit,
+    so values that cannot fit by their range or letters are told apart before it."""
+    unfit = value.try_cast(target).isNull()
+    decimal = re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", target)
+    if isinstance(held, NumericType) and (decimal or target in INTEGRAL_BITS):
+        limit = 10.0 ** (int(decimal[1]) - int(decimal[2])) if decimal else 2.0 ** INTEGRAL_BITS[target]
+        unfit = (F.abs(value.cast("double")) > limit) | unfit
+    elif isinstance(held, StringType) and target in INTEGRAL_BITS:
+        unfit = value.rlike(r"[^0-9+\-.\s\p{Cntrl}]") | unfit
+    return value.isNotNull() & unfit
+
+
 def schema_conformance(df: DataFrame, table: str, rules: Sequence[ColumnRule]) -> DataFrame:
     """Violations of a declared schema, one row per column and rule, in one pass and one per primary key.
 
@@ -208,7 +227,7 @@ def schema_conformance(df: DataFrame, table: str, rules: Sequence[ColumnRule]) -
         if r.length() is not None:
             measures[f"{r.name}_too_long"] = _count_if(F.length(value.cast("string")) > r.length())
         else:
-            misfit = value.isNotNull() & value.try_cast(r.spark_type()).isNull()
+            misfit = _misfits(value, df.schema[r.name].dataType, r.spark_type().lower())
             measures[f"{r.name}_not_{r.type.split('(')[0].lower()}"] = _count_if(misfit)
     totals = df.agg(F.count(F.lit(1)).alias("__rows"), *[m.alias(n) for n, m in measures.items()])
     checks = {n: (F.col(n), ZERO) for n in measures}

@@ -93,6 +93,21 @@ def test_schema_conformance(spark):
     }
 
 
+def test_misfits_are_those_of_the_cast(spark):
+    """The range and letter tests in front of the cast must not change its answer."""
+    texts = ["12", " 12 ", "+5", "-5", "1.5", "5-LOW", "", "1e3", "99999999999", "\t7", "--1", None, "१२"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    rule = (quality.ColumnRule("v", "int"),)
+    expected = df.filter("v IS NOT NULL AND try_cast(v AS INT) IS NULL").count()
+    assert as_dict(quality.schema_conformance(df, "t", rule))["v_not_int"][0] == expected
+    numbers = [9.994, 9.995, 10.0, -9.999, -10.0, 2147483647.0, 2147483648.0, -2147483648.0, -2147483649.0, -(2.0**63), 2.0**63, 1e8, 1e300, float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(n,) for n in numbers], "v double")
+    for kind in ("int", "decimal(3,2)", "bigint", "decimal(10,2)"):
+        expected = df.filter(f"v IS NOT NULL AND try_cast(v AS {kind}) IS NULL").count()
+        name = f"v_not_{kind.split('(')[0]}"
+        assert as_dict(quality.schema_conformance(df, "t", (quality.ColumnRule("v", kind),)))[name][0] == expected
+
+
 def test_declared_tables(spark):
     assert [len(TABLES[t]) for t in sorted(TABLES)] == [9, 10, 6, 3, 11, 15, 11]
     assert [r.name for r in FACT_ORDERS if not r.nullable] == ["order_key", "order_id", "user_key"]
