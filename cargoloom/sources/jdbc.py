@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cargoloom.sources.specs import TableSpec
+
 # Below this many rows, read with that many partitions; else with the last number.
 PARTITION_LADDER = ((100_000, 4), (1_000_000, 8))
 PARTITIONS_ABOVE = 16
@@ -110,6 +112,9 @@ class JdbcSource:
     ) -> DataFrame:
         return self.extract(table, partition_column, incremental_clause(timestamp_column, after))
 
+    def extract_spec(self, spec: TableSpec) -> DataFrame:
+        return self.extract(spec.source_table or spec.name, spec.partition_column)
+
     def count(self, table: str) -> DataFrame:
         return self.scan(f"(SELECT COUNT(*) AS n FROM {table}) counted")
 

@@ -10,7 +10,7 @@ class TableSpec:
     """``date_partitions`` become ``<column>_partition`` days; ``partitions`` partition the files as they are.
 
     A table with few rows per day gets larger files with a coarser ``partition_format``,
-    such as ``yyyy-MM``.
+    such as ``yyyy-MM``. ``source_table`` is its name in the source database.
     """
 
     name: str
@@ -19,14 +19,15 @@ class TableSpec:
     date_partitions: tuple[str, ...] = ()
     partitions: tuple[str, ...] = ()
     partition_format: str = "yyyy-MM-dd"
+    source_table: str = ""
 
 
 # The six source tables with their read keys, marks and file partitions.
 LOGISTICS_TABLES = (
-    TableSpec("orders", "order_id", "created_at", ("created_at",), ("status",)),
-    TableSpec("shipments", "shipment_id", None, (), ("status",)),
-    TableSpec("payments", "payment_id", "payment_date", ("payment_date",), ("payment_status",)),
-    TableSpec("notifications", "notification_id", "notification_date", ("notification_date",)),
-    TableSpec("users", None, "created_at"),
-    TableSpec("drivers"),
+    TableSpec("orders", "order_id", "created_at", ("created_at",), ("status",), source_table="Orders"),
+    TableSpec("shipments", "shipment_id", None, (), ("status",), source_table="Shipments"),
+    TableSpec("payments", "payment_id", "payment_date", ("payment_date",), ("payment_status",), source_table="Payments"),
+    TableSpec("notifications", "notification_id", "notification_date", ("notification_date",), source_table="Notifications"),
+    TableSpec("users", None, "created_at", source_table="Users"),
+    TableSpec("drivers", source_table="Drivers"),
 )

@@ -376,6 +376,9 @@ ORACLES: dict[str, str] = {
     "dimension_checks": sql(_union(DIM_CHECKS), DIM_DRIVER, DIM_LOCATION),
     "duplicate_keys": _union(_key_checks("lineitem", "lineitem", "l_orderkey || '/' || l_linenumber")),
     "null_key_counts": sql(_union(_null_checks("fact_shipment_tracking", "f_tracking", TRACKING_KEYS)), TRACKING_FACT),
+    "null_address_counts": sql(
+        _union(_null_checks("dim_location", "d_location", ["full_address", "city", "district"])), DIM_LOCATION
+    ),
     "fact_report": sql(
         _union(
             [

@@ -388,6 +388,12 @@ def null_key_counts(spark, sf):
     return quality.null_key_checks(_facts(spark, sf)[1], "fact_shipment_tracking")
 
 
+@query
+def null_address_counts(spark, sf):
+    """Locations without an address, city or district."""
+    return quality.null_key_checks(_locations(spark, sf), "dim_location", ["full_address", "city", "district"])
+
+
 @query
 def fact_report(spark, sf):
     orders, tracking = _facts(spark, sf)

@@ -76,7 +76,7 @@ def test_parallel_extract_reads_the_filtered_subquery_in_ranges():
     assert reader.options.call_args.kwargs["fetchsize"] == "100000"
     told.clear()
     reader.load.return_value.first.return_value = (None, None, 0)  # an empty table is read as it is
-    source.extract("Orders", "order_id")
+    source.extract_spec(LOGISTICS_TABLES[0])
     assert told == {"url": "jdbc:x", "dbtable": "Orders"}
 
 
@@ -141,6 +141,15 @@ def test_batches_replace_themselves(spark, as_of, tmp_path):
     assert zones.read("processed", "f").count() == 9
 
 
+def test_processed_and_staging_modes(spark, tmp_path):
+    zones = Zones(spark, str(tmp_path))
+    for mode, total in (("overwrite", 3), ("append", 6), ("overwrite", 3)):
+        assert zones.load_processed(spark.range(3), "dim_x", mode) == 3
+        assert zones.read("processed", "dim_x").count() == total
+    assert zones.load_staging(spark.range(4).withColumn("p", F.lit("a")), "s", ["p"]) == 4
+    assert (tmp_path / "staging" / "s" / "p=a").exists()
+
+
 def test_rebalanced_write_makes_few_files(spark, tmp_path):
     df = spark.range(0, 4000, 1, 40).withColumn("d", F.col("id") % 3)
     assert write_parquet(df, str(tmp_path / "t"), partition_by=["d"]) == 4000
