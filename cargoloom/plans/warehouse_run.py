@@ -10,16 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargoloom.functions.moments import batch_id
-from cargoloom.operators.quality import orphan_checks, union_checks
+from cargoloom.operators.quality import cast_to_declared, orphan_checks, union_checks
 from cargoloom.operators.upsert import updatable_columns, upsert
 from cargoloom.plans.dimensions import dim_date_covering, dim_driver, dim_location, dim_user
 from cargoloom.plans.facts import fact_orders, fact_shipment_tracking
 from cargoloom.plans.landing import Metric, Reader, each, land_all
 from cargoloom.plans.metrics import check_metrics, metric_rows, save_metrics, transform_metrics
-from cargoloom.plans.warehouse_schema import FOREIGN_KEYS, foreign_key_columns
+from cargoloom.plans.warehouse_schema import FOREIGN_KEYS, TABLES, foreign_key_columns
 from cargoloom.session import path_exists, work_scope
 from cargoloom.sinks.versions import VersionedTables
-from cargoloom.sinks.zones import Zones
+from cargoloom.sinks.zones import Zones, write_batch
+from cargoloom.sources.jdbc import JdbcSource
 from cargoloom.sources.specs import LOGISTICS_TABLES, TableSpec
 
 DIMENSIONS = ("date", "user", "driver", "location")
@@ -35,6 +36,16 @@ def load_dimension(tables: VersionedTables, df: DataFrame, table: str, key: str,
     return tables.publish(upsert(current, df, key, update), table, as_of)
 
 
+def load_database(
+    target: JdbcSource, dims: dict[str, DataFrame], facts: dict[str, DataFrame], partitions: int = 4
+) -> None:
+    """Load a relational warehouse: dimensions staged as ``temp_dim_*`` for its merge, then facts appended."""
+    for name, df in dims.items():
+        target.stage(cast_to_declared(df, TABLES[f"dim_{name}"]), f"dim_{name}")
+    for name, df in facts.items():
+        target.append(cast_to_declared(df, TABLES[f"fact_{name}"]), f"fact_{name}", partitions)
+
+
 def highest_key(zones: Zones, table: str, as_of: datetime) -> int:
     """The highest fact key of earlier batches, so that keys stay unique over the history."""
     if not path_exists(zones.spark, zones.path("processed", table)):
@@ -148,8 +159,8 @@ def run(
 ) -> DataFrame:
     """Run everything for ``as_of`` and return the run's metrics, which are also saved.
 
-    Dimensions go to the warehouse before the facts that refer to them; the facts of the
-    run are a batch of the processed zone's history.
+    Dimensions are merged into the warehouse before the facts that refer to them; the
+    facts of the run are one batch of the history, in the processed zone and the warehouse.
     """
     zones = Zones(spark, base_path)
     warehouse = VersionedTables(spark, f"{base_path.rstrip('/')}/warehouse")
@@ -161,7 +172,13 @@ def run(
         table = f"dim_{name}"
         return ("warehouse", table, "rows", load_dimension(warehouse, dims[name], table, f"{name}_key", as_of))
 
+    def load_fact(name: str) -> Metric:
+        table = f"fact_{name}"
+        path = f"{base_path.rstrip('/')}/warehouse/{table}"
+        return ("warehouse", table, "rows", write_batch(facts[name], path, as_of))
+
     loaded = each([lambda n=n: load(n) for n in DIMENSIONS])
+    loaded += each([lambda n=n: load_fact(n) for n in facts])
     checks = union_checks([transform_metrics(dims, facts), reference_checks(dims, facts)])
     rows = metric_rows(spark, as_of, [*metrics, *built, *loaded]).unionByName(check_metrics(checks, as_of))
     save_metrics(rows, base_path)

@@ -55,6 +55,23 @@ def write_parquet(
     return counted.get["n"]
 
 
+def write_batch(df: DataFrame, path: str, as_of: datetime) -> int:
+    """Write ``df`` as the batch ``as_of`` of a table, in place of an earlier attempt at the same batch.
+
+    Every row goes to the batch's one directory, so nothing is shuffled to gather rows.
+    """
+    counted = Observation()
+    (
+        df.withColumn("dl_batch_id", F.lit(batch_id(as_of)))
+        .observe(counted, F.count(F.lit(1)).alias("n"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("dl_batch_id")
+        .parquet(path)
+    )
+    return counted.get["n"]
+
+
 @dataclass(frozen=True)
 class Zones:
     spark: SparkSession
@@ -86,18 +103,7 @@ class Zones:
 
     def load_batch(self, df: DataFrame, table: str, as_of: datetime) -> int:
         """Add a batch to a processed table's history; the same batch again replaces itself."""
-        rows = df.withColumn("dl_batch_id", F.lit(batch_id(as_of)))
-        path = self.path("processed", table)
-        # Every row goes to one directory, so there is nothing to gather by partition column.
-        counted = Observation()
-        (
-            rows.observe(counted, F.count(F.lit(1)).alias("n"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("dl_batch_id")
-            .parquet(path)
-        )
-        return counted.get["n"]
+        return write_batch(df, self.path("processed", table), as_of)
 
     def read(
         self,

@@ -223,10 +223,12 @@ def _run_counts() -> str:
             f" CAST(count(*) AS DOUBLE) AS value FROM {relation}"
         )
 
-    landed = [rows("landing", t, f"s_{t}") for t in ("orders", "shipments", "payments", "notifications", "users", "drivers")]
+    sources = ("orders", "shipments", "payments", "notifications", "users", "drivers")
+    landed = [rows("landing", t, f"s_{t}") for t in sources]
     dims = {"dim_date": "d_date", "dim_user": "d_user", "dim_driver": "d_driver", "dim_location": "d_location"}
-    built = [rows("build", t, r) for t, r in {**dims, "fact_orders": "f_orders", "fact_shipment_tracking": "f_tracking"}.items()]
-    loaded = [rows("warehouse", t, r) for t, r in dims.items()]
+    tables = {**dims, "fact_orders": "f_orders", "fact_shipment_tracking": "f_tracking"}
+    built = [rows("build", t, r) for t, r in tables.items()]
+    loaded = [rows("warehouse", t, r) for t, r in tables.items()]
     checks = [
         *_key_checks("dim_date", "d_date", "date_key"),
         *DIM_CHECKS,

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cargoloom.plans.dimensions import dim_driver, dim_location, dim_payment_method, dim_user
 from cargoloom.plans.facts import fact_orders, fact_shipment_tracking
+from cargoloom.plans.warehouse_run import load_database
 
 ORDERS = (
     "order_id int, user_id int, pickup_address string, delivery_address string, package_description string,"
@@ -167,3 +168,25 @@ def test_busy_order_is_spread(spark, as_of):
     fact = fact_orders(orders, many, dim_user(users, as_of), dim_location(orders, as_of), as_of, "me")
     assert fact.count() == 1002
     assert fact.select("order_key").distinct().count() == 1002
+
+
+def test_database_load_stages_dimensions_then_appends_facts(spark, as_of):
+    """Tables reach the writer by name, in declared types, dimensions first; the writer is stood in for."""
+    users, orders, payments, drivers, shipments = frames(spark)
+    user, place = dim_user(users, as_of), dim_location(orders, as_of)
+    fact = fact_orders(orders, payments, user, place, as_of, "me", "latest").filter("user_key IS NOT NULL")
+    written = []
+
+    class Target:
+        def stage(self, df, table):
+            written.append((table, df.dtypes[0], df.count()))
+
+        def append(self, df, table, partitions):
+            written.append((table, df.dtypes[7], partitions))
+
+    load_database(Target(), {"user": user, "location": place}, {"orders": fact})
+    assert written == [
+        ("dim_user", ("user_key", "int"), 2),
+        ("dim_location", ("location_key", "int"), 4),
+        ("fact_orders", ("order_amount", "decimal(10,2)"), 4),
+    ]
