@@ -23,16 +23,6 @@ def metric_rows(
     return spark.createDataFrame([(run_id, p, t, m, float(v)) for p, t, m, v in rows], METRIC_SCHEMA)
 
 
-def check_metrics(checks: DataFrame, as_of: datetime, phase: str = "checks") -> DataFrame:
-    return checks.select(
-        F.lit(batch_id(as_of)).alias("run_id"),
-        F.lit(phase).alias("phase"),
-        "table_name",
-        F.col("check_name").alias("metric"),
-        F.col("value").cast("double").alias("value"),
-    )
-
-
 def transform_metrics(dimensions: dict[str, DataFrame], facts: dict[str, DataFrame]) -> DataFrame:
     """Row counts and key checks of the built tables: one aggregation per table."""
     parts = [key_checks(df, f"dim_{name}", f"{name}_key") for name, df in dimensions.items()]

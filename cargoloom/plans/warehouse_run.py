@@ -15,7 +15,7 @@ from cargoloom.operators.upsert import updatable_columns, upsert
 from cargoloom.plans.dimensions import dim_date_covering, dim_driver, dim_location, dim_user
 from cargoloom.plans.facts import fact_orders, fact_shipment_tracking
 from cargoloom.plans.landing import Metric, Reader, each, land_all
-from cargoloom.plans.metrics import check_metrics, metric_rows, save_metrics, transform_metrics
+from cargoloom.plans.metrics import metric_rows, save_metrics, transform_metrics
 from cargoloom.plans.warehouse_schema import FOREIGN_KEYS, TABLES, foreign_key_columns
 from cargoloom.session import path_exists, work_scope
 from cargoloom.sinks.versions import VersionedTables
@@ -156,11 +156,14 @@ def run(
     etl_user: str,
     specs: Sequence[TableSpec] = LOGISTICS_TABLES,
     payment_policy: str = "all",
+    required_checks: Sequence[str] = (),
 ) -> DataFrame:
     """Run everything for ``as_of`` and return the run's metrics, which are also saved.
 
     Dimensions are merged into the warehouse before the facts that refer to them; the
     facts of the run are one batch of the history, in the processed zone and the warehouse.
+    The checks come before the warehouse: all are recorded, and a failed one among
+    ``required_checks`` (such as ``duplicate_keys``) stops the run.
     """
     zones = Zones(spark, base_path)
     warehouse = VersionedTables(spark, f"{base_path.rstrip('/')}/warehouse")
@@ -168,6 +171,13 @@ def run(
         metrics = land_all(read, zones, as_of, specs)
         dims, facts, built = build_tables(spark, zones, warehouse, as_of, etl_user, payment_policy)
 
+    # One row per table and check, some dozens in all.
+    checks = union_checks([transform_metrics(dims, facts), reference_checks(dims, facts)]).collect()
+    failed = [f"{c.table_name}.{c.check_name}" for c in checks if c.check_name in required_checks and not c.passed]
+    if failed:
+        raise ValueError(f"failed checks: {failed}")
+    checked = [("checks", c.table_name, c.check_name, c.value) for c in checks]
+
     def load(name: str) -> Metric:
         table = f"dim_{name}"
         return ("warehouse", table, "rows", load_dimension(warehouse, dims[name], table, f"{name}_key", as_of))
@@ -179,8 +189,7 @@ def run(
 
     loaded = each([lambda n=n: load(n) for n in DIMENSIONS])
     loaded += each([lambda n=n: load_fact(n) for n in facts])
-    checks = union_checks([transform_metrics(dims, facts), reference_checks(dims, facts)])
-    rows = metric_rows(spark, as_of, [*metrics, *built, *loaded]).unionByName(check_metrics(checks, as_of))
+    rows = metric_rows(spark, as_of, [*metrics, *built, *checked, *loaded])
     save_metrics(rows, base_path)
     saved = spark.read.parquet(f"{base_path.rstrip('/')}/metrics")
     return saved.filter(F.col("run_id") == batch_id(as_of)).select(rows.columns)

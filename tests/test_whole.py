@@ -57,6 +57,19 @@ def test_second_run_keeps_keys_and_history(spark, tmp_path):
     assert metrics.filter("metric = 'orphans_order_key' and value > 0").count() == 0
     assert metrics.select("run_id").distinct().collect() == [("20010803_093000",)]
 
+    # Shipments of drivers without a user have no driver key: as a required check that stops the load.
+    with pytest.raises(ValueError, match="null_driver_key"):
+        warehouse_run.run(
+            spark,
+            lambda s: source(spark, SMALL, s.name),
+            base,
+            later + timedelta(days=1),
+            "me",
+            SPECS,
+            required_checks=["null_driver_key"],
+        )
+    assert warehouse.current_version("dim_user") == "20010803_093000"
+
 
 @needs_data
 def test_filters_and_columns_reach_the_scan(spark):
