@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cargoloom.llm import packing, sharding, simhash, token_files
+from cargoloom.llm import mixing, packing, quality_crf, sharding, simhash, token_files, toxicity
 from cargoloom.llm.common import Query, table
 from cargoloom.session import new_work_path
 
@@ -44,3 +44,20 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op7_simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf, "labels")))
+
+
+@query
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return quality_crf.score(docs, quality_crf.fit(docs, table(spark, sf, "labels")))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents"))
