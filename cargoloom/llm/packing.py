@@ -40,26 +40,40 @@ def cuts(places: np.ndarray, costs: np.ndarray, length: int, window_cost: float)
     ``length``; ``costs`` are theirs. Ties go to the earlier start of the window.
     """
     x, n = places.tolist(), len(places)
-    price = costs.tolist()
-    powers = [p for p in (1 << k for k in range(length.bit_length())) if p <= length]
-    at = {p: i for i, p in enumerate(x)}
+    price = (costs + window_cost).tolist()
+    # Cuts a power of two before each cut, found for all cuts at once; few cuts have any.
+    powers = [1 << k for k in range(length.bit_length())]
+    number = np.full(int(places[-1]) + 1, -1)
+    number[places] = np.arange(n)
+    later, earlier = [], []
+    for p in powers:
+        exact = np.where(places >= p, number[np.maximum(places - p, 0)], -1)
+        later.append(np.flatnonzero(exact >= 0))
+        earlier.append(exact[later[-1]])
+    later, earlier = np.concatenate(later), np.concatenate(earlier)
+    order = np.argsort(later, kind="stable")
+    bounds, earlier = np.searchsorted(later[order], np.arange(n + 1)).tolist(), earlier[order].tolist()
     best, came = [0.0] * n, [0] * n
-    queue: deque[tuple[float, int]] = deque([(0.0, 0)])
+    keys: deque[float] = deque([0.0])
+    held: deque[int] = deque([0])
     for j in range(1, n):
         xj = x[j]
-        while x[queue[0][1]] < xj - length:
-            queue.popleft()
-        least, i = queue[0]
-        total = least + length - xj
-        for p in powers:
-            k = at.get(xj - p)
-            if k is not None and best[k] < total:
+        least = xj - length
+        while x[held[0]] < least:
+            held.popleft()
+            keys.popleft()
+        i, total = held[0], keys[0] - least
+        for k in earlier[bounds[j] : bounds[j + 1]]:
+            if best[k] < total:
                 total, i = best[k], k
-        best[j], came[j] = total + window_cost + price[j], i
-        key = best[j] + xj
-        while queue and queue[-1][0] > key:
-            queue.pop()
-        queue.append((key, j))
+        total += price[j]
+        best[j], came[j] = total, i
+        key = total + xj
+        while keys and keys[-1] > key:
+            keys.pop()
+            held.pop()
+        keys.append(key)
+        held.append(j)
     chosen = [n - 1]
     while chosen[-1]:
         chosen.append(came[chosen[-1]])
