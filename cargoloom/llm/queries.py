@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cargoloom.llm import mixing, packing, quality_crf, sharding, simhash, suffix_dedup, token_files, toxicity
+from cargoloom.llm import mixing, packing, quality_crf, sharding, simhash, suffix_dedup, syncmers, token_files, toxicity
 from cargoloom.llm.common import Query, table
 from cargoloom.session import new_work_path
 
@@ -66,3 +66,8 @@ def op10_mixing(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf, "documents")).drop("kept")
+
+
+@query
+def op9_syncmers(spark: SparkSession, sf: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf, "documents"))
