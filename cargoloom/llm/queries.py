@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cargoloom.llm import mixing, packing, quality_crf, sharding, simhash, suffix_dedup, syncmers, token_files, toxicity
+from cargoloom.llm import hnsw, mixing, packing, quality_crf, sharding, simhash, suffix_dedup, syncmers, token_files, toxicity
 from cargoloom.llm.common import Query, table
 from cargoloom.session import new_work_path
 
@@ -71,3 +72,8 @@ def op2_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op9_syncmers(spark: SparkSession, sf: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf, "documents"))
+
+
+@query
+def op3_hnsw(spark: SparkSession, sf: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)

@@ -363,14 +363,21 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
 def without_near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """``docs`` with one row of each group: that of the least ``doc_id``, all its columns as they were.
 
-    Of rows that repeat an id one stays, the first by text and then by the other columns' hash. Rows
-    without an id cannot be told apart by the groups and stay.
+    An id goes if each of its rows is in a group with a smaller id. Of rows that repeat an id that stays one is
+    kept, the first by hash of the text and then of all columns. Rows without an id have no group and stay.
     """
-    kept = near_duplicates(docs, words, distance).where("doc_id = component_id").select("doc_id").distinct()
-    # Only repeated ids need an order, and they are few: a filter by count keeps whole texts out of the sort.
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("doc_id IS NOT NULL AND n > 1").select("doc_id")
-    single = docs.join(kept, "doc_id", "left_semi").join(repeated, "doc_id", "left_anti")
-    several = docs.join(kept, "doc_id", "left_semi").join(repeated, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))), F.xxhash64(F.to_json(F.struct(*docs.columns))))
-    one = several.withColumn("__order", F.row_number().over(first)).where("__order = 1").drop("__order")
-    return single.unionByName(one).unionByName(docs.where("doc_id IS NULL"))
+    groups = near_duplicates(docs.select("doc_id", "text"), words, distance)
+    ids = saved(groups.groupBy("doc_id").agg(F.max("component_id").alias("group"), F.count("*").alias("n")), "grouped-ids")
+    kept = docs.join(ids.where("group < doc_id").select("doc_id"), "doc_id", "left_anti").select(*_names(docs))
+    repeated = ids.where("n > 1").select("doc_id")
+    if not repeated.limit(1).count():
+        return kept
+    several = kept.join(repeated, "doc_id", "left_semi").select(*_names(docs))
+    order = [F.xxhash64(F.coalesce("text", F.lit(""))), F.xxhash64(F.to_json(F.struct(*_names(docs))))]
+    one = several.withColumn("__order", F.row_number().over(Window.partitionBy("doc_id").orderBy(*order)))
+    single = kept.join(repeated, "doc_id", "left_anti").select(*_names(docs))
+    return single.unionByName(one.where("__order = 1").drop("__order"))
+
+
+def _names(docs: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in docs.columns]
