@@ -73,16 +73,20 @@ def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -35, 35)))
 
 
-def logistic(x: Rows, more: np.ndarray, y: np.ndarray, steps: int = 120, rate: float = 0.2, l2: float = 1e-3):
-    """Weights of present features, of the dense columns ``more``, and the intercept: L2-regularised log loss by Adam."""
+def logistic(
+    x: Rows, more: np.ndarray, y: np.ndarray, trust: np.ndarray, steps: int = 120, rate: float = 0.2, l2: float = 1e-3
+):
+    """Weights of present features, of the dense columns ``more``, and the intercept: L2-regularised log loss by Adam.
+
+    ``trust`` scales each feature: one of little evidence needs a large weight, which the regularisation holds back."""
     wide, dense = x.width, more.shape[1]
     theta = np.zeros(wide + dense + 1)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     theta[-1] = np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))
     for t in range(1, steps + 1):
-        r = (sigmoid(x.times(theta[:wide]) + more @ theta[wide:-1] + theta[-1]) - y) / max(len(y), 1)
-        g = np.concatenate((x.back(r), more.T @ r, [r.sum()])) + l2 * np.append(theta[:-1], 0) / 10
+        r = (sigmoid(x.times(theta[:wide] * trust) + more @ theta[wide:-1] + theta[-1]) - y) / max(len(y), 1)
+        g = np.concatenate((x.back(r) * trust, more.T @ r, [r.sum()])) + l2 * np.append(theta[:-1], 0) / 10
         first = 0.9 * first + 0.1 * g
         second = 0.999 * second + 0.001 * g * g
         theta -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-9)
-    return theta[:wide], theta[wide:-1], float(theta[-1])
+    return theta[:wide] * trust, theta[wide:-1], float(theta[-1])

@@ -522,6 +522,14 @@ def _with_repeated_ids(texts: DataFrame, length: int, options) -> DataFrame:
     return done.withColumn("doc_id", F.floor(F.col("doc_id") / most).cast("long"))
 
 
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sliced(batches):
+        texts = [raw.decode("utf-8", "ignore") for raw in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_pydict(
+            {"__id": batch.column(0), "__bytes": batch.column(1), "__kept": pa.array(texts, pa.string())}
+        )
+
+
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated passages cut from ``text`` and ``n_chars`` (where there is one) set anew; other columns as they were.
 
@@ -529,15 +537,13 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     nothing but white space is left go, unless it was so before. Rows without ``doc_id`` stay as they are. Of rows that repeat an
     id, each keeps what is left of its own text.
     """
-    kept = remove_repeats(docs, length).where("n_removed > 0").select("doc_id", "kept", "n_bytes", "n_removed")
+    cut = remove_repeats(docs.select("doc_id", "text"), length).where("n_removed > 0").select("doc_id", "n_bytes", "kept")
+    kept = cut.mapInArrow(_decoded, "__id long, __bytes long, __kept string")
     # Rows that repeat an id differ in their texts, so the text's length and what is left go with the row that has them.
-    key = F.struct(F.length("kept"), "kept")
-    by_size = kept.groupBy(F.col("doc_id").alias("__id"), F.col("n_bytes").alias("__bytes")).agg(F.min(key)["kept"].alias("__kept"))
+    by_size = kept.groupBy("__id", "__bytes").agg(F.min("__kept").alias("__kept"))
     own = docs.withColumn("__own_bytes", F.octet_length(F.coalesce(F.col("text"), F.lit("")))).alias("d")
     joined = own.join(by_size, (F.col("d.doc_id") == F.col("__id")) & (F.col("__own_bytes") == F.col("__bytes")), "left")
-    left = F.when(F.col("__id").isNull(), F.col("text")).otherwise(
-        F.regexp_replace(F.decode("__kept", "UTF-8"), "�", "")
-    )
+    left = F.when(F.col("__id").isNull(), F.col("text")).otherwise(F.col("__kept"))
     cut = joined.withColumn("__left", left).where(F.col("__id").isNull() | (F.trim("__left") != ""))
     columns = [
         F.col("__left").alias(c) if c == "text" else F.length("__left").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(f"d.`{c}`")

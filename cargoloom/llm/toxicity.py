@@ -29,6 +29,8 @@ from cargoloom.llm.samples import Rows, fold_of, labelled_sample, logistic, sigm
 ROWS_PER_CLASS = 3000
 FEATURES = 6000
 FOLDS = 3
+#: A clean row rejected counts as much as so many toxic rows missed.
+WRONGED = 2
 #: A language is a category of its own if the sample has this many toxic rows of it; at most LANGUAGES are.
 LANGUAGE_ROWS, LANGUAGES = 40, 8
 STEMS = (4, 5)
@@ -78,7 +80,7 @@ def _boundary(z: np.ndarray, y: np.ndarray, odds: float) -> float:
     value, toxic = z[order], y[order] == 1
     missed = np.r_[0, np.cumsum(toxic)] / odds
     wronged = np.r_[np.cumsum(~toxic[::-1])[::-1], 0]
-    errors = missed + wronged
+    errors = missed + WRONGED * wronged
     best = np.flatnonzero(errors == errors.min())
     i = int(best[len(best) // 2])
     low = value[i - 1] if i else value[0] - 1
@@ -115,7 +117,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     leaning = both.where("ones + zeros >= 3").select("feature", lean.alias("lean"))
     up = leaning.where("lean > 0").orderBy(F.desc("lean"), "feature").limit(3 * most // 4)
     down = leaning.where("lean <= 0").orderBy("lean", "feature").limit(most // 4)
-    features = {r["feature"]: i for i, r in enumerate(up.unionByName(down).collect())}
+    chosen = up.unionByName(down).collect()
+    features = {r["feature"]: i for i, r in enumerate(chosen)}
+    # Full trust from about ten toxic rows without a clean one on.
+    trust = np.clip(np.abs([r["lean"] for r in chosen]) / 10.0, 0.3, 1.0)
     chain = Chain(features, [])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,12 +155,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     fold = np.arange(len(y)) % FOLDS
     before = np.zeros((len(y), 0))
     for name, target in targets:
-        words, earlier, bias = logistic(x, before, target)
+        words, earlier, bias = logistic(x, before, target, trust)
         chain.links.append(Link(name, words, earlier, bias))
         outside = np.zeros(len(y))
         for f in range(FOLDS):
             fit_on, rest = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
-            w, v, b = logistic(x.take(fit_on), before[fit_on], target[fit_on])
+            w, v, b = logistic(x.take(fit_on), before[fit_on], target[fit_on], trust)
             outside[rest] = x.take(rest).times(w) + before[rest] @ v + b
         before = np.column_stack((before, sigmoid(outside)))
     chain.links[-1].bias -= _boundary(outside, y, rows[0]["odds"])
