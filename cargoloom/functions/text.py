@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # The Vietnamese vowels and the combining marks of the five written tones.
 VOWELS = "aăâeêioôơuưy"
@@ -48,10 +48,9 @@ def clip(text: Column | str, length: int = 255) -> Column:
     return F.substring(_col(text), 1, length)
 
 
-def trim_padding(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Drop trailing blanks that fixed-width source columns carry when read.
+def trim_padding(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Drop trailing blanks that the named fixed-width source columns carry when read.
 
     Without this, ``'e_wallet     '`` never equals ``'e_wallet'`` in a join.
     """
-    chosen = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
-    return df.withColumns({c: F.rtrim(F.col(c)) for c in chosen}) if chosen else df
+    return df.withColumns({c: F.rtrim(F.col(c)) for c in columns}) if columns else df

@@ -2,37 +2,34 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+
+from cargoloom.session import new_work_path
 
 _SALTS = "__salts"
 _SALT = "__salt"
 _HIT = "__hit"
 
 
-def frequent_keys(df: DataFrame, key: str, share: float | None = None) -> list[tuple]:
-    """``(value, salts)`` for each value of ``key`` that holds more than ``share`` of the rows.
+#: A key with more rows than this is spread over several tasks.
+ROWS_PER_TASK = 1_000_000
+
 
-    The default share is one shuffle partition's fair part, never below 1/10,000, so the
-    list has at most 10,000 entries whatever the data size. ``salts`` is the number of
-    fair parts the value's rows fill. It takes one pass over the key column, as a
-    mergeable sketch: nothing is shuffled by key.
+def frequent_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``key`` and ``__salts`` for each value with more than ``rows_per_task`` rows: how many tasks' worth of rows it has.
+
+    Exact counts, summed before the shuffle, so a busy key arrives as one row per task. The list has at most
+    rows / ``rows_per_task`` entries. It is written to the work folder, for it is used more than once.
     """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(share or 1.0 / max(partitions, 2), 1e-4)
-    most = math.ceil(1 / share)
-    # With this many tracked values the counts are off by about a tenth of the share.
-    sketch = F.expr(f"approx_top_k(`{key}`, {most}, {max(32 * most, 1000)})")
-    top, total = df.agg(sketch, F.count(F.lit(1))).first()
-    return [
-        (row["item"], min(math.ceil(row["count"] / (share * total)) + 1, most))
-        for row in top
-        if row["item"] is not None and row["count"] > share * total
-    ]
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    salts = F.ceil(F.col("__n") / F.lit(rows_per_task)).cast("int").alias(_SALTS)
+    frequent = counted.where(F.col("__n") > rows_per_task).select(key, salts)
+    path = new_work_path(df.sparkSession, "frequent-keys")
+    frequent.coalesce(1).write.parquet(path)
+    return df.sparkSession.read.schema(frequent.schema).parquet(path)
 
 
 def fan_out_left_join(
@@ -40,7 +37,7 @@ def fan_out_left_join(
     right: DataFrame,
     key: str,
     spread_by: Sequence[str],
-    share: float | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """``left LEFT JOIN right USING (key)`` where the right side may repeat a key very often.
 
@@ -49,16 +46,12 @@ def fan_out_left_join(
     ``spread_by``, and the few left rows of that key are copied once per salt. A copy
     whose salt got no right row is dropped: the key is known to have matches, so the
     copy is never the row that must stay unmatched. Keys that are not frequent take
-    the plain join.
+    the plain join, and so does everything where no key is frequent.
     """
-    frequent = frequent_keys(right, key, share)
-    if not frequent:
+    salts = frequent_keys(right, key, rows_per_task)
+    if salts.isEmpty():
         return left.join(right, key, "left")
 
-    spark = left.sparkSession
-    schema = StructType([StructField(key, right.schema[key].dataType), StructField(_SALTS, IntegerType())])
-    salts = F.broadcast(spark.createDataFrame(frequent, schema))  # at most 1 / share rows
-
     spread = (
         right.join(salts, key, "left")
         .withColumn(

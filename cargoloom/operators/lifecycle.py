@@ -199,18 +199,18 @@ def notification_timeline(
 
 
 def available_drivers(drivers: DataFrame, shipments: DataFrame) -> DataFrame:
-    """Drivers never assigned, or with any completed shipment; one row per driver.
+    """Drivers never assigned, or with any completed shipment; one row per driver. A missing status is not completed.
 
     Shipments are first reduced to one flag per driver, before they are shuffled.
     """
-    seen = shipments.groupBy("driver_id").agg(F.bool_or(F.col("status") == "completed").alias("__completed"))
+    seen = shipments.groupBy("driver_id").agg(F.coalesce(F.bool_or(F.col("status") == "completed"), F.lit(False)).alias("__completed"))
     free = F.col("__completed").isNull() | F.col("__completed")
     return drivers.select("driver_id").distinct().join(seen, "driver_id", "left").filter(free).select("driver_id")
 
 
 def idle_drivers(drivers: DataFrame, shipments: DataFrame) -> DataFrame:
-    """Drivers without any open shipment: the stricter form."""
-    busy = shipments.filter(F.col("status") != "completed").select("driver_id").distinct()
+    """Drivers without any open shipment: the stricter form. A shipment with a missing status is open."""
+    busy = shipments.filter(~F.col("status").eqNullSafe("completed")).select("driver_id").distinct()
     return drivers.select("driver_id").distinct().join(busy, "driver_id", "left_anti")
 
 

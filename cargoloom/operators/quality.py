@@ -240,6 +240,16 @@ def schema_conformance(df: DataFrame, table: str, rules: Sequence[ColumnRule]) -
     return union_checks(parts)
 
 
-def cast_to_declared(df: DataFrame, rules: Sequence[ColumnRule]) -> DataFrame:
-    """The declared columns in their order and types, for the warehouse edge; a misfit value is an error."""
-    return df.select(*[F.col(r.name).cast(r.spark_type()).alias(r.name) for r in rules])
+def cast_to_declared(df: DataFrame, rules: Sequence[ColumnRule], keep_text_ids: bool = False) -> DataFrame:
+    """The declared columns that the frame has, in their order and types, for the warehouse edge; a misfit value is an error.
+
+    With ``keep_text_ids`` a text column that is declared a whole number stays text: ids of sources that number in text,
+    which ``schema_conformance`` then reports.
+    """
+
+    def shaped(rule: ColumnRule) -> Column:
+        text = isinstance(df.schema[rule.name].dataType, StringType)
+        kept = keep_text_ids and text and rule.spark_type() in INTEGRAL_BITS
+        return F.col(rule.name) if kept else F.col(rule.name).cast(rule.spark_type()).alias(rule.name)
+
+    return df.select(*[shaped(r) for r in rules if r.name in df.columns])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cargoloom.functions.dates import date_key, minutes_between
 from cargoloom.functions.moments import moment
 from cargoloom.operators.joins import fan_out_left_join
-from cargoloom.operators.keys import dense_keys
+from cargoloom.operators.keys import dense_keys, stable_keys
 
 PAYMENT_POLICIES = ("all", "latest", "sum")
 
@@ -60,7 +60,8 @@ def fact_orders(
     etl_user: str,
     payment_policy: str = "all",
     dim_payment_method: DataFrame | None = None,
-    after_key: int = 0,
+    known_keys: DataFrame | None = None,
+    with_payment_id: bool = False,
 ) -> DataFrame:
     """One row per order and payment (or per order, see ``payments_per_order``).
 
@@ -68,8 +69,9 @@ def fact_orders(
     broadcasts a dimension whose measured size allows it and otherwise sorts and
     merges, and adaptive execution splits a busy user's or address's order rows. They
     come before the payments, while there is one row per order. With
-    ``dim_payment_method`` the method's key is looked up as well. Keys start above
-    ``after_key``, the highest one of earlier batches.
+    ``dim_payment_method`` the method's key is looked up as well. Keys are
+    those of ``known_keys`` (``order_key``, ``order_id``, ``payment_id``) for a fact known there, and follow the highest for
+    others; ``with_payment_id`` keeps the column that tells an order's facts apart, to save such keys.
     """
     places = dim_location.select("full_address", "location_key")
     placed = (
@@ -121,8 +123,11 @@ def fact_orders(
         "payment_id",
     )
     # The payment id makes the order total where an order has several payments.
-    numbered = dense_keys(shaped, ["order_id", "payment_id"], "order_key", after_key)
-    return numbered.select("order_key", *columns).withColumns(audit_columns(as_of, etl_user))
+    numbered = keyed_facts(shaped, ["order_id", "payment_id"], "order_key", known_keys)
+    last = ["payment_id"] if with_payment_id else []
+    return numbered.select("order_key", *[c for c in columns if c in rows.columns or c in shaped.columns], *last).withColumns(
+        audit_columns(as_of, etl_user)
+    )
 
 
 def fact_shipment_tracking(
@@ -132,9 +137,14 @@ def fact_shipment_tracking(
     as_of: datetime,
     etl_user: str,
     dim_location: DataFrame | None = None,
-    after_key: int = 0,
+    known_keys: DataFrame | None = None,
+    per_order_fact: bool = False,
 ) -> DataFrame:
-    """One row per shipment and matching order fact, with the minutes since its estimated time.
+    """One row per shipment, with the minutes since its estimated time.
+
+    An order with several facts (payment policy ``all``) gives the lowest ``order_key`` of them; with
+    ``per_order_fact`` its shipments get one row for each. Keys are those of ``known_keys`` (earlier tracking
+    facts) for a shipment and order known there, and follow the highest for others.
 
     With ``dim_location`` the key of the current location is looked up as well. The
     lookups in dimensions come first, before an order with several facts repeats rows.
@@ -150,7 +160,11 @@ def fact_shipment_tracking(
         rows = rows.join(places, F.trim("current_location") == F.col("__place"), "left").drop("__place")
         location_key = ["current_location_key"]
     facts = fact_orders.select("order_id", "order_key")
-    rows = fan_out_left_join(rows.drop("driver_id"), facts, "order_id", spread_by=["order_key"])
+    if per_order_fact:
+        rows = fan_out_left_join(rows.drop("driver_id"), facts, "order_id", spread_by=["order_key"])
+    else:
+        one = facts.groupBy("order_id").agg(F.min("order_key").alias("order_key"))
+        rows = rows.drop("driver_id").join(one, "order_id", "left")
 
     shaped = rows.select(
         "shipment_id",
@@ -163,5 +177,18 @@ def fact_shipment_tracking(
         "current_location",
         minutes_between(F.col("estimated_delivery_time"), moment(as_of)).alias("elapsed_time_minutes"),
     )
-    numbered = dense_keys(shaped, ["shipment_id", "order_key"], "tracking_key", after_key)
+    known = None if known_keys is None else known_keys.select("tracking_key", "shipment_id", "order_key")
+    # A shipment keeps its key when its order arrives later.
+    natural = ["shipment_id", "order_key"] if per_order_fact else ["shipment_id"]
+    numbered = keyed_facts(shaped, natural, "tracking_key", known)
     return numbered.withColumns(audit_columns(as_of, etl_user))
+
+
+def keyed_facts(rows: DataFrame, natural: list[str], key: str, known: DataFrame | None) -> DataFrame:
+    """Facts with a key per natural key: the known one, else the next ones in order. Nulls count as values."""
+    if known is None:
+        return dense_keys(rows, natural, key)
+    name = F.to_json(F.struct(*natural), {"ignoreNullFields": "false"})
+    held = known.select(key, name.alias("__natural"))
+    kept = stable_keys(rows.withColumn("__natural", name), held, "__natural", key, natural)
+    return kept.drop("__natural")

@@ -10,9 +10,10 @@ from time import monotonic
 
 from pyspark.sql import DataFrame
 
+from cargoloom.functions.moments import batch_id
 from cargoloom.functions.text import trim_padding
 from cargoloom.sinks.zones import Zones
-from cargoloom.sources.incremental import high_water_mark, newer_than
+from cargoloom.sources.incremental import newer_than
 from cargoloom.sources.specs import LOGISTICS_TABLES, TableSpec
 
 Reader = Callable[[TableSpec], DataFrame]
@@ -28,7 +29,7 @@ def each(tasks: Sequence[Callable], max_concurrent: int = 4) -> list:
 def land(read: Reader, zones: Zones, spec: TableSpec, as_of: datetime) -> list[Metric]:
     """Land one whole table; the row count comes from the write itself."""
     started = monotonic()
-    rows = zones.land_raw(trim_padding(read(spec)), spec, as_of)
+    rows = zones.land_raw(trim_padding(read(spec), spec.padded), spec, as_of)
     return [("landing", spec.name, "rows", rows), ("landing", spec.name, "seconds", monotonic() - started)]
 
 
@@ -46,22 +47,19 @@ def land_all(
 def land_increment(
     df: DataFrame, zones: Zones, spec: TableSpec, as_of: datetime, after: datetime | None
 ) -> tuple[int, datetime | None]:
-    """Land the rows above the mark; returns their number and the next mark.
+    """Land the rows above the mark as the batch ``as_of``; returns their number and the next mark.
 
-    Pass the mark of the last run (see ``landed_mark``). Running a day's increment again
-    replaces that day's rows.
+    Pass the mark that the batches before reached (see ``landed_mark``). Landing the batch again replaces its rows, all of
+    them; another ``as_of`` of the same day is another batch.
     """
     if spec.incremental_column is None:
         raise ValueError(f"{spec.name} has no incremental column")
     fresh = newer_than(df, spec.incremental_column, after)
-    rows = zones.land_raw(trim_padding(fresh), spec, as_of, increment=True)
-    landed = zones.read("raw", spec.name, merge_schema=False)
-    mark = high_water_mark(landed, spec.incremental_column).first()["mark"]
+    rows, mark = zones.land_batch(trim_padding(fresh, spec.padded), spec, as_of)
     return rows, mark or after
 
 
 def landed_mark(zones: Zones, spec: TableSpec, before: datetime) -> datetime | None:
-    """The mark reached by increments of days before ``before``; reads those directories only."""
-    landed = zones.read("raw", spec.name, merge_schema=False)
-    earlier = landed.filter(landed["dl_process_date"] < before.date())
-    return high_water_mark(earlier, spec.incremental_column).first()["mark"]
+    """The mark reached by batches before ``before``, from the marks kept with them: one small row per batch."""
+    held = zones.increments(spec.name).items()
+    return max((e["mark"] for b, e in held if b < batch_id(before) and e["mark"] is not None), default=None)

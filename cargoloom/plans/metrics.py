@@ -12,6 +12,7 @@ from cargoloom.functions.moments import batch_id, moment
 from cargoloom.operators.quality import key_checks, null_key_checks, union_checks
 
 BUILD_VERSION = "1.0.0"
+FACT_KEYS = {"fact_orders": "order_key", "fact_shipment_tracking": "tracking_key"}
 METRIC_SCHEMA = "run_id string, phase string, table_name string, metric string, value double"
 
 
@@ -29,6 +30,8 @@ def transform_metrics(dimensions: dict[str, DataFrame], facts: dict[str, DataFra
     for name, df in facts.items():
         keys = [c for c in df.columns if c.endswith("_key")]
         parts.append(null_key_checks(df, f"fact_{name}", keys))
+        own = key_checks(df, f"fact_{name}", FACT_KEYS[f"fact_{name}"])
+        parts.append(own.filter("check_name = 'duplicate_keys'"))
     return union_checks(parts)
 
 

@@ -12,52 +12,54 @@ from pyspark.sql import functions as F
 from cargoloom.functions.moments import batch_id
 from cargoloom.operators.quality import cast_to_declared, orphan_checks, union_checks
 from cargoloom.operators.upsert import updatable_columns, upsert
-from cargoloom.plans.dimensions import dim_date_covering, dim_driver, dim_location, dim_user
+from cargoloom.plans.dimensions import dim_date_covering, dim_driver, dim_location, dim_payment_method, dim_user
 from cargoloom.plans.facts import fact_orders, fact_shipment_tracking
 from cargoloom.plans.landing import Metric, Reader, each, land_all
 from cargoloom.plans.metrics import metric_rows, save_metrics, transform_metrics
 from cargoloom.plans.warehouse_schema import FOREIGN_KEYS, TABLES, foreign_key_columns
-from cargoloom.session import path_exists, work_scope
+from cargoloom.session import work_scope
 from cargoloom.sinks.versions import VersionedTables
-from cargoloom.sinks.zones import Zones, write_batch
+from cargoloom.sinks.zones import Zones
 from cargoloom.sources.jdbc import JdbcSource
-from cargoloom.sources.specs import LOGISTICS_TABLES, TableSpec
+from cargoloom.sources.specs import LOGISTICS_TABLES, ROWS_PER_PARTITION, TableSpec
 
-DIMENSIONS = ("date", "user", "driver", "location")
-FACT_KEYS = {"fact_orders": "order_key", "fact_shipment_tracking": "tracking_key"}
+
+
+#: What a run brings facts of: all of an owner's facts come together.
+FACT_OWNERS = {"fact_orders": "order_id", "fact_shipment_tracking": "shipment_id"}
 
 
 def load_dimension(tables: VersionedTables, df: DataFrame, table: str, key: str, as_of: datetime) -> int:
-    """Merge a dimension into the warehouse by its key, foreign keys of known rows untouched."""
-    current = tables.current(table)
+    """Merge a dimension, in its declared types, into the warehouse as it was before ``as_of``, by its key; foreign keys of
+    known rows stay untouched. A repeat of the run merges into the same state again."""
+    df, current = cast_to_declared(df, TABLES[table], keep_text_ids=True), tables.before(table, as_of)
     if current is None:
         return tables.publish(df, table, as_of)
     update = updatable_columns(df, key, foreign_key_columns(table))
     return tables.publish(upsert(current, df, key, update), table, as_of)
 
 
+def load_fact(tables: VersionedTables, df: DataFrame, table: str, as_of: datetime) -> int:
+    """Merge facts, in their declared types, into the warehouse as it was before ``as_of``: all facts of an order or
+    shipment that is there again give way to the new ones."""
+    df, current = cast_to_declared(df, TABLES[table], keep_text_ids=True), tables.before(table, as_of)
+    if current is not None:
+        own = FACT_OWNERS[table]
+        df = df.unionByName(current.join(df.select(own), own, "left_anti"), allowMissingColumns=True)
+    return tables.publish(df, table, as_of)
+
+
 def load_database(
-    target: JdbcSource, dims: dict[str, DataFrame], facts: dict[str, DataFrame], partitions: int = 4
+    target: JdbcSource,
+    dims: dict[str, DataFrame],
+    facts: dict[str, DataFrame],
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> None:
     """Load a relational warehouse: dimensions staged as ``temp_dim_*`` for its merge, then facts appended."""
     for name, df in dims.items():
         target.stage(cast_to_declared(df, TABLES[f"dim_{name}"]), f"dim_{name}")
     for name, df in facts.items():
-        target.append(cast_to_declared(df, TABLES[f"fact_{name}"]), f"fact_{name}", partitions)
-
-
-def highest_key(zones: Zones, table: str, as_of: datetime) -> int:
-    """The highest fact key of earlier batches, so that keys stay unique over the history."""
-    if not path_exists(zones.spark, zones.path("processed", table)):
-        return 0
-    history = zones.read("processed", table, merge_schema=False)
-    earlier = history.filter(F.col("dl_batch_id") != batch_id(as_of))
-    return earlier.agg(F.coalesce(F.max(FACT_KEYS[table]), F.lit(0))).first()[0]
-
-
-def batch_of(zones: Zones, table: str, as_of: datetime) -> DataFrame:
-    rows = zones.read("processed", table, merge_schema=False)
-    return rows.filter(F.col("dl_batch_id") == batch_id(as_of)).drop("dl_batch_id")
+        target.append(cast_to_declared(df, TABLES[f"fact_{name}"]), f"fact_{name}", rows_per_partition)
 
 
 def build_tables(
@@ -67,6 +69,7 @@ def build_tables(
     as_of: datetime,
     etl_user: str,
     payment_policy: str = "all",
+    payment_methods: bool = False,
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame], list[Metric]]:
     """Build and save dimensions and facts from the raw zone; later steps read what was saved."""
     raw = {n: zones.read("raw", n, merge_schema=False) for n in ("users", "drivers", "orders", "shipments", "payments")}
@@ -81,9 +84,9 @@ def build_tables(
         return zones.read("processed", f"dim_{name}", merge_schema=False)
 
     def build_users_and_drivers() -> dict[str, DataFrame]:
-        user = save_dim("user", lambda: dim_user(raw["users"], as_of, warehouse.current("dim_user")))
+        user = save_dim("user", lambda: dim_user(raw["users"], as_of, warehouse.before("dim_user", as_of)))
         driver = save_dim(
-            "driver", lambda: dim_driver(raw["drivers"], user, as_of, warehouse.current("dim_driver"))
+            "driver", lambda: dim_driver(raw["drivers"], user, as_of, warehouse.before("dim_driver", as_of))
         )
         return {"user": user, "driver": driver}
 
@@ -91,19 +94,23 @@ def build_tables(
         return {"date": save_dim("date", lambda: dim_date_covering(dates_of(raw), "day"))}
 
     def build_locations() -> dict[str, DataFrame]:
-        known = warehouse.current("dim_location")
+        known = warehouse.before("dim_location", as_of)
         return {"location": save_dim("location", lambda: dim_location(raw["orders"], as_of, known))}
 
-    built = each([build_dates, build_users_and_drivers, build_locations])
-    dims = {name: df for part in built for name, df in part.items()}
+    def build_methods() -> dict[str, DataFrame]:
+        return {"payment_method": save_dim("payment_method", lambda: dim_payment_method(spark))}
+
+    parts = [build_dates, build_users_and_drivers, build_locations, *([build_methods] if payment_methods else [])]
+    dims = {name: df for part in each(parts) for name, df in part.items()}
 
     def save_fact(table: str, build: Callable[[], DataFrame]) -> DataFrame:
         started = monotonic()
-        rows = zones.load_batch(build(), table, as_of)
+        rows = zones.load_processed(build(), table)
         metrics.extend([("build", table, "rows", rows), ("build", table, "seconds", monotonic() - started)])
-        return batch_of(zones, table, as_of)
+        return zones.read("processed", table, merge_schema=False)
 
-    orders = save_fact(
+    # Keys once given to an order and payment, in a table of their own as the facts do not show payments.
+    held = save_fact(
         "fact_orders",
         lambda: fact_orders(
             raw["orders"],
@@ -113,9 +120,16 @@ def build_tables(
             as_of,
             etl_user,
             payment_policy,
-            after_key=highest_key(zones, "fact_orders", as_of),
+            dim_payment_method=dims.get("payment_method"),
+            known_keys=warehouse.before("keys_fact_orders", as_of),
+            with_payment_id=True,
         ),
     )
+    keys = held.select("order_key", "order_id", "payment_id")
+    known = warehouse.before("keys_fact_orders", as_of)
+    gone = keys if known is None else keys.unionByName(known.join(keys.select("order_key"), "order_key", "left_anti"))
+    warehouse.publish(gone, "keys_fact_orders", as_of)
+    orders = held.drop("payment_id")
     tracking = save_fact(
         "fact_shipment_tracking",
         lambda: fact_shipment_tracking(
@@ -124,7 +138,7 @@ def build_tables(
             dims["driver"],
             as_of,
             etl_user,
-            after_key=highest_key(zones, "fact_shipment_tracking", as_of),
+            known_keys=warehouse.before("fact_shipment_tracking", as_of),
         ),
     )
     return dims, {"orders": orders, "shipment_tracking": tracking}, metrics
@@ -157,19 +171,23 @@ def run(
     specs: Sequence[TableSpec] = LOGISTICS_TABLES,
     payment_policy: str = "all",
     required_checks: Sequence[str] = (),
+    payment_methods: bool = False,
 ) -> DataFrame:
     """Run everything for ``as_of`` and return the run's metrics, which are also saved.
 
-    Dimensions are merged into the warehouse before the facts that refer to them; the
-    facts of the run are one batch of the history, in the processed zone and the warehouse.
-    The checks come before the warehouse: all are recorded, and a failed one among
+    The processed zone holds the tables of the last run. The warehouse holds every dimension row and fact once, with the
+    key it was first given: each run merges into the warehouse as it was before ``as_of``, so the same run may be
+    repeated, or finished after it broke off. An ``as_of`` older than what the warehouse holds is refused.
+    With ``payment_methods`` their dimension is built and looked up too. The checks come before the warehouse: all are recorded, and a failed one among
     ``required_checks`` (such as ``duplicate_keys``) stops the run.
     """
     zones = Zones(spark, base_path)
     warehouse = VersionedTables(spark, f"{base_path.rstrip('/')}/warehouse")
     with work_scope(spark):
         metrics = land_all(read, zones, as_of, specs)
-        dims, facts, built = build_tables(spark, zones, warehouse, as_of, etl_user, payment_policy)
+        dims, facts, built = build_tables(
+            spark, zones, warehouse, as_of, etl_user, payment_policy, payment_methods
+        )
 
     # One row per table and check, some dozens in all.
     checks = union_checks([transform_metrics(dims, facts), reference_checks(dims, facts)]).collect()
@@ -182,13 +200,11 @@ def run(
         table = f"dim_{name}"
         return ("warehouse", table, "rows", load_dimension(warehouse, dims[name], table, f"{name}_key", as_of))
 
-    def load_fact(name: str) -> Metric:
-        table = f"fact_{name}"
-        path = f"{base_path.rstrip('/')}/warehouse/{table}"
-        return ("warehouse", table, "rows", write_batch(facts[name], path, as_of))
+    def load_facts(name: str) -> Metric:
+        return ("warehouse", f"fact_{name}", "rows", load_fact(warehouse, facts[name], f"fact_{name}", as_of))
 
-    loaded = each([lambda n=n: load(n) for n in DIMENSIONS])
-    loaded += each([lambda n=n: load_fact(n) for n in facts])
+    loaded = each([lambda n=n: load(n) for n in dims])
+    loaded += each([lambda n=n: load_facts(n) for n in facts])
     rows = metric_rows(spark, as_of, [*metrics, *built, *checked, *loaded])
     save_metrics(rows, base_path)
     saved = spark.read.parquet(f"{base_path.rstrip('/')}/metrics")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -41,16 +40,12 @@ def build_session(app_name: str = "cargoloom", master: str | None = None, **sett
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for data that must outlive an executor.
 
-    It is whatever the cluster names in ``spark.checkpoint.dir``. Only a local
-    session may fall back to a temporary folder of this machine.
+    It is whatever the cluster names in ``spark.checkpoint.dir``, or the context's checkpoint folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master").startswith("local"):
+    if not named:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cargoloom-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return named.rstrip("/")
 
 
 def new_work_path(spark: SparkSession, label: str) -> str:

@@ -2,23 +2,27 @@
 
 A new version is written to its own directory and then entered in the table's small log;
 readers take the newest entry. A run that dies before the log entry leaves the old version current.
-Old version directories stay until the file system's owner removes them.
+Publishing a version again is a newer attempt at it, in a directory of its own: build it from ``before`` that version.
+The log keeps each attempt's schema, so partition columns come back with the types they had.
+Old directories stay until the file system's owner removes them.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cargoloom.functions.moments import batch_id
 from cargoloom.session import path_exists
 from cargoloom.sinks.zones import write_parquet
 
-_LOG_SCHEMA = "version string"
+_LOG_SCHEMA = "version string, attempt int, schema string"
 
 
 @dataclass(frozen=True)
@@ -29,26 +33,45 @@ class VersionedTables:
     def _log_path(self, table: str) -> str:
         return f"{self.base_path.rstrip('/')}/{table}/log"
 
-    def _path(self, table: str, version: str) -> str:
-        return f"{self.base_path.rstrip('/')}/{table}/version_{version}"
+    def _path(self, table: str, version: str, attempt: int) -> str:
+        return f"{self.base_path.rstrip('/')}/{table}/version_{version}_{attempt}"
 
-    def current_version(self, table: str) -> str | None:
+    def _newest(self, table: str, before: str | None = None):
+        """The log entry of the newest attempt at the newest version, or at the newest one before a version."""
         if not path_exists(self.spark, self._log_path(table)):
             return None
         log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path(table))
-        return log.agg(F.max("version")).first()[0]
+        log = log if before is None else log.filter(F.col("version") < before)
+        return log.agg(F.max(F.struct("version", "attempt", "schema")).alias("entry")).first()["entry"]
+
+    def _read(self, table: str, entry) -> DataFrame | None:
+        if entry is None:
+            return None
+        schema = StructType.fromJson(json.loads(entry["schema"]))
+        return self.spark.read.schema(schema).parquet(self._path(table, entry["version"], entry["attempt"]))
+
+    def current_version(self, table: str) -> str | None:
+        entry = self._newest(table)
+        return None if entry is None else entry["version"]
 
     def current(self, table: str) -> DataFrame | None:
-        version = self.current_version(table)
-        return None if version is None else self.spark.read.parquet(self._path(table, version))
+        return self._read(table, self._newest(table))
+
+    def before(self, table: str, as_of: datetime) -> DataFrame | None:
+        """The table as it was before version ``as_of``, whether that version is there yet or not."""
+        return self._read(table, self._newest(table, batch_id(as_of)))
 
     def publish(self, df: DataFrame, table: str, as_of: datetime, partition_by: Sequence[str] = ()) -> int:
-        """Write ``df`` as the table's version ``as_of`` and make it current; ``df`` may read the old version."""
-        version = batch_id(as_of)
-        if version == self.current_version(table):
-            raise ValueError(f"{table} already has version {version}; the rows may be read from it")
-        rows = write_parquet(df, self._path(table, version), "overwrite", partition_by)
-        entry = self.spark.createDataFrame([(version,)], _LOG_SCHEMA)
+        """Write ``df`` as the table's version ``as_of`` and make it current; ``df`` may read older versions and attempts.
+
+        A version older than the current one could not become current and is refused.
+        """
+        version, newest = batch_id(as_of), self._newest(table)
+        if newest is not None and version < newest["version"]:
+            raise ValueError(f"{table} already has version {newest['version']}, newer than {version}")
+        attempt = newest["attempt"] + 1 if newest is not None and version == newest["version"] else 1
+        rows = write_parquet(df, self._path(table, version, attempt), "overwrite", partition_by)
+        entry = self.spark.createDataFrame([(version, attempt, df.schema.json())], _LOG_SCHEMA)
         entry.coalesce(1).write.mode("append").parquet(self._log_path(table))
         return rows
 
@@ -67,7 +90,7 @@ def apply_retention(
     column: str = "dl_process_date",
 ) -> int:
     """Publish the retained rows as the next version; returns how many there are."""
-    rows = tables.current(table)
+    rows = tables.before(table, as_of)
     if rows is None:
         raise ValueError(f"no version of {table} to clean up")
     return tables.publish(retained(rows, as_of, days, column), table, as_of, partition_by)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -11,8 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cargoloom.functions.moments import batch_id, moment, moment_date
+from cargoloom.session import path_exists
 from cargoloom.sources.specs import TableSpec
 
+_INCREMENT_LOG = (
+    "number int, batch string, attempt int, rows long, mark timestamp_ntz, whole boolean, schema string"
+)
 ZONES = ("raw", "staging", "processed")
 LINEAGE = ("dl_ingestion_timestamp", "dl_source_table", "dl_batch_id", "dl_process_date")
 
@@ -35,22 +40,19 @@ def with_file_partitions(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, lis
 
 
 def write_parquet(
-    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (), dynamic: bool = False
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> int:
     """Write snappy parquet and return the row count, taken during the write.
 
     Partitioned writes are first rebalanced on the partition columns: each directory gets
     few files of the advisory size, and adaptive execution splits the directory that
-    holds a large part of all rows over several tasks. ``dynamic`` overwrites only the
-    partitions that occur in ``df``.
+    holds a large part of all rows over several tasks.
     """
     counted = Observation()
     rows = df.hint("rebalance", *partition_by) if partition_by else df
     writer = rows.observe(counted, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
     return counted.get["n"]
 
@@ -82,24 +84,95 @@ class Zones:
             raise ValueError(f"zone must be one of {ZONES}, not {zone!r}")
         return f"{self.base_path.rstrip('/')}/{zone}/{table}"
 
-    def land_raw(self, df: DataFrame, spec: TableSpec, as_of: datetime, increment: bool = False) -> int:
-        """Write a source table with lineage columns; returns its row count.
-
-        A full load replaces the table. An increment replaces only its own process
-        date's directories, so that running a batch again does not repeat its rows.
-        """
+    def land_raw(self, df: DataFrame, spec: TableSpec, as_of: datetime) -> int:
+        """Write a whole source table with lineage columns; returns its row count. It replaces all increments so far."""
+        rows, partition_by = with_file_partitions(with_lineage(df, spec.name, as_of), spec)
+        n = self._write(rows, "raw", spec.name, "overwrite", partition_by)
+        if self.increments(spec.name):
+            self._log_increment(spec.name, (batch_id(as_of), 0, 0, None, True, ""))
+        return n
+
+    # An increment is one batch. Each attempt at it has a directory of its own and, once written, a row in the table's
+    # small log with its row count and mark; readers take the last attempt at each batch. So a repeat replaces the batch
+    # as a whole, whatever file partitions its rows are in, and another batch of the same day stands beside it.
+
+    def _increment_path(self, table: str) -> str:
+        return f"{self.path('raw', table)}__increments"
+
+    def _log_increment(self, table: str, entry: tuple) -> None:
+        log = self.spark.createDataFrame([(self._entries(table), *entry)], _INCREMENT_LOG)
+        log.coalesce(1).write.mode("append").parquet(f"{self._increment_path(table)}/log")
+
+    def _log(self, table: str) -> list:
+        path = f"{self._increment_path(table)}/log"
+        if not path_exists(self.spark, path):
+            return []
+        return sorted(self.spark.read.schema(_INCREMENT_LOG).parquet(path).collect(), key=lambda e: e["number"])
+
+    def _entries(self, table: str) -> int:
+        return len(self._log(table))
+
+    def increments(self, table: str) -> dict[str, object]:
+        """The last attempt's log entry of each batch since the last full load, one small row per batch."""
+        found: dict[str, object] = {}
+        for entry in self._log(table):
+            if entry["whole"]:
+                found.clear()
+            else:
+                found[entry["batch"]] = entry
+        return found
+
+    def land_batch(self, df: DataFrame, spec: TableSpec, as_of: datetime, batch: str | None = None):
+        """Write an increment as a batch (by default ``as_of``'s), in place of earlier attempts at it; rows and their mark."""
         rows, partition_by = with_file_partitions(with_lineage(df, spec.name, as_of), spec)
-        if increment:
-            partition_by = ["dl_process_date", *partition_by]
-        return write_parquet(rows, self.path("raw", spec.name), "overwrite", partition_by, dynamic=increment)
+        batch = batch or batch_id(as_of)
+        attempt = 1 + sum(1 for e in self._log(spec.name) if e["batch"] == batch)
+        place = f"{self._increment_path(spec.name)}/batches/dl_increment={batch}/dl_attempt={attempt}"
+        writer = (rows.hint("rebalance", *partition_by) if partition_by else rows).write
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(place)
+        # Of this batch alone, and of its files only the marks.
+        written = self.spark.read.schema(rows.schema).parquet(place)
+        mark = F.max(spec.incremental_column).cast("timestamp_ntz") if spec.incremental_column else F.lit(None)
+        n, mark = written.agg(F.count(F.lit(1)), mark).first()
+        self._log_increment(spec.name, (batch, attempt, n, mark, False, rows.schema.json()))
+        return n, mark
+
+    def _increment_rows(self, table: str) -> DataFrame | None:
+        found = self.increments(table)
+        if not found:
+            return None
+        root = f"{self._increment_path(table)}/batches"
+        paths = [f"{root}/dl_increment={b}/dl_attempt={e['attempt']}" for b, e in found.items() if e["rows"]]
+        fields = {f.name: f for e in found.values() for f in StructType.fromJson(json.loads(e["schema"])).fields}
+        schema = StructType(list(fields.values()))
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*paths).select(*schema.names)
+
+    def _schema_path(self, zone: str, table: str) -> str:
+        return f"{self.base_path.rstrip('/')}/_schemas/{zone}/{table}"
+
+    def _write(self, df: DataFrame, zone: str, table: str, mode: str, partition_by: Sequence[str]) -> int:
+        """Write, and keep the schema where directory names would leave a column's type to be guessed."""
+        n = write_parquet(df, self.path(zone, table), mode, partition_by)
+        if partition_by:
+            kept = self.spark.createDataFrame([(df.schema.json(),)], "schema string")
+            kept.coalesce(1).write.mode("overwrite").parquet(self._schema_path(zone, table))
+        return n
+
+    def _kept_schema(self, zone: str, table: str) -> StructType | None:
+        path = self._schema_path(zone, table)
+        if not path_exists(self.spark, path):
+            return None
+        return StructType.fromJson(json.loads(self.spark.read.schema("schema string").parquet(path).first()[0]))
 
     def load_staging(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> int:
-        return write_parquet(df, self.path("staging", table), "overwrite", partition_by)
+        return self._write(df, "staging", table, "overwrite", partition_by)
 
     def load_processed(
         self, df: DataFrame, table: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
     ) -> int:
-        return write_parquet(df, self.path("processed", table), mode, partition_by)
+        return self._write(df, "processed", table, mode, partition_by)
 
     def load_batch(self, df: DataFrame, table: str, as_of: datetime) -> int:
         """Add a batch to a processed table's history; the same batch again replaces itself."""
@@ -115,9 +188,16 @@ class Zones:
     ) -> DataFrame:
         """A zone table with the columns of all its files, optionally only some of them.
 
-        Merging opens every file's footer; for a table of very many files pass its
-        ``schema``, or ``merge_schema=False`` if all files are alike.
+        A partitioned table comes back with the schema it was written with. Otherwise merging opens every file's
+        footer; for a table of very many files pass its ``schema``, or ``merge_schema=False`` if all files are alike.
+        A raw table is its last full load and the batches landed since.
         """
+        path, batches = self.path(zone, table), self._increment_rows(table) if zone == "raw" else None
+        if batches is not None and not path_exists(self.spark, path):
+            return batches.select(*columns) if columns else batches
+        schema = schema or self._kept_schema(zone, table)
         reader = self.spark.read.option("mergeSchema", str(merge_schema and schema is None).lower())
-        rows = (reader.schema(schema) if schema else reader).parquet(self.path(zone, table))
+        rows = (reader.schema(schema) if schema else reader).parquet(path)
+        if batches is not None:
+            rows = rows.unionByName(batches, allowMissingColumns=True)
         return rows.select(*columns) if columns else rows

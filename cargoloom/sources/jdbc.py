@@ -2,42 +2,44 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargoloom.sources.specs import TableSpec
+from cargoloom.sources.specs import ROWS_PER_PARTITION, TableSpec
 
-# Below this many rows, read with that many partitions; else with the last number.
+# Below this many rows, read with at least that many partitions; else with at least the last number.
 PARTITION_LADDER = ((100_000, 4), (1_000_000, 8))
 PARTITIONS_ABOVE = 16
 FETCH_SIZE = 100_000
 BATCH_SIZE = 10_000
 
 
-def partitions_for(
-    rows: int,
-    ladder: Sequence[tuple[int, int]] = PARTITION_LADDER,
-    above: int = PARTITIONS_ABOVE,
-    rows_per_partition: int | None = None,
-) -> int:
-    """How many ranges to read a table of ``rows`` rows in.
+def partitions_for(rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """How many ranges to read or write ``rows`` rows in: one per ``rows_per_partition``, never below the ladder's number.
 
-    The ladder suits tables of a few million rows. For larger ones give
-    ``rows_per_partition``: the number then grows with the table, never below the ladder's.
+    There is no upper limit. How many run at once is for the cluster's cores and the database's connections to say.
     """
-    step = next((n for limit, n in ladder if rows < limit), above)
-    return step if rows_per_partition is None else max(step, -(-rows // rows_per_partition))
+    step = next((n for limit, n in PARTITION_LADDER if rows < limit), PARTITIONS_ABOVE)
+    return max(step, -(-rows // rows_per_partition))
 
 
-def partitions_column(rows: Column, ladder: Sequence[tuple[int, int]] = PARTITION_LADDER) -> Column:
-    """The ladder as a column, to list it next to the bounds of many tables."""
-    steps = [F.when(rows < limit, n) for limit, n in reversed(ladder)]
-    return reduce(lambda higher, step: step.otherwise(higher), steps, F.lit(PARTITIONS_ABOVE))
+@dataclass(frozen=True)
+class ReadBounds:
+    """Smallest and largest key, row count, and the number of ranges to read them in."""
+
+    min_id: int | None
+    max_id: int | None
+    total_count: int
+    partitions: int
+
+
+def read_bounds(bounds_row: DataFrame, rows_per_partition: int = ROWS_PER_PARTITION) -> ReadBounds:
+    """The bounds of a one-row frame ``(min_id, max_id, total_count)``, from SQL or from ``bounds``."""
+    low, high, rows = bounds_row.first()
+    return ReadBounds(low, high, rows, partitions_for(rows, rows_per_partition))
 
 
 def bounds(df: DataFrame, column: str) -> DataFrame:
@@ -49,19 +51,6 @@ def bounds(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def range_predicates(column: str, low: int, high: int, partitions: int) -> list[str]:
-    """``partitions`` WHERE clauses that cover [low, high] and, in the first, null keys."""
-    width = max(-(-(high + 1 - low) // partitions), 1)
-    starts = list(range(low, high + 1, width))
-    clauses = []
-    for i, start in enumerate(starts):
-        lower = None if i == 0 else f"{column} >= {start}"
-        upper = None if i == len(starts) - 1 else f"{column} < {start + width}"
-        both = " AND ".join(c for c in (lower, upper) if c) or "1 = 1"
-        clauses.append(f"({both}) OR {column} IS NULL" if i == 0 else both)
-    return clauses
-
-
 @dataclass(frozen=True)
 class JdbcSource:
     """One database. Credentials come from the caller's ``options``, never from here."""
@@ -84,7 +73,7 @@ class JdbcSource:
         table: str,
         partition_column: str | None = None,
         where: str | None = None,
-        rows_per_partition: int | None = None,
+        rows_per_partition: int = ROWS_PER_PARTITION,
     ) -> DataFrame:
         """A whole or filtered table, read in parallel ranges if a partition column is given.
 
@@ -94,16 +83,16 @@ class JdbcSource:
         relation = filtered_relation(table, where)
         if partition_column is None:
             return self.scan(relation)
-        low, high, rows = self.scan(bounds_relation(table, partition_column, where)).first()
-        if rows == 0 or high is None:
+        found = read_bounds(self.scan(bounds_relation(table, partition_column, where)), rows_per_partition)
+        if found.total_count == 0 or found.max_id is None:
             return self.scan(relation)
         return (
             self._reader()
             .option("dbtable", relation)
             .option("partitionColumn", partition_column)
-            .option("lowerBound", str(low))
-            .option("upperBound", str(high + 1))
-            .option("numPartitions", str(partitions_for(rows, rows_per_partition=rows_per_partition)))
+            .option("lowerBound", str(found.min_id))
+            .option("upperBound", str(found.max_id + 1))
+            .option("numPartitions", str(found.partitions))
             .load()
         )
 
@@ -113,7 +102,9 @@ class JdbcSource:
         return self.extract(table, partition_column, incremental_clause(timestamp_column, after))
 
     def extract_spec(self, spec: TableSpec) -> DataFrame:
-        return self.extract(spec.source_table or spec.name, spec.partition_column)
+        return self.extract(
+            spec.source_table or spec.name, spec.partition_column, rows_per_partition=spec.rows_per_partition
+        )
 
     def count(self, table: str) -> DataFrame:
         return self.scan(f"(SELECT COUNT(*) AS n FROM {table}) counted")
@@ -122,13 +113,13 @@ class JdbcSource:
         """Overwrite the table ``temp_<table>``, from where the database can merge it."""
         self._writer(df).mode("overwrite").option("dbtable", f"temp_{table}").save()
 
-    def append(self, df: DataFrame, table: str, partitions: int = 4) -> None:
-        """Append in ``partitions`` connections of even size; a frequent key does not make one of them slow.
+    def append(self, df: DataFrame, table: str, rows_per_partition: int = ROWS_PER_PARTITION) -> None:
+        """Append in even parts of at most ``rows_per_partition`` rows; a frequent key does not make one of them slow.
 
         A retried task may insert its rows again, so let the table's primary key guard
         it or append to a staging table.
         """
-        self._writer(df.repartition(partitions)).mode("append").option("dbtable", table).save()
+        self._writer(df.repartition(partitions_for(df.count(), rows_per_partition))).mode("append").option("dbtable", table).save()
 
     def _writer(self, df: DataFrame):
         settings = {"batchsize": str(BATCH_SIZE), **self.options}

@@ -5,12 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 
+#: Rows that one task reads from or writes to a database.
+ROWS_PER_PARTITION = 1_000_000
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """``date_partitions`` become ``<column>_partition`` days; ``partitions`` partition the files as they are.
 
     A table with few rows per day gets larger files with a coarser ``partition_format``,
-    such as ``yyyy-MM``. ``source_table`` is its name in the source database.
+    such as ``yyyy-MM``. ``source_table`` is its name in the source database. ``padded`` names the
+    fixed-width text columns, whose trailing blanks are dropped at landing; other texts land as they are.
     """
 
     name: str
@@ -20,6 +25,8 @@ class TableSpec:
     partitions: tuple[str, ...] = ()
     partition_format: str = "yyyy-MM-dd"
     source_table: str = ""
+    padded: tuple[str, ...] = ()
+    rows_per_partition: int = ROWS_PER_PARTITION
 
 
 # The six source tables with their read keys, marks and file partitions.
@@ -28,6 +35,6 @@ LOGISTICS_TABLES = (
     TableSpec("shipments", "shipment_id", None, (), ("status",), source_table="Shipments"),
     TableSpec("payments", "payment_id", "payment_date", ("payment_date",), ("payment_status",), source_table="Payments"),
     TableSpec("notifications", "notification_id", "notification_date", ("notification_date",), source_table="Notifications"),
-    TableSpec("users", None, "created_at", source_table="Users"),
+    TableSpec("users", None, "created_at", source_table="Users", padded=("role",)),
     TableSpec("drivers", source_table="Drivers"),
 )

@@ -12,8 +12,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from cargoloom.functions.moments import batch_id
 from cargoloom.functions.text import trim_padding
-from cargoloom.sinks.zones import Zones, with_file_partitions, with_lineage
+from cargoloom.sinks.zones import Zones
 from cargoloom.sources.specs import TableSpec
 
 
@@ -30,16 +31,13 @@ def land_new_files(
     """Land the parquet files that came since the last call, in micro-batches, then stop.
 
     ``checkpoint`` must be a folder of this table's own that all executors share. Each
-    micro-batch writes its own directory, named by its number, so a repeated one replaces
-    what it had written.
+    micro-batch is an increment of the raw zone, named by ``as_of`` and its number, so a repeated one replaces
+    what it had written. After a checkpoint is lost, the next call lands all files again under its own ``as_of``: begin with
+    a full load then, which replaces the increments before it.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        rows, days = with_file_partitions(with_lineage(trim_padding(batch), spec.name, as_of), spec)
-        writer = rows.write.mode("overwrite")
-        if days:
-            writer = writer.partitionBy(*days)
-        writer.parquet(f"{zones.path('raw', spec.name)}/dl_increment={number}")
+        zones.land_batch(trim_padding(batch, spec.padded), spec, as_of, f"{batch_id(as_of)}_{number:06d}")
 
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_batch).parquet(folder)
     query = (

@@ -10,15 +10,17 @@ from cargoloom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="4g",
     )
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.environment["PYTHONPATH"] = str(Path(__file__).resolve().parents[1])
     yield session
     session.stop()
 

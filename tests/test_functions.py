@@ -72,7 +72,7 @@ def test_accents(spark):
 def test_clip_and_padding(spark):
     assert values(spark, ["x" * 300, "đ" * 256, "short", None], clip("a")) == ["x" * 255, "đ" * 255, "short", None]
     df = spark.createDataFrame([("e_wallet     ", 1)], "m string, n int")
-    assert trim_padding(df).first() == ("e_wallet", 1)
+    assert trim_padding(df, [df.columns[0]]).first() == ("e_wallet", 1)
 
 
 def test_date_key(spark):

@@ -74,15 +74,22 @@ def fan_out_frames(spark):
 
 def test_frequent_keys_finds_only_the_hot_one(spark):
     _, right = fan_out_frames(spark)
-    found = frequent_keys(right, "id", share=0.1)
-    assert [key for key, _ in found] == [3] and found[0][1] >= 4
-    assert frequent_keys(right.limit(0), "id") == []
+    found = frequent_keys(right, "id", 300).collect()
+    assert [tuple(r) for r in found] == [(3, 4)]
+    assert frequent_keys(right.limit(0), "id").isEmpty() and frequent_keys(right, "id").isEmpty()
+
+
+def test_frequent_keys_finds_a_small_share(spark):
+    """A key with less than a ten-thousandth of the rows, but more than one task should hold; counted without one big task."""
+    right = spark.range(200_000).select(F.when(F.col("id") < 15, 7).otherwise(F.col("id")).alias("id"))
+    found = frequent_keys(right, "id", 10)
+    assert [tuple(r) for r in found.collect()] == [(7, 2)]
 
 
 def test_fan_out_join_equals_plain_join(spark, rows):
     left, right = fan_out_frames(spark)
     plain = left.join(right, "id", "left")
-    salted = fan_out_left_join(left, right, "id", ["pay"], share=0.1)
+    salted = fan_out_left_join(left, right, "id", ["pay"], rows_per_task=300)
     assert rows(salted.select("id", "name", "pay")) == rows(plain.select("id", "name", "pay"))
     assert "__salt" in salted._jdf.queryExecution().optimizedPlan().toString()
 
@@ -91,14 +98,14 @@ def test_fan_out_join_with_many_salts_and_few_matches(spark, rows):
     """Salts without any right row must not leave unmatched copies of the left row behind."""
     left = spark.createDataFrame([(1, "a"), (2, "b"), (4, "d")], "id int, name string")
     right = spark.createDataFrame([(1, 0), (1, 0), (1, 0), (2, 5)], "id int, pay int")
-    joined = fan_out_left_join(left, right, "id", ["pay"], share=0.05)
+    joined = fan_out_left_join(left, right, "id", ["pay"], rows_per_task=1)
     assert rows(joined) == rows(left.join(right, "id", "left"))
 
 
 def test_fan_out_join_without_frequent_keys_is_the_plain_join(spark, rows):
     left = spark.range(100)
     right = spark.range(0, 200, 2).withColumn("v", F.col("id"))
-    joined = fan_out_left_join(left, right, "id", ["v"], share=0.5)
+    joined = fan_out_left_join(left, right, "id", ["v"])
     assert "__salt" not in joined._jdf.queryExecution().optimizedPlan().toString()
     assert rows(joined) == rows(left.join(right, "id", "left"))
 

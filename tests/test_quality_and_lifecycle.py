@@ -216,6 +216,9 @@ def test_drivers_and_users(spark, rows):
     )
     assert rows(lifecycle.available_drivers(drivers, shipments)) == [(1,), (3,), (4,)]
     assert rows(lifecycle.idle_drivers(drivers, shipments)) == [(3,), (4,)]
+    unknown = spark.createDataFrame([(1, None), (2, None), (2, "completed")], "driver_id int, status string")
+    assert rows(lifecycle.available_drivers(drivers, unknown)) == [(2,), (3,), (4,)]
+    assert rows(lifecycle.idle_drivers(drivers, unknown)) == [(3,), (4,)]
     users = spark.createDataFrame([(1, "user  "), (2, "driver"), (3, "user")], "user_id int, role string")
     assert rows(lifecycle.active_users(users)) == [(1,), (3,)]
 

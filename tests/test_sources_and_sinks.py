@@ -5,11 +5,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from cargoloom.operators.upsert import updatable_columns, upsert
-from cargoloom.plans.landing import each, land_increment, landed_mark
+from cargoloom.plans.landing import each, land, land_increment, landed_mark
 from cargoloom.session import new_work_path, path_exists, work_dir, work_scope
 from cargoloom.sinks.versions import VersionedTables, apply_retention, retained
 from cargoloom.sinks.zones import LINEAGE, Zones, with_lineage, write_parquet
 from cargoloom.sources import jdbc
+from cargoloom.sources.incremental import newer_than
 from cargoloom.sources.specs import LOGISTICS_TABLES, TableSpec
 from cargoloom.streaming.increments import land_new_files
 
@@ -26,26 +27,29 @@ def events(spark, first, last):
 
 
 @pytest.mark.parametrize(
-    ("rows", "partitions"), [(0, 4), (99_999, 4), (100_000, 8), (999_999, 8), (1_000_000, 16), (10**9, 16)]
+    ("rows", "partitions"),
+    [(0, 4), (99_999, 4), (100_000, 8), (999_999, 8), (1_000_000, 16), (16_000_001, 17), (10**9, 1000), (10**12, 10**6)],
 )
-def test_partition_ladder(spark, rows, partitions):
+def test_readers_follow_the_rows_from_the_ladder_on(rows, partitions):
     assert jdbc.partitions_for(rows) == partitions
-    df = spark.createDataFrame([(rows,)], "n long")
-    assert df.select(jdbc.partitions_column(F.col("n"))).first()[0] == partitions
 
 
-def test_partitions_grow_with_the_table_if_asked():
-    assert jdbc.partitions_for(10**9, rows_per_partition=1_000_000) == 1000
-    assert jdbc.partitions_for(10, rows_per_partition=1_000_000) == 4
+def test_rows_per_partition_is_the_callers():
+    assert jdbc.partitions_for(10**9, 10_000_000) == 100
+    assert jdbc.partitions_for(10, 10_000_000) == 4
 
 
-@pytest.mark.parametrize(("low", "high", "n"), [(1, 100, 4), (0, 6, 4), (5, 5, 4), (-10, 10, 3), (1, 3, 16)])
-def test_range_predicates_cover_each_key_once(spark, low, high, n):
-    clauses = jdbc.range_predicates("k", low, high, n)
-    assert len(clauses) <= n
-    keys = spark.range(low - 2, high + 3).withColumnRenamed("id", "k").unionAll(spark.sql("SELECT CAST(NULL AS LONG)"))
-    hits = sum(F.when(F.expr(f"({c})"), 1).otherwise(0) for c in clauses)
-    assert keys.filter(hits != 1).count() == 0
+def test_bounds_give_the_plan_of_the_read(spark):
+    df = spark.range(5, 300).withColumnRenamed("id", "k")
+    assert jdbc.read_bounds(jdbc.bounds(df, "k"), 10) == jdbc.ReadBounds(5, 299, 295, 30)
+    assert jdbc.read_bounds(jdbc.bounds(df.limit(0), "k")) == jdbc.ReadBounds(None, None, 0, 4)
+
+
+def test_append_writes_as_many_parts_as_rows_need():
+    df = MagicMock()
+    df.count.return_value = 50_000_000
+    jdbc.JdbcSource(MagicMock(), "jdbc:x").append(df, "facts")
+    df.repartition.assert_called_once_with(50)
 
 
 def test_filters_sit_inside_the_subquery():
@@ -122,6 +126,64 @@ def test_increments_leave_no_gap_and_repeat_nothing(spark, tmp_path):
         land_increment(events(spark, 0, 1), zones, TableSpec("drivers"), first, None)
 
 
+STATUS_SPEC = TableSpec("o", None, "at", ("at",), ("status",))
+
+
+def _orders(spark, first, last, status):
+    start = datetime(2024, 1, 1)
+    data = [(i, status, start + timedelta(minutes=i)) for i in range(first, last)]
+    return spark.createDataFrame(data, "id int, status string, at timestamp_ntz")
+
+
+def test_a_repeated_increment_replaces_rows_of_other_statuses(spark, tmp_path):
+    zones, at = Zones(spark, str(tmp_path)), datetime(2024, 1, 2)
+    land_increment(_orders(spark, 0, 10, "processing"), zones, STATUS_SPEC, at, None)
+    land_increment(_orders(spark, 0, 10, "accepted"), zones, STATUS_SPEC, at, None)
+    assert zones.read("raw", "o").groupBy("status").count().collect() == [("accepted", 10)]
+
+
+def test_a_second_increment_of_a_day_stands_beside_the_first(spark, tmp_path):
+    zones, at = Zones(spark, str(tmp_path)), datetime(2024, 1, 2)
+    _, mark = land_increment(_orders(spark, 0, 10, "007"), zones, STATUS_SPEC, at, None)
+    later = at + timedelta(hours=2)
+    assert landed_mark(zones, STATUS_SPEC, later) == mark
+    assert land_increment(_orders(spark, 0, 13, "007"), zones, STATUS_SPEC, later, mark)[0] == 3
+    assert land_increment(_orders(spark, 0, 13, ""), zones, STATUS_SPEC, later + timedelta(hours=1), datetime(2025, 1, 1)) == (
+        0,
+        datetime(2025, 1, 1),
+    )
+    landed = zones.read("raw", "o")
+    assert landed.count() == 13 and {r.status for r in landed.collect()} == {"007"}
+
+
+def test_a_full_load_replaces_the_increments(spark, tmp_path):
+    zones, at = Zones(spark, str(tmp_path)), datetime(2024, 1, 2)
+    land_increment(_orders(spark, 0, 10, "a"), zones, STATUS_SPEC, at, None)
+    zones.land_raw(_orders(spark, 0, 12, "b"), STATUS_SPEC, at + timedelta(days=1))
+    assert zones.read("raw", "o").count() == 12
+    land_increment(_orders(spark, 12, 15, "c"), zones, STATUS_SPEC, at + timedelta(days=2), None)
+    assert zones.read("raw", "o").count() == 15
+
+
+def test_partition_columns_keep_their_types(spark, tmp_path):
+    zones = Zones(spark, str(tmp_path))
+    zones.land_raw(_orders(spark, 0, 3, "007"), STATUS_SPEC, datetime(2024, 1, 2))
+    row = zones.read("raw", "o").first()
+    assert (row.status, row.at_partition) == ("007", "2024-01-01")
+
+
+def test_rows_without_a_mark_come_when_asked(spark):
+    df = spark.createDataFrame([(1, None), (2, datetime(2024, 1, 5))], "id int, at timestamp_ntz")
+    mark = datetime(2024, 1, 3)
+    assert newer_than(df, "at", mark).count() == 1 and newer_than(df, "at", mark, with_unmarked=True).count() == 2
+
+
+def test_landing_trims_only_the_padded_columns(spark, as_of, tmp_path):
+    zones, spec = Zones(spark, str(tmp_path)), TableSpec("t", padded=("a",))
+    land(lambda s: spark.createDataFrame([("x  ", "y  ")], "a string, b string"), zones, spec, as_of)
+    assert zones.read("raw", "t", ["a", "b"]).first() == ("x", "y  ")
+
+
 def test_streamed_landing_takes_each_file_once(spark, as_of, tmp_path):
     folder, zones = str(tmp_path / "in"), Zones(spark, str(tmp_path / "lake"))
     spec = next(s for s in LOGISTICS_TABLES if s.name == "notifications")
@@ -130,7 +192,7 @@ def test_streamed_landing_takes_each_file_once(spark, as_of, tmp_path):
         land_new_files(spark, folder, EVENTS, zones, spec, str(tmp_path / "check"), as_of)
         landed = zones.read("raw", "notifications")
         assert landed.count() == landed.select("notification_id").distinct().count() == first + 30
-    assert zones.read("raw", "notifications").filter("message = 'm'").count() == 90
+    assert zones.read("raw", "notifications").filter("message = 'm  '").count() == 90
 
 
 def test_batches_replace_themselves(spark, as_of, tmp_path):
@@ -164,12 +226,21 @@ def test_version_is_current_only_once_logged(spark, as_of, tmp_path):
     assert tables.current("t") is None
     tables.publish(spark.range(3), "t", as_of)
     # A later run that wrote its rows but died before the log entry.
-    spark.range(99).write.parquet(str(tmp_path / "t" / "version_20300101_000000"))
+    spark.range(99).write.parquet(str(tmp_path / "t" / "version_20300101_000000_1"))
     assert tables.current("t").count() == 3
     tables.publish(tables.current("t").filter("id > 0"), "t", as_of + timedelta(days=1))
     assert tables.current("t").count() == 2
-    with pytest.raises(ValueError):
-        tables.publish(spark.range(1), "t", as_of + timedelta(days=1))
+
+
+def test_a_version_may_be_published_again_but_not_an_older_one(spark, as_of, tmp_path):
+    tables, next_day = VersionedTables(spark, str(tmp_path)), as_of + timedelta(days=1)
+    tables.publish(spark.range(3), "t", as_of)
+    for n in (5, 4):
+        grown = tables.before("t", next_day).unionAll(spark.range(3, 3 + n))
+        assert tables.publish(grown, "t", next_day) == 3 + n
+    assert tables.current("t").count() == 7 and tables.before("t", next_day).count() == 3
+    with pytest.raises(ValueError, match="newer"):
+        tables.publish(spark.range(1), "t", as_of)
 
 
 def test_retention_keeps_the_cutoff_day_and_prunes(spark, as_of, tmp_path):

@@ -1,3 +1,4 @@
+import re
 from datetime import timedelta
 from pathlib import Path
 
@@ -9,8 +10,7 @@ import __spark_entry__ as contract
 from cargoloom.adapters import TABLES, source
 from cargoloom.plans import warehouse_run
 from cargoloom.sinks.versions import VersionedTables
-from cargoloom.sinks.zones import Zones
-from cargoloom.workload.queries import AS_OF, SPECS
+from cargoloom.workload.queries import AS_OF
 
 SMALL = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not Path(SMALL).exists(), reason="test tables not present")
@@ -18,8 +18,8 @@ needs_data = pytest.mark.skipif(not Path(SMALL).exists(), reason="test tables no
 
 def test_registry():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    # File sizes and times differ from machine to machine: checked in test_quality_and_lifecycle.
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"zone_statistics"}
+    own = {n for n in contract.queries() if n != "pipeline" and not re.match(r"op\d+_", n)}
+    assert own <= set(contract.oracle_sql())
 
 
 @needs_data
@@ -44,16 +44,20 @@ def test_second_run_keeps_keys_and_history(spark, tmp_path):
 
     base, later = str(tmp_path), AS_OF + timedelta(days=1)
     warehouse = VersionedTables(spark, f"{base}/warehouse")
-    warehouse_run.run(spark, early, base, AS_OF, "me", SPECS)
+    warehouse_run.run(spark, early, base, AS_OF, "me")
     before = {r.full_address: r.location_key for r in warehouse.current("dim_location").collect()}
-    metrics = warehouse_run.run(spark, lambda s: source(spark, SMALL, s.name), base, later, "me", SPECS)
+    metrics = warehouse_run.run(spark, lambda s: source(spark, SMALL, s.name), base, later, "me")
     after = {r.full_address: r.location_key for r in warehouse.current("dim_location").collect()}
     assert len(after) > len(before) and {a: after[a] for a in before} == before
     assert sorted(after.values()) == list(range(1, len(after) + 1))
 
-    history = Zones(spark, base).read("processed", "fact_orders")
-    assert history.select("dl_batch_id").distinct().count() == 2
-    assert history.count() == history.select("order_key").distinct().count()
+    for name, key, own in (("fact_orders", "order_key", "order_id"), ("fact_shipment_tracking", "tracking_key", "shipment_id")):
+        now, then = warehouse.current(name), warehouse.before(name, later)
+        assert now.count() == now.select(key).distinct().count() == now.select(own).distinct().count()
+        given = {r[own]: r[key] for r in then.collect()}
+        kept = {r[own]: r[key] for r in now.collect()}
+        assert given and {o: kept[o] for o in given} == given
+    assert dict(warehouse.current("fact_orders").dtypes)["order_amount"] == "decimal(10,2)"
     assert metrics.filter("metric = 'orphans_order_key' and value > 0").count() == 0
     assert metrics.select("run_id").distinct().collect() == [("20010803_093000",)]
 
@@ -65,12 +69,31 @@ def test_second_run_keeps_keys_and_history(spark, tmp_path):
             base,
             later + timedelta(days=1),
             "me",
-            SPECS,
             required_checks=["null_driver_key"],
         )
     assert warehouse.current_version("dim_user") == "20010803_093000"
 
 
+@needs_data
+def test_a_run_that_breaks_in_the_fact_load_can_be_finished(spark, tmp_path, monkeypatch):
+    base, read = str(tmp_path), lambda s: source(spark, SMALL, s.name)
+    warehouse = VersionedTables(spark, f"{base}/warehouse")
+
+    def broken(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(warehouse_run, "load_fact", broken)
+        warehouse_run.run(spark, read, base, AS_OF, "me")
+    assert warehouse.current("dim_user") is not None and warehouse.current("fact_orders") is None
+    warehouse_run.run(spark, read, base, AS_OF, "me")
+    once = {n: warehouse.current(n).count() for n in ("dim_user", "dim_location", "fact_orders")}
+    warehouse_run.run(spark, read, base, AS_OF, "me")
+    assert once == {n: warehouse.current(n).count() for n in once}
+    with pytest.raises(ValueError, match="newer"):
+        warehouse_run.run(spark, read, base, AS_OF - timedelta(days=1), "me")
+
+
 @needs_data
 def test_filters_and_columns_reach_the_scan(spark):
     plan = contract.queries()["incremental_extract"](spark, SMALL)._jdf.queryExecution().toString()
