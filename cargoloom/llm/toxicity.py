@@ -31,6 +31,8 @@ FEATURES = 6000
 FOLDS = 3
 #: A clean row rejected counts as much as so many toxic rows missed.
 WRONGED = 2
+#: The most that a text without any known word may score.
+NOTHING = 0.4
 #: A language is a category of its own if the sample has this many toxic rows of it; at most LANGUAGES are.
 LANGUAGE_ROWS, LANGUAGES = 40, 8
 STEMS = (4, 5)
@@ -112,12 +114,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
         F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("ones"),
         F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("zeros"),
     )
-    # How far and how surely a feature leans. Three quarters of those kept lean towards toxicity, which rare words betray.
+    # How far and how surely a feature leans towards toxicity. Only such ones are kept, so that a text of unknown words, or
+    # none, has nothing that speaks for toxicity.
     lean = F.log((F.col("ones") + 0.5) / (F.col("zeros") + 0.5)) * F.sqrt(F.col("ones") + F.col("zeros"))
-    leaning = both.where("ones + zeros >= 3").select("feature", lean.alias("lean"))
-    up = leaning.where("lean > 0").orderBy(F.desc("lean"), "feature").limit(3 * most // 4)
-    down = leaning.where("lean <= 0").orderBy("lean", "feature").limit(most // 4)
-    chosen = up.unionByName(down).collect()
+    leaning = both.where("ones + zeros >= 3").select("feature", lean.alias("lean")).where("lean > 0")
+    chosen = leaning.orderBy(F.desc("lean"), "feature").limit(most).collect()
     features = {r["feature"]: i for i, r in enumerate(chosen)}
     # Full trust from about ten toxic rows without a clean one on.
     trust = np.clip(np.abs([r["lean"] for r in chosen]) / 10.0, 0.3, 1.0)
@@ -164,6 +165,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
             outside[rest] = x.take(rest).times(w) + before[rest] @ v + b
         before = np.column_stack((before, sigmoid(outside)))
     chain.links[-1].bias -= _boundary(outside, y, rows[0]["odds"])
+    # A text without any of the words is never toxic, wherever the boundary fell.
+    nothing = chain.probabilities([""])[0, -1]
+    if nothing >= NOTHING:
+        chain.links[-1].bias -= float(np.log(nothing / (1 - nothing)) - np.log(NOTHING / (1 - NOTHING)))
     return chain
 
 
