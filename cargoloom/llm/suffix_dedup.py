@@ -38,11 +38,11 @@ LENGTH = 100
 #: Bytes of the first anchors and of those that busy ones are cut by; the last step is always ``length``.
 ANCHOR, FINER = 32, (64,)
 STRIDE = 10
-SHARD_BYTES, RUN_BYTES = 1 << 18, 1 << 21
+SHARD_BYTES, RUN_BYTES = 1 << 18, 1 << 20
 #: Bytes of distinct fragments of one anchor value that one task may hold.
-MOST_BYTES = 8 << 20
+MOST_BYTES = 2 << 20
 #: Fragments collapsed together on the map side.
-COLLAPSE = 1_000_000
+COLLAPSE = 400_000
 _BASE = 0x9E3779B97F4A7C15
 _SEGMENT = 1 << 23
 _48 = np.uint64((1 << 48) - 1)
