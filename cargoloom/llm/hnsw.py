@@ -9,7 +9,7 @@ layer its members and one row of neighbour places per member (-1: none).
 Largest inner product is not a metric, so graphs use one more coordinate, ``sqrt(m - |x|^2)`` with ``m`` the largest squared norm
 (queries: 0): nearest in that space are the largest inner products. Scores are of the original vectors, in doubles.
 
-A block of queries goes down a graph together: greedily through the upper layers, then with a beam of ``BEAM`` through layer 0. Every
+A block of queries goes down a graph together: greedily through the upper layers, then with a beam through layer 0. Every
 query visits every shard; its best of all shards are merged by a ranking per query. Equal vectors are one vector in
 the graph; they are told apart at the end, where the ``k + 1`` of smallest number are enough.
 """
@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 
 from cargoloom.llm.common import saved
 
-LINKS, BEAM, SHARD_ROWS, BLOCK = 24, 160, 4096, 512
+LINKS, BEAM, SHARD_ROWS, BLOCK = 24, 128, 4096, 512
+#: The beam of one shard is ``LEAST_BEAM`` and its part of ``BEAM``: the more shards, the fewer of the nearest one holds.
+LEAST_BEAM = 24
 
 
 def usable(vector: str = "embedding") -> Column:
@@ -147,21 +149,21 @@ class Graph:
     def search(self, queries: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of the ``k`` nearest found for each query (-1: none), and their scores."""
         n, q = len(self.numbers), len(queries)
-        beam = min(max(beam, 2 * k), n)
-        target = np.column_stack((queries, np.zeros(q)))
+        beam = min(max(beam, k), n)
         row = np.arange(q)
 
-        def gap(places: np.ndarray) -> np.ndarray:
-            return ((self.points[places] - target[:, None, :]) ** 2).sum(axis=2)
+        # All points have one length with their further coordinate and a query's is zero, so nearer is: larger inner product.
+        def gap(places: np.ndarray, of: np.ndarray) -> np.ndarray:
+            return -np.einsum("qkd,qd->qk", self.vectors[places], of)
 
         at = np.repeat(self.layers[0][0][0], q)
-        best = gap(at[:, None])[:, 0]
+        best = gap(at[:, None], queries)[:, 0]
         for members, links in self.layers[:-1]:
             place = np.full(n, -1)
             place[members] = np.arange(len(members))
             while True:
                 near = links[place[at]]
-                d = np.where(near >= 0, gap(np.maximum(near, 0)), np.inf)
+                d = np.where(near >= 0, gap(np.maximum(near, 0), queries), np.inf)
                 i = d.argmin(axis=1)
                 better = d[row, i] < best
                 if not better.any():
@@ -183,7 +185,7 @@ class Graph:
             near = links[held[live, i[live]]]
             fresh = (near >= 0) & ~seen[live[:, None], np.maximum(near, 0)]
             seen[np.repeat(live, fresh.sum(axis=1)), near[fresh]] = True
-            d = ((self.points[np.maximum(near, 0)] - target[live][:, None, :]) ** 2).sum(axis=2)
+            d = gap(np.maximum(near, 0), queries[live])
             d[~fresh] = np.inf
             every = np.concatenate((distance[live], d), axis=1)
             order = np.argpartition(every, beam - 1, axis=1)[:, :beam]
@@ -293,7 +295,7 @@ def nearest(
     graphs = build(stands.select("number", "vector"), shards, figures["largest"])
     asked = stands.where("asks").select("number", "vector")
     # One more than k, as the query's own vector may be among them.
-    found = search(graphs, asked, shards, figures["largest"], k + 1, beam)
+    found = search(graphs, asked, shards, figures["largest"], k + 1, LEAST_BEAM + beam // shards)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "number")
     merged = saved(found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1), "merged")
     member = rows.join(stands.select("vector", "number"), "vector").select("id", "number", "asks")
