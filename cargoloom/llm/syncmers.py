@@ -136,8 +136,18 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     base = _documents(docs)
     links = linked(docs)
     third = F.floor(F.col("n_chars") / 3).cast("int")
-    tails = links.join(base.withColumnsRenamed({"doc_id": "next_id", "h": "next_h"}), ["next_id", "next_h"]).select(
-        "doc_id", "h", "n_chars", "copies", "next_id", "next_h", F.substring(F.col("text"), F.lit(1), third).alias("tail")
+    # The links are renamed, not the texts: both joins then use one and the same shuffle of the texts.
+    asked = links.select(
+        F.struct("doc_id", "h").alias("of"), "n_chars", "copies", F.col("next_id").alias("doc_id"), F.col("next_h").alias("h")
+    )
+    tails = base.join(asked, ["doc_id", "h"]).select(
+        F.col("of.doc_id").alias("doc_id"),
+        F.col("of.h").alias("h"),
+        "n_chars",
+        "copies",
+        F.col("doc_id").alias("next_id"),
+        F.col("h").alias("next_h"),
+        F.substring(F.col("text"), F.lit(1), third).alias("tail"),
     )
     # Rows that repeat a document are one on either side of the join: the links tell how many there are.
     once = base.dropDuplicates(["doc_id", "h"]) if links.where("copies > 1").limit(1).count() else base
