@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cargoloom.session import new_work_path
@@ -19,6 +19,13 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def saved_with(df: DataFrame, label: str, figure: Column) -> tuple[DataFrame, object]:
+    """:func:`saved`, and one aggregate of all rows that the write itself observes: no second job."""
+    seen = Observation()
+    out = saved(df.observe(seen, figure.alias("figure")), label)
+    return out, seen.get["figure"]
+
+
 def identified_texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and whole ``text`` (null: empty) of the rows with an id; every other column is left behind."""
     return docs.where(F.col("doc_id").isNotNull()).select(

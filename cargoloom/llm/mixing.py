@@ -5,7 +5,7 @@ fitting then rakes the cells: each margin in turn scales its cells to its target
 agree. A cell's mass never exceeds the tokens it has (nothing is repeated). A document is kept with probability
 mass over tokens of its cell, decided by a hash of its id: the same documents on every run.
 
-The state of the fitting is one factor per value of a margin, in tables written after every step; the cells are never
+The state of the fitting is one target and factor per value of a margin, in tables written after every step; the cells are never
 collected, nor assumed to be few. All of it is DataFrame operations.
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargoloom.llm.common import saved
+from cargoloom.llm.common import saved, saved_with
 
 MARGINS = ("source", "lang", "topic")
 #: Default targets: shares proportional to the tokens of a value to this power, so that big values give way to small ones.
@@ -58,19 +58,20 @@ def with_weights(docs: DataFrame, topic: Column | None = None, prefix: str = "")
     return docs.withColumns(columns).withColumn(f"{prefix}topic", last)
 
 
-def _targets(cells: DataFrame, margin: str, shares: Mapping[str, float] | None, total: float, keep: float) -> DataFrame:
-    """``margin``, ``target`` in tokens: the given shares (made to sum to one over the values there are), or tempered ones.
+def _state(cells: DataFrame, margin: str, shares: Mapping[str, float] | None, total: float, factor: float) -> DataFrame:
+    """Per value of a margin its target in tokens, ``t_<margin>``, and its factor at first, ``f_<margin>``.
 
-    A value without a given share keeps no token."""
+    Targets are the given shares (made to sum to one over the values there are), or tempered ones. A value without a given share
+    keeps no token."""
     sums = cells.groupBy(margin).agg(F.sum("tokens").alias("has"))
     if shares is None:
         weight = F.pow(F.col("has").cast("double"), TEMPER)
     else:
         pairs = [x for name, share in shares.items() for x in (F.lit(name), F.lit(float(share)))]
         weight = F.coalesce(F.create_map(*pairs)[F.col(margin)], F.lit(0.0)) if pairs else F.lit(0.0)
-    sums = saved(sums.select(margin, "has", weight.alias("weight")), f"targets-{margin}")
-    whole = sums.agg(F.sum("weight")).first()[0] or 1.0
-    return sums.select(margin, (F.col("weight") / F.lit(whole) * F.lit(total * keep)).alias("target"))
+    sums, whole = saved_with(sums.select(margin, weight.alias("weight")), f"targets-{margin}", F.sum("weight"))
+    target = F.col("weight") / F.lit(whole or 1.0) * F.lit(total)
+    return sums.select(margin, target.alias(f"t_{margin}"), F.lit(factor).alias(f"f_{margin}"))
 
 
 def rake(
@@ -88,13 +89,15 @@ def rake(
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     if not total:
         return cells.withColumn("mass", F.lit(0.0))
-    wanted = {m: saved(_targets(cells, m, (targets or {}).get(m), total, keep), f"wanted-{m}") for m in MARGINS}
-    factors = {m: wanted[m].select(m, F.lit(keep if m == MARGINS[0] else 1.0).alias(f"f_{m}")) for m in MARGINS}
+    # Where a cycle starts: every value at the same part of its tokens.
+    state = {
+        m: _state(cells, m, (targets or {}).get(m), total * keep, keep if m == MARGINS[0] else 1.0) for m in MARGINS
+    }
 
     def massed() -> DataFrame:
         out = cells
         for m in MARGINS:
-            out = out.join(factors[m], m)
+            out = out.join(state[m], m)
         product = F.lit(1.0)
         for m in MARGINS:
             product = product * F.col(f"f_{m}")
@@ -104,14 +107,16 @@ def rake(
     for _ in range(cycles):
         off = 0.0
         for m in MARGINS:
-            sums = massed().groupBy(m).agg(F.sum("mass").alias("mass"))
-            ratio = F.when(F.col("mass") > 0, F.col("target") / F.col("mass")).otherwise(F.lit(1.0))
-            step = sums.join(wanted[m], m).join(factors[m], m)
+            # Target and factor belong to the value, so they come through the sum without another join.
+            own = [F.first(f"{x}_{m}").alias(f"{x}_{m}") for x in "tf"]
+            sums = massed().groupBy(m).agg(F.sum("mass").alias("mass"), *own)
+            ratio = F.when(F.col("mass") > 0, F.col(f"t_{m}") / F.col("mass")).otherwise(F.lit(1.0))
             # Bounded, so that a value that cannot meet its target does not run away.
-            grown = F.least(F.col(f"f_{m}") * ratio, F.lit(1e6))
-            next_ = saved(step.select(m, grown.alias(f"f_{m}"), F.abs(ratio - 1.0).alias("off")), f"factors-{m}")
-            off = max(off, next_.agg(F.max("off")).first()[0] or 0.0)
-            factors[m] = next_.select(m, f"f_{m}")
+            grown = F.least(F.col(f"f_{m}") * ratio, F.lit(1e6)).alias(f"f_{m}")
+            step = sums.select(m, f"t_{m}", grown, F.abs(ratio - 1.0).alias("off"))
+            step, furthest = saved_with(step, f"factors-{m}", F.max("off"))
+            off = max(off, furthest or 0.0)
+            state[m] = step.drop("off")
         if off < tolerance:
             break
     return saved(massed().select(*MARGINS, "tokens", "documents", "mass"), "raked-cells")

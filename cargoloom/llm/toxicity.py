@@ -127,20 +127,20 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = features.keys()
         for batch in batches:
-            found = [sorted(features[f] for f in names & features_of(t)) for t in texts_of(batch)]
+            found = [np.array(sorted(features[f] for f in names & features_of(t)), "<i4").tobytes() for t in texts_of(batch)]
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column(0),
                     "y": batch.column(1),
                     "lang": batch.column(2),
                     "odds": batch.column(3),
-                    "found": pa.array(found, pa.list_(pa.int32())),
+                    "found": pa.array(found, pa.binary()),
                 }
             )
 
     rows = (
         sample.select("doc_id", "y", F.coalesce("lang", F.lit("")).alias("lang"), "odds", "text")
-        .mapInArrow(encode, "doc_id long, y int, lang string, odds double, found array<int>")
+        .mapInArrow(encode, "doc_id long, y int, lang string, odds double, found binary")
         .collect()
     )
     rows.sort(key=lambda r: (r["doc_id"], r["found"]))
@@ -148,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
     if not len(y) or y.min() == y.max():
         chain.links.append(Link("toxic", np.zeros(len(features)), np.zeros(0), 35.0 if len(y) and y[0] == 1 else -35.0))
         return chain
-    x = Rows([np.array(r["found"], np.int64) for r in rows], len(features))
+    x = Rows([np.frombuffer(r["found"], "<i4") for r in rows], len(features))
     lang = np.array([r["lang"] for r in rows])
     common = Counter(lang[(y == 1) & (lang != "")].tolist()).most_common(LANGUAGES)
     targets = [(f"toxic_{name}", y * (lang == name)) for name, n in sorted(common, key=lambda c: (-c[1], c[0])) if n >= LANGUAGE_ROWS]
