@@ -10,12 +10,16 @@ from cargoloom.llm.common import identified_texts
 
 
 def fold_of(doc_id) -> Column:
-    """The CRC-32 of the id's text modulo three; rows of remainder one are held out of every fit."""
+    """The CRC-32 of the id's text modulo three; rows of remainder one are those that a fit may hold out."""
     return (F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3).cast("int")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_class: int, keep=("lang",)) -> DataFrame:
-    """Whole texts of at most ``2 * rows_per_class`` labelled, not held-out documents, with columns ``y`` and ``odds``.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, rows_per_class: int, keep=("lang",), hold_out: bool = True
+) -> DataFrame:
+    """Whole texts of at most ``2 * rows_per_class`` labelled documents, with columns ``y`` and ``odds``.
+
+    With ``hold_out``, for fits that are measured, rows of fold one are none of them.
 
     Of each class the rows of least hash of their id are taken. ``odds`` is the ratio by which the sample overstates
     label 1, from counts of all labelled rows. The ids are few by that bound, hence broadcast: texts of other documents
@@ -24,7 +28,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows_per_cla
     marked = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
         .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
-        .where(fold_of("doc_id") != 1)
+        .where((fold_of("doc_id") != 1) | F.lit(not hold_out))
         .groupBy("doc_id")
         .agg(F.max("y").alias("y"))
     )

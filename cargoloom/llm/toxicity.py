@@ -90,10 +90,12 @@ def _boundary(z: np.ndarray, y: np.ndarray, odds: float) -> float:
     return float((low + high) / 2)
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, most: int = FEATURES) -> Chain:
-    """The chain of a bounded sample. Without rows of both classes it gives every text probability zero (no toxic
-    row) or one (only toxic rows)."""
-    sample = labelled_sample(docs, labels, "toxic", rows_per_class)
+def fit(
+    docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS, most: int = FEATURES, hold_out: bool = True
+) -> Chain:
+    """The chain of a bounded sample; with ``hold_out``, which measuring needs, of rows that are not held out. Without rows
+    of both classes it gives every text probability zero (no toxic row) or one (only toxic rows)."""
+    sample = labelled_sample(docs, labels, "toxic", rows_per_class, hold_out=hold_out)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = [Counter(), Counter()]
@@ -207,9 +209,9 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text the chain finds toxic, all columns as they were.
 
-    The decision is on each row's own text, so rows without an id or with a repeated one are decided like others.
+    Nothing is measured here, so the chain is fitted on all labelled rows, as far as the sample's bound goes. The decision is on each row's own text, so rows without an id or with a repeated one are decided like others.
     """
-    chain = fit(docs, labels)
+    chain = fit(docs, labels, hold_out=False)
     sent = docs.sparkSession.sparkContext.broadcast(chain)
     schema = docs.schema
     place = docs.columns.index("text")

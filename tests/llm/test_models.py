@@ -51,6 +51,18 @@ def test_toxicity_on_rows_held_out(spark):
     assert kept.where("text like '%rotten%filthy%'").count() == 0
 
 
+def test_the_stage_learns_from_all_labelled_rows(spark):
+    """Toxic words that stand only in rows which a measured fit holds out."""
+    docs, labels = labelled(spark)
+    held = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1) & (F.col("doc_id") % 4 == 0)
+    docs = docs.withColumn("text", F.when(held, F.regexp_replace("text", "vileness|vile|rotten|filthy", "ghastly")).otherwise(F.col("text")))
+    held_out = docs.where(held).count()
+    assert held_out > 15
+    assert toxicity.without_toxic(docs, labels).where(held).count() < 0.1 * held_out
+    scored = toxicity.score(docs, toxicity.fit(docs, labels)).where("held_out AND doc_id % 4 = 0")
+    assert scored.where("toxic").count() < 0.1 * held_out  # op1 measures, so its fit does not see them
+
+
 def test_a_chain_feeds_earlier_categories_on(spark):
     chain = toxicity.Chain(
         {"a": 0},
