@@ -5,8 +5,8 @@ letters, for families of words) and on the probabilities that the links before i
 probabilities are out-of-fold: each row's come from a model that did not see the row, so the link learns how
 far it can trust its predecessors on new texts. For scoring, every link is refitted on all rows.
 
-The last category is toxicity as the labels mark it; the ones before it are toxicity in one language each, for the
-languages that have enough toxic rows in the sample. Language is known when the chain is fitted, never when it scores.
+The last category is toxicity as the labels mark it; the ones before it are toxicity in one language each, for every
+language that has a toxic row in the sample, commonest first; the rarest of many languages share one. Language is known when the chain is fitted, never when it scores.
 
 The fit uses a bounded sample (``rows_per_class`` of each label). Which words count is found on executors by their counts
 in toxic and other rows of that sample. Everything else covers every row and whole texts.
@@ -33,8 +33,8 @@ FOLDS = 3
 WRONGED = 2
 #: The most that a text without any known word may score.
 NOTHING = 0.4
-#: A language is a category of its own if the sample has this many toxic rows of it; at most LANGUAGES are.
-LANGUAGE_ROWS, LANGUAGES = 40, 8
+#: At most so many categories before the last: of more languages the rarest are one category, named OTHER.
+LANGUAGES, OTHER = 8, "(other)"
 STEMS = (4, 5)
 _MARKS = ".,!?;:\"'()[]{}<>|%$&*#«»„“”‘’…-_/\\"
 
@@ -75,6 +75,17 @@ class Chain:
         return out
 
 
+def _categories(lang: np.ndarray, y: np.ndarray) -> list[tuple[str, np.ndarray]]:
+    """Names and targets in the chain's order. Rows of unknown language (empty) count for toxicity overall only."""
+    found = Counter(lang[(y == 1) & (lang != "")].tolist())
+    names = sorted(found, key=lambda name: (-found[name], name))
+    own = names if len(names) <= LANGUAGES else names[: LANGUAGES - 1]
+    targets = [(f"toxic_{name}", y * (lang == name)) for name in own]
+    if len(own) < len(names):
+        targets.append((f"toxic_{OTHER}", y * np.isin(lang, names[len(own) :])))
+    return [*targets, ("toxic", y)]
+
+
 def _boundary(z: np.ndarray, y: np.ndarray, odds: float) -> float:
     """Where out-of-fold logits of the last link part the classes with the fewest errors, each row counted as often as
     it stands for labelled rows (``odds``: how far the sample overstates toxicity). In a gap without errors, the middle."""
@@ -152,9 +163,7 @@ def fit(
         return chain
     x = Rows([np.frombuffer(r["found"], "<i4") for r in rows], len(features))
     lang = np.array([r["lang"] for r in rows])
-    common = Counter(lang[(y == 1) & (lang != "")].tolist()).most_common(LANGUAGES)
-    targets = [(f"toxic_{name}", y * (lang == name)) for name, n in sorted(common, key=lambda c: (-c[1], c[0])) if n >= LANGUAGE_ROWS]
-    targets.append(("toxic", y))
+    targets = _categories(lang, y)
     fold = np.arange(len(y)) % FOLDS
     before = np.zeros((len(y), 0))
     for name, target in targets:

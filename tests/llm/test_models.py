@@ -63,6 +63,24 @@ def test_the_stage_learns_from_all_labelled_rows(spark):
     assert scored.where("toxic").count() < 0.1 * held_out  # op1 measures, so its fit does not see them
 
 
+def test_every_language_with_toxic_rows_is_a_category(spark):
+    docs, labels = labelled(spark)
+    number = F.floor(F.col("doc_id") / 4)
+    lang = F.when(number % 5 == 0, "de").when(number % 11 == 1, "es").when(number % 13 == 2, None).otherwise("en")
+    chain = toxicity.fit(docs.withColumn("lang", lang), labels)
+    assert [link.category for link in chain.links] == ["toxic_en", "toxic_de", "toxic_es", "toxic"]
+    assert [len(link.before) for link in chain.links] == [0, 1, 2, 3] and np.abs(chain.links[-1].before).min() > 0
+    rows = [r for r in toxicity.score(docs, chain).collect() if r.held_out]
+    assert sum(r.toxic == (r.doc_id % 4 == 0) for r in rows) > 0.95 * len(rows)
+
+
+def test_the_rarest_of_many_languages_share_a_category():
+    lang = np.array([f"l{i:02d}" for i in range(11) for _ in range(12 - i)] + ["", "clean"])
+    targets = toxicity._categories(lang, np.array([1.0] * (len(lang) - 1) + [0.0]))
+    assert [name for name, _ in targets] == [f"toxic_l{i:02d}" for i in range(7)] + ["toxic_(other)", "toxic"]
+    assert [int(y.sum()) for _, y in targets] == [12, 11, 10, 9, 8, 7, 6, 5 + 4 + 3 + 2, len(lang) - 1]
+
+
 def test_a_chain_feeds_earlier_categories_on(spark):
     chain = toxicity.Chain(
         {"a": 0},
