@@ -5,8 +5,12 @@ The letters are words (a text split at single spaces). Of ``K`` words in a row,
 words alone, so a passage has the same anchors wherever it stands, and of any ``K - 1`` runs of words in a row at least
 one is an anchor. Texts too short for an anchor take their pairs for anchors, texts of one word the word.
 
-A fingerprint holds the ``SIZE`` anchors of least hash, each once, with the word where it first stands. Two fingerprints are as alike
-as the part of the ``SIZE`` least anchors of both that both have at nearly one place (``SHIFT`` words apart at most).
+A fingerprint holds each anchor once, with the word where it first stands: the ``SIZE`` of least hash, and every further one whose hash
+is among the least ``1 / SPARSE`` of all hashes, so its size grows with the text and long texts share anchors wherever they share a
+passage. Two fingerprints are as alike as the part of their comparable anchors (those of least hash of both, by the same
+two rules) that both have and that agree in place. Anchors agree if they moved by nearly the same number of words (``SHIFT`` apart at
+most), as behind a header or an insertion; the largest such group counts. Anchors that did not move (by more than ``SHIFT``) agree
+even alone; one that moved alone agrees with nothing.
 """
 
 from __future__ import annotations
@@ -20,11 +24,15 @@ from cargoloom.llm.common import identified_texts, saved
 from cargoloom.operators.keys import dense_keys
 
 K, SIZE, SHIFT = 8, 32, 32
+#: Beyond ``SIZE``, one anchor of so many is kept; the least group of moved anchors.
+SPARSE, TOGETHER = 8, 2
 #: An anchor is one number: its hash above, its place in words below.
 PLACE_BITS = 24
 _PLACE = (1 << PLACE_BITS) - 1
 #: The sign bit: anchors have it, pairs do not, so anchors come first in order.
 _FIRST = -(1 << 63)
+#: Anchors below are kept in every fingerprint (pairs, which are not negative, never are).
+_ALWAYS = _FIRST + (1 << 63) // SPARSE
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -71,29 +79,59 @@ def anchors(text: Column) -> Column:
 
 
 def sketch(text: Column) -> Column:
-    return F.slice(anchors(text), 1, SIZE)
+    return F.filter(anchors(text), lambda x, i: (i < SIZE) | (x < F.lit(_ALWAYS)))
+
+
+def _most_within(moves: Column) -> Column:
+    """The most of ``moves`` (in order) that lie at most ``SHIFT`` apart, in one pass: a group of one more must end at the
+    move at hand, as the best so far was found among those before it."""
+
+    def longer(best: Column, i: Column) -> Column:
+        return F.when(F.get(moves, i) - F.get(moves, i - best) <= SHIFT, best + 1).otherwise(best)
+
+    places = F.sequence(F.lit(0), F.size(moves) - 1)
+    return F.when(F.size(moves) > 0, F.aggregate(places, F.lit(0), lambda best, i: F.when(best > i, best).otherwise(longer(best, i)))).otherwise(0)
 
 
 def likeness(a: Column, b: Column) -> Column:
     """How alike two fingerprints (arrays of packed anchors) are, from 0 to 1; equal ones are 1."""
 
+    def sided(x: Column, side: int) -> Column:
+        place = x.bitwiseAND(F.lit(_PLACE)).cast("int")
+        return F.struct(_hash(x).alias("h"), F.lit(side).alias("side"), place.alias("place"))
+
     def of_both(both: Column) -> Column:
-        new = F.filter(both, lambda x, i: (i == 0) | (_hash(x) != _hash(F.get(both, i - 1))))
+        def before(i: Column) -> Column:
+            return F.get(both, i - 1)
+
+        new = F.filter(both, lambda x, i: (i == 0) | (x["h"] != before(i)["h"]))
 
         def shared(different: Column) -> Column:
-            last = F.coalesce(F.get(different, F.lit(SIZE - 1)), F.array_max(different))
-            common = F.filter(
-                both,
-                lambda x, i: (i > 0)
-                & (_hash(x) == _hash(F.get(both, i - 1)))
-                & (x - F.get(both, i - 1) <= SHIFT)
-                & (_hash(x) <= _hash(last)),
-            )
-            return F.size(common) / F.least(F.size(different), F.lit(SIZE))
+            # Up to here both fingerprints hold every anchor of their texts.
+            least = F.coalesce(F.get(different, F.lit(SIZE - 1)), F.get(different, F.size(different) - 1))["h"]
+            comparable = F.size(F.filter(different, lambda x: (x["h"] <= least) | (x["h"] < F.lit(_ALWAYS >> PLACE_BITS))))
+
+            def part(last: Column) -> Column:
+                moves = F.transform(
+                    both,
+                    lambda x, i: F.when(
+                        (i > 0) & (x["h"] == before(i)["h"]) & (x["h"] <= last), x["place"] - before(i)["place"]
+                    ),
+                )
+
+                def agreeing(moves: Column) -> Column:
+                    still = F.size(F.filter(moves, lambda d: F.abs(d) <= SHIFT))
+                    return let(_most_within(moves), lambda n: F.greatest(still, F.when(n >= TOGETHER, n).otherwise(0)))
+
+                return let(F.array_sort(F.filter(moves, lambda d: d.isNotNull())), agreeing)
+
+            return let(comparable, lambda n: part(F.get(different, n - 1)["h"]) / n)
 
         return let(new, shared)
 
-    return let(F.sort_array(F.concat(a, b)), of_both)
+    return let(
+        F.sort_array(F.concat(F.transform(a, lambda x: sided(x, 0)), F.transform(b, lambda x: sided(x, 1)))), of_both
+    )
 
 
 def as_text(fingerprint: Column) -> Column:

@@ -213,6 +213,30 @@ def test_syncmers(spark):
     assert syncmers.fingerprints(docs.limit(0)).count() == 0
 
 
+def test_syncmers_find_moved_and_long_texts(spark):
+    rng = random.Random(11)
+
+    def prose(n):
+        return [f"v{rng.randrange(5000)}" for _ in range(n)]
+
+    body, passage, alone, far, long = prose(400), prose(400), prose(20000), prose(15000), prose(20000)
+    pairs = [
+        (" ".join(body), " ".join(prose(60) + body)),  # behind a header
+        (" ".join(body), " ".join(body[:50] + prose(100) + body[50:])),  # an insertion near the start
+        (" ".join(alone[:9000] + passage + alone[9000:]), " ".join(far[:2000] + passage + far[2000:])),
+        (" ".join(alone), " ".join(far)),
+        (" ".join(long), " ".join(long)),
+        (" ".join(prose(30)), " ".join(prose(30))),
+    ]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pairs)], "i int, a string, b string")
+    prints = frame.select("i", syncmers.sketch(F.col("a")).alias("a"), syncmers.sketch(F.col("b")).alias("b"))
+    rows = prints.select("*", syncmers.likeness(F.col("a"), F.col("b")).alias("alike")).orderBy("i").collect()
+    header, inserted, shared, apart, same, short = (r.alike for r in rows)
+    assert header > 0.7 and inserted > 0.5 and same == 1 and apart == 0 and short == 0
+    assert 5 <= round(shared * len(set(rows[2].a) | set(rows[2].b))) <= 40
+    assert len(rows[3].a) > 300 and len(rows[5].a) <= syncmers.SIZE
+
+
 def test_syncmers_run_no_python(spark):
     plan = syncmers.fingerprints(docs_of(spark, ["a b c"]))._jdf.queryExecution().toString()
     assert not any(step in plan for step in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
