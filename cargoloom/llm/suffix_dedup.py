@@ -460,14 +460,15 @@ def repeated_ranges(
     return out
 
 
-_KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+#: ``text_hash`` is of the whole text: with the id it tells to which row a result belongs.
+_KEPT = "doc_id long, text_hash long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         out = {name.split()[0]: [] for name in _KEPT.split(", ")}
-        spans_of = batch.column(2).to_pylist()
-        for doc_id, text, spans in zip(batch.column(0).to_pylist(), texts_of(batch), spans_of, strict=True):
+        hashes, spans_of = batch.column(1).to_pylist(), batch.column(3).to_pylist()
+        for doc_id, hashed, text, spans in zip(batch.column(0).to_pylist(), hashes, texts_of(batch), spans_of, strict=True):
             raw, kept, runs, at = text.encode("utf-8", "surrogatepass"), [], 0, 0
             removed = 0
             if spans:
@@ -479,9 +480,10 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     kept.append(raw[at:a])
                     at = b
             kept = b"".join([*kept, raw[at:]])
-            for name, value in zip(out, (doc_id, len(raw), removed, runs, hashlib.sha256(kept).hexdigest(), kept), strict=True):
+            figures = (doc_id, hashed, len(raw), removed, runs, hashlib.sha256(kept).hexdigest(), kept)
+            for name, value in zip(out, figures, strict=True):
                 out[name].append(value)
-        types = (*(pa.int64(),) * 4, pa.string(), pa.binary())
+        types = (*(pa.int64(),) * 5, pa.string(), pa.binary())
         yield pa.RecordBatch.from_pydict({c: pa.array(v, t) for (c, v), t in zip(out.items(), types, strict=True)})
 
 
@@ -492,6 +494,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFram
     texts are one document, of which each row gets the result; different texts of one id are told apart and ordered
     by a hash of the text. Other columns are ignored; an empty table gives none.
     """
+    return _remains(docs, length, options).drop("text_hash")
+
+
+def _remains(docs: DataFrame, length: int, options) -> DataFrame:
+    """The result of :func:`remove_repeats` with ``text_hash``, the XXH64 of each row's whole text."""
     texts = identified_texts(docs)
     repeated = texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     if repeated:
@@ -501,7 +508,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFram
 
 def _removed(texts: DataFrame, rows: DataFrame, length: int, options) -> DataFrame:
     spans = repeated_ranges(texts, length, **options).groupBy("doc_id").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
-    return rows.join(spans, "doc_id", "left").select("doc_id", "text", "spans").mapInArrow(_apply, _KEPT)
+    return rows.join(spans, "doc_id", "left").select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), "text", "spans"
+    ).mapInArrow(_apply, _KEPT)
 
 
 def _with_repeated_ids(texts: DataFrame, length: int, options) -> DataFrame:
@@ -526,7 +535,7 @@ def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sliced(batches):
         texts = [raw.decode("utf-8", "ignore") for raw in batch.column(2).to_pylist()]
         yield pa.RecordBatch.from_pydict(
-            {"__id": batch.column(0), "__bytes": batch.column(1), "__kept": pa.array(texts, pa.string())}
+            {"__id": batch.column(0), "__hash": batch.column(1), "__kept": pa.array(texts, pa.string())}
         )
 
 
@@ -537,12 +546,12 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     nothing but white space is left go, unless it was so before. Rows without ``doc_id`` stay as they are. Of rows that repeat an
     id, each keeps what is left of its own text.
     """
-    cut = remove_repeats(docs.select("doc_id", "text"), length).where("n_removed > 0").select("doc_id", "n_bytes", "kept")
-    kept = cut.mapInArrow(_decoded, "__id long, __bytes long, __kept string")
-    # Rows that repeat an id differ in their texts, so the text's length and what is left go with the row that has them.
-    by_size = kept.groupBy("__id", "__bytes").agg(F.min("__kept").alias("__kept"))
-    own = docs.withColumn("__own_bytes", F.octet_length(F.coalesce(F.col("text"), F.lit("")))).alias("d")
-    joined = own.join(by_size, (F.col("d.doc_id") == F.col("__id")) & (F.col("__own_bytes") == F.col("__bytes")), "left")
+    cut = _remains(docs.select("doc_id", "text"), length, {}).where("n_removed > 0").select("doc_id", "text_hash", "kept")
+    kept = cut.mapInArrow(_decoded, "__id long, __hash long, __kept string")
+    # Rows that repeat id and text have one result; a row's own text tells which of its id's results it gets.
+    by_text = kept.groupBy("__id", "__hash").agg(F.min("__kept").alias("__kept"))
+    own = docs.withColumn("__own_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))).alias("d")
+    joined = own.join(by_text, (F.col("d.doc_id") == F.col("__id")) & (F.col("__own_hash") == F.col("__hash")), "left")
     left = F.when(F.col("__id").isNull(), F.col("text")).otherwise(F.col("__kept"))
     cut = joined.withColumn("__left", left).where(F.col("__id").isNull() | (F.trim("__left") != ""))
     columns = [

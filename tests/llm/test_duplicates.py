@@ -162,6 +162,14 @@ def test_texts_without_repeats(spark):
     assert all(r.n_chars == len(r.text) for r in rows.values() if r.text is not None)
 
 
+def test_rows_of_one_id_and_length_keep_their_own_text(spark):
+    rng = random.Random(8)
+    first, second, other = ("".join(rng.choices("abcdefgh ", k=400)).strip().ljust(400, "z") for _ in range(3))
+    texts = [(1, first), (2, first[:200] + second[:200]), (2, second[200:] + other[200:]), (2, second[200:] + other[200:])]
+    left = suffix_dedup.without_repeats(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, left)) == sorted([(1, first), (2, second[:200]), *[(2, second[200:] + other[200:])] * 2])
+
+
 def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
