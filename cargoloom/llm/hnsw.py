@@ -28,9 +28,8 @@ from pyspark.sql import functions as F
 
 from cargoloom.llm.common import saved
 
-LINKS, BEAM, SHARD_ROWS, BLOCK = 24, 128, 4096, 512
-#: The beam of one shard is ``LEAST_BEAM`` and its part of ``BEAM``: the more shards, the fewer of the nearest one holds.
-LEAST_BEAM = 24
+#: The beam is the same in every shard, whatever their number: one shard may hold most of a query's nearest.
+LINKS, BEAM, SHARD_ROWS, BLOCK = 24, 160, 4096, 512
 
 
 def usable(vector: str = "embedding") -> Column:
@@ -149,7 +148,7 @@ class Graph:
     def search(self, queries: np.ndarray, k: int, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """Places of the ``k`` nearest found for each query (-1: none), and their scores."""
         n, q = len(self.numbers), len(queries)
-        beam = min(max(beam, k), n)
+        beam = min(max(beam, 2 * k), n)
         row = np.arange(q)
 
         # All points have one length with their further coordinate and a query's is zero, so nearer is: larger inner product.
@@ -295,7 +294,7 @@ def nearest(
     graphs = build(stands.select("number", "vector"), shards, figures["largest"])
     asked = stands.where("asks").select("number", "vector")
     # One more than k, as the query's own vector may be among them.
-    found = search(graphs, asked, shards, figures["largest"], k + 1, LEAST_BEAM + beam // shards)
+    found = search(graphs, asked, shards, figures["largest"], k + 1, beam)
     best = Window.partitionBy("query").orderBy(F.desc("score"), "number")
     merged = saved(found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k + 1), "merged")
     member = rows.join(stands.select("vector", "number"), "vector").select("id", "number", "asks")

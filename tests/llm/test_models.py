@@ -216,6 +216,15 @@ def test_neighbours_against_brute_force(spark, shard_rows):
     assert hnsw.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("shard_rows", [4096, 30])
+def test_every_shard_is_searched_with_the_whole_beam(spark, monkeypatch, shard_rows):
+    frame, _ = vectors_of(spark)
+    seen, search = [], hnsw.search
+    monkeypatch.setattr(hnsw, "search", lambda *a: seen.append((a[2], a[5])) or search(*a))
+    hnsw.nearest(frame, F.col("vec_id") % 20 == 0, 20, shard_rows=shard_rows)
+    assert seen == [(1 if shard_rows == 4096 else 27, hnsw.BEAM)] and hnsw.BEAM >= 152
+
+
 @needs_data
 def test_every_stage_keeps_the_columns(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
