@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargoloom.llm import hnsw, mixing, packing, quality_crf, sharding, simhash, suffix_dedup, syncmers, token_files, toxicity
+from cargoloom.llm import alignment, dialogue, hnsw, languages, mixing, packing, quality_crf, sharding, simhash, suffix_dedup, syncmers, token_files, toxicity
 from cargoloom.llm.common import Query, table
 from cargoloom.session import new_work_path
 
@@ -77,3 +77,19 @@ def op9_syncmers(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op3_hnsw(spark: SparkSession, sf: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return alignment.align(table(spark, sf, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op12_languages(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    return languages.predict(docs, languages.fit(docs))
+
+
+@query
+def op13_dialogue(spark: SparkSession, sf: str) -> DataFrame:
+    return dialogue.repair(dialogue.damaged(table(spark, sf, "conversations")))

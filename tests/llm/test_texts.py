@@ -1,13 +1,16 @@
 """Tokens, placement, packing: exact round trips and brute force on small tables."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import sentencepiece
+from tokenizers import Tokenizer
 
 from cargoloom.llm import packing, sharding, token_files
-from cargoloom.llm.pieces import PieceEncoder, encoder
+from cargoloom.llm.pieces import BlankPieceEncoder, PieceEncoder
 from cargoloom.llm.queries import tokenizer
 from cargoloom.session import new_work_path
 
@@ -23,25 +26,36 @@ def docs_of(spark, texts):
     return spark.createDataFrame(rows, DOCS)
 
 
-@pytest.mark.parametrize(("name", "style"), [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word")])
+PARTS = ["a", "the", "Word", "İ", "ı", "ß", "É", " ", "  ", "\n", "\t", ".", ",", "?", "'s", "don't", "12", "²", "ª", "日本", "ﬁ", "<|endoftext|>",
+         "<|startoftext|>", "<|ENDOFTEXT|>", "</s>", "_", "-", "Ǆ", "Σ", "\u0301", "\u00a0", "▁", "\x01", "Ω", "K", "ÀÉİI.", ".."]
+
+
+@pytest.mark.parametrize(("name", "style"), [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word"), ("piece_bpe_32k.model", "blank")])
 def test_pieces_are_the_librarys_ids(name, style):
-    code = PieceEncoder(tokenizer(name), style, most=50)
+    """Against a library object of the test's own, special tokens and odd letters included."""
+    draw = random.Random(style)
     long = " ".join(f"Word{i} the, {i}. é" for i in range(300))
-    for _ in range(2):
-        for text, ids in zip([*ODD, long], code.encode([*ODD, long]), strict=True):
-            assert ids.tolist() == code.library.encode(text, add_special_tokens=False).ids, text
+    texts = [*ODD, long, *("".join(draw.choices(PARTS, k=draw.randint(1, 8))) for _ in range(20_000))]
+    if style == "blank":
+        code, want = BlankPieceEncoder(tokenizer(name), most=5000), sentencepiece.SentencePieceProcessor(model_file=tokenizer(name)).encode(texts)
+        assert code.cuts
+    else:
+        library = Tokenizer.from_file(tokenizer(name))
+        code, want = PieceEncoder(tokenizer(name), style, most=5000), [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for text, ids, found in zip(texts, want, code.encode(texts), strict=True):
+        assert found.tolist() == ids, text
 
 
 def test_token_files_round_trip(spark):
     docs, folder = docs_of(spark, [*ODD, "long text, " * 5000]), new_work_path(spark, "tokens")
     parts = token_files.write_token_files(docs, folder, tokenizer("byte_bpe_50k.json"))
     rows = sorted(token_files.read_token_files(parts, folder).collect(), key=lambda r: r.start)
-    code, at = encoder(tokenizer("byte_bpe_50k.json"), "byte"), 0
+    library, at = Tokenizer.from_file(tokenizer("byte_bpe_50k.json")), 0
     kept = sorted(((r.doc_id, r.text or "") for r in docs.collect() if r.doc_id is not None), key=lambda r: r[0])
     assert [r.doc_id for r in rows] == [i for i, _ in kept]
     by_id = defaultdict(list)
     for i, t in kept:
-        by_id[i].append(np.append(code.whole(t), 2).astype("<u4"))
+        by_id[i].append(np.append(library.encode(t, add_special_tokens=False).ids, 2).astype("<u4"))
     for r in rows:
         ids = next(x for x in by_id[r.doc_id] if zlib.crc32(x.tobytes()) == r.ids_crc32)
         assert (r.start, r.n_tokens) == (at, len(ids))
@@ -110,8 +124,8 @@ def test_packing_holds_every_id_once(spark):
     texts = [*ODD, "One two three. " * 900, "word " * 9000]
     docs = docs_of(spark, texts)
     pieces = packing.pack(docs, tokenizer("word_bpe_49k.json")).collect()
-    code = encoder(tokenizer("word_bpe_49k.json"), "word")
-    whole = {r.doc_id: np.append(code.whole(r.text or ""), 1).astype("<u4") for r in docs.collect() if r.doc_id is not None}
+    library = Tokenizer.from_file(tokenizer("word_bpe_49k.json"))
+    whole = {r.doc_id: np.append(library.encode(r.text or "", add_special_tokens=False).ids, 1).astype("<u4") for r in docs.collect() if r.doc_id is not None}
     of, sequences = defaultdict(list), defaultdict(list)
     for p in pieces:
         of[p.doc_id].append(p)
