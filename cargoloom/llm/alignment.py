@@ -17,17 +17,20 @@ slice by slice. **Second pass.** Documents are aligned again from their ids and
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargoloom.llm.common import numbers_of, saved, sliced
-from cargoloom.llm.pieces import encoder
+from cargoloom.llm.pieces import byte_letters
 
 FAN, SLICE = 16, 1 << 16
 ROWS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -89,31 +92,158 @@ def most_pairs(a: list[bytes], b: list[bytes]) -> int:
     return suffixes(a, b) + suffixes(b, a)
 
 
+#: Two characters of white space side by side, or one at the end: what either library may read as a space counts.
+_GAP = r"[\s\v\x1c-\x1f\x{85}\p{Z}]"
+_BLANK = "\u2581"
+
+
+def _taken(flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``rows`` of lists laid end to end in ``flat``, laid end to end, and their sizes."""
+    n = sizes[rows]
+    starts = (np.cumsum(sizes) - sizes)[rows]
+    return flat[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
+
+
+def _laid(texts: pa.Array) -> bytes:
+    """All texts of an array end to end."""
+    _, offsets, data = texts.buffers()
+    if not len(texts) or data is None:
+        return b""
+    ends = np.frombuffer(offsets, np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    return data[int(ends[0]) : int(ends[-1])].to_pybytes()
+
+
 class Pair:
-    """Both tokenizers in a worker: ids of texts, lengths of tokens in bytes, and their digits with what follows them."""
+    """Both tokenizers in a worker: ids of texts, lengths of tokens in bytes, and their digits with what follows them.
+
+    A's file is read as ranks: the order of its merges is the order of its ids, which is checked. Where no white space stands next to
+    other white space, each blank and each line end begins a token of A, and of B (no piece of B holds a blank behind another character,
+    or a line end). So texts are cut there, the distinct words of a batch are encoded once, all A's in one call and all B's in
+    one, and documents are put together from numbers of words. Other texts are encoded as they are.
+    """
 
     def __init__(self, a_path: str, b_path: str):
-        self.a, self.b = encoder(a_path, "byte", plain=True), encoder(b_path, "blank")
-        self.a_bytes, self.b_bytes = self.a.token_bytes(), self.b.token_bytes()
+        import public_tokenizers
+        import sentencepiece
+        import tiktoken
+
+        with open(a_path, encoding="utf-8") as held:
+            model = json.load(held)
+        back = {letter: byte for byte, letter in byte_letters().items()}
+        special = {t["content"] for t in model["added_tokens"]}
+        vocabulary, merges = model["model"]["vocab"], model["model"]["merges"]
+        made = [vocabulary["".join(m.split(" ") if isinstance(m, str) else m)] for m in merges]
+        if made != sorted(made) or model["normalizer"] is not None:
+            raise ValueError(f"{a_path} is no byte-level file whose merges are in the order of their ids")
+        ranks = {bytes(back[c] for c in token): i for token, i in vocabulary.items() if token not in special}
+        self.a = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
+        for token, i in ranks.items():
+            self.a_bytes[i] = token
+        self.b = b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        shown = [b.id_to_piece(i) for i in range(b.vocab_size())]
+        self.b_bytes = [bytes([int(x[3:5], 16)]) if b.is_byte(i) else x.replace(_BLANK, " ").encode() for i, x in enumerate(shown)]
+        self.blank = b.piece_to_id(_BLANK)
+        words = [x for i, x in enumerate(shown) if not (b.is_control(i) or b.is_unknown(i) or b.is_byte(i))]
+        whole = b.encode("ab cd \nef  g", out_type=str)
+        parts = [*b.encode("ab", out_type=str), *b.encode("cd", out_type=str), _BLANK, *b.encode("\nef", out_type=str)[1:], *b.encode(" g", out_type=str)]
+        self.cuts = whole == parts and not any("\n" in x or _BLANK in x.lstrip(_BLANK) for x in words)
         self.a_sizes, self.b_sizes = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.a_flat, self.b_flat = (np.frombuffer(b"".join(t), np.uint8) for t in (self.a_bytes, self.b_bytes))
+        self.kind = np.dtype("<u2" if max(len(self.a_bytes), len(self.b_bytes)) <= 1 << 16 else "<u4")
         ids_a, ids_b = range(len(self.a_bytes)), range(len(self.b_bytes))
         self.words = [b"%d%s" % (i, end) for i in ids_a for end in (b",", b"|")]
         self.b_words = len(self.words)
         self.words += [b"%d%s" % (i, end) for i in ids_b for end in (b",", b";")]
 
-    def tokens(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of both, none at all where the bytes of either are not a space and the text."""
-        out = []
-        for text in texts:
-            a, b = np.zeros(0, np.uint16), np.zeros(0, np.uint16)
-            if text:
-                raw = b" " + text.encode()
-                a_ids, b_ids = self.a.encode([" " + text])[0], self.b.encode([text])[0]
-                same = b"".join(map(self.a_bytes.__getitem__, a_ids.tolist())) == raw
-                if same and b"".join(map(self.b_bytes.__getitem__, b_ids.tolist())) == raw:
-                    a, b = a_ids, b_ids
-            out.append((a, b))
-        return out
+    def _of_a(self, text: str) -> np.ndarray:
+        return self.a.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+
+    def _words(self, words: pa.Array) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """Ids of A and of B with their numbers for each distinct word, and which words B does not give back."""
+        lined = pc.starts_with(words, "\n")
+        shown = pc.if_else(lined, words, pc.binary_join_element_wise(pa.scalar(""), words, " "))
+        open_ = pc.match_substring_regex(shown, _GAP + r"\z").to_numpy(zero_copy_only=False)
+        # A: all words that end in no white space in one text, the few others one by one.
+        joined = shown.filter(pa.array(~open_))
+        ids, sizes = np.zeros(0, np.int64), np.zeros(len(words), np.int64)
+        if len(joined):
+            ids = self._of_a(_laid(joined).decode())
+            ends, stops = np.cumsum(self.a_sizes[ids]), np.cumsum(pc.binary_length(joined).to_numpy())
+            last = np.searchsorted(ends, stops)
+            if not (ends[last] == stops).all():
+                raise ValueError("a word of A does not end where it was cut")
+            sizes[~open_] = np.diff(last + 1, prepend=0)
+        single = [self._of_a(w) for w in shown.filter(pa.array(open_)).to_pylist()]
+        sizes[open_] = [len(x) for x in single]
+        order = np.concatenate((np.flatnonzero(~open_), np.flatnonzero(open_)))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        a = _taken(np.concatenate([ids, *single]), sizes[order], place)
+        # B: its library takes a list; a word's blank is added by it, before a line end it is taken off again.
+        plain = words.to_pylist()
+        lists = self.b.encode(plain, num_threads=1) if plain else []
+        lists = [[self.blank] if not w else x[1:] if w[0] == "\n" else x for w, x in zip(plain, lists, strict=True)]
+        b_sizes = np.array([len(x) for x in lists], np.int64)
+        b = np.fromiter(chain.from_iterable(lists), np.int64, int(b_sizes.sum())), b_sizes
+        raw, length = np.frombuffer(_laid(shown), np.uint8), pc.binary_length(shown).to_numpy().astype(np.int64)
+        bad = np.zeros(len(words), bool)
+        for (flat, n), table, widths in ((a, self.a_flat, self.a_sizes), (b, self.b_flat, self.b_sizes)):
+            spelled = np.diff(np.concatenate(([0], np.cumsum(widths[flat])))[np.cumsum(n)], prepend=0)
+            same = np.flatnonzero(spelled == length)
+            bad |= spelled != length
+            if len(same):
+                there, _ = _taken(raw, length, same)
+                got, _ = _taken(table, widths, _taken(flat, n, same)[0])
+                bad[same] |= np.add.reduceat(there != got, np.cumsum(length[same]) - length[same]) > 0
+        return a, b, bad
+
+    def tokens(self, texts: pa.Array) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+        """Ids of A and of B of all texts, laid end to end, with their numbers; none at all where either is not a space and the text."""
+        texts = pc.fill_null(texts, "")
+        full = pc.binary_length(texts).to_numpy() > 0
+        odd = pc.match_substring_regex(pc.binary_join_element_wise(pa.scalar(""), texts, " "), _GAP + "{2}").to_numpy(zero_copy_only=False)
+        cut = full & ~odd if self.cuts else np.zeros(len(texts), bool)
+        lists = pc.split_pattern(pc.replace_substring(texts.filter(pa.array(cut)), "\n", " \n"), " ")
+        numbers, distinct = np.zeros(0, np.int64), pa.array([], pa.string())
+        if len(lists):
+            coded = pc.dictionary_encode(lists.flatten())
+            numbers, distinct = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        (a, a_n), (b, b_n), bad = self._words(distinct)
+        in_text = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        ends = np.cumsum(in_text)
+
+        def per_text(values: np.ndarray) -> np.ndarray:
+            return np.diff(np.concatenate(([0], np.cumsum(values)))[ends], prepend=0)
+
+        wrong = per_text(bad[numbers]) > 0
+        found = []
+        for flat, n in ((a, a_n), (b, b_n)):
+            whole, _ = _taken(flat, n, numbers)
+            found.append(([whole], per_text(n[numbers])))
+        rest = np.flatnonzero(full & ~cut)
+        rest_sizes: list[list[int]] = [[], []]
+        for text in texts.take(pa.array(rest)).to_pylist():
+            raw = b" " + text.encode()
+            ids = self._of_a(" " + text), np.array(self.b.encode(text), np.int64)
+            spelled = [b"".join(map(t.__getitem__, x.tolist())) for t, x in zip((self.a_bytes, self.b_bytes), ids, strict=True)]
+            for i in (0, 1):
+                kept = ids[i] if spelled == [raw, raw] else ids[i][:0]
+                found[i][0].append(kept)
+                rest_sizes[i].append(len(kept))
+        # All texts, those cut first, then the rest; the wrong ones lose their ids, and texts take their places again.
+        out, places = [], np.flatnonzero(cut)
+        for i in (0, 1):
+            sizes = np.concatenate((found[i][1], np.array(rest_sizes[i], np.int64)))
+            order = np.full(len(texts), -1)
+            order[places], order[rest] = np.arange(len(places)), len(places) + np.arange(len(rest))
+            order[places[wrong]] = -1
+            there = order[order >= 0]
+            flat, n = _taken(np.concatenate(found[i][0]), sizes, there)
+            per = np.zeros(len(texts), np.int64)
+            per[order >= 0] = n
+            out.append((flat, per))
+        return out[0], out[1]
 
     def ends(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which tokens of documents laid end to end have an end in common with one of the other side."""
@@ -148,10 +278,10 @@ def _codes(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.int64) << 32 | b.astype(np.int64)
 
 
-def _batch_ids(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
+def _batch_ids(batch: pa.RecordBatch, name: str, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """Ids of a batch's rows laid end to end, and how many each row has."""
-    rows = [np.frombuffer(x, "<u4") for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
-    return np.concatenate(rows) if rows else np.zeros(0, "<u4"), np.array([len(x) for x in rows], np.int64)
+    rows = [np.frombuffer(x, kind) for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
+    return np.concatenate([np.zeros(0, kind), *rows]).astype(np.int64), np.array([len(x) for x in rows], np.int64)
 
 
 def encoded(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -160,12 +290,16 @@ def encoded(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, met = _pair(a_path, b_path), np.zeros(0, np.int64)
         names, kinds = ["doc_id", "a", "b", "pairs"], [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        for batch in sliced(batches, 4 << 20):
-            rows = pair.tokens(batch.column(batch.schema.get_field_index("text")).to_pylist())
-            a, b = (np.concatenate([r[i] for r in rows]) if rows else np.zeros(0, np.uint16) for i in (0, 1))
+        for batch in sliced(batches):
+            (a, a_n), (b, b_n) = pair.tokens(batch.column(batch.schema.get_field_index("text")))
             of_a, of_b = pair.ends(a, b)
             met = np.union1d(met, _codes(a[of_a], b[of_b]))
-            columns = [numbers_of(batch, "doc_id")] + [[r[i].astype("<u4").tobytes() for r in rows] for i in (0, 1)] + [[None] * len(rows)]
+            columns = [numbers_of(batch, "doc_id")]
+            for flat, n in ((a, a_n), (b, b_n)):
+                cut = np.concatenate(([0], np.cumsum(n))).tolist()
+                ids = flat.astype(pair.kind)
+                columns.append([ids[i:j].tobytes() for i, j in zip(cut, cut[1:], strict=False)])
+            columns.append([None] * batch.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
         columns = [[None], [None], [None], [met.astype("<i8").tobytes()]]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
@@ -213,7 +347,7 @@ def _counts(tokens: DataFrame, a_path: str, b_path: str, known: PerfectHash) ->
         pair, perfect, part = _pair(a_path, b_path), shared.value, TaskContext.get().partitionId()
         total = np.zeros(len(perfect.keys), "<i8")
         for batch in sliced(batches):
-            (a, _), (b, _) = _batch_ids(batch, "a"), _batch_ids(batch, "b")
+            (a, _), (b, _) = _batch_ids(batch, "a", pair.kind), _batch_ids(batch, "b", pair.kind)
             of_a, of_b = pair.ends(a, b)
             numbers = perfect.numbers(_codes(a[of_a], b[of_b]))
             if (numbers < 0).any():
@@ -254,7 +388,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, (perfect, total, highest) = _pair(a_path, b_path), shared.value
         for batch in sliced(batches, 4 << 20):
-            (a, n_a), (b, n_b) = _batch_ids(batch, "a"), _batch_ids(batch, "b")
+            (a, n_a), (b, n_b) = _batch_ids(batch, "a", pair.kind), _batch_ids(batch, "b", pair.kind)
             of_a, of_b = pair.ends(a, b)
             numbers = perfect.numbers(_codes(a[of_a], b[of_b]))
             if (numbers < 0).any():

@@ -23,55 +23,32 @@ _ODD_PAIR = {"byte": re.compile(r"\n[ \n.,]|[.,][.,]"), "word": re.compile(r"[.,
 # ... and in texts that hold other pieces as well.
 _ODD_PLACE = {"byte": re.compile(r"\s\s|[^\w\n][.,]|_[.,]"), "word": re.compile(r"[^\w\s][.,]|_[.,]")}
 
-_BLANK = "\u2581"
 
-
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable character that byte-level BPE files write for each byte."""
     kept = [*range(33, 127), *range(161, 173), *range(174, 256)]
     moved = [b for b in range(256) if b not in set(kept)]
     return {b: chr(b) for b in kept} | {b: chr(256 + i) for i, b in enumerate(moved)}
 
 
-class Pieces(dict):
-    """Ids by piece, as bytes. :meth:`trim` empties a memory of over ``most`` bytes; call it between texts."""
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.most, self.size = most, 0
-
-    def keep(self, piece: str, ids: bytes) -> bytes:
-        self[piece] = ids
-        self.size += 200 + 2 * len(piece) + len(ids)  # what a string, its bytes and their place take, nearly
-        return ids
-
-    def trim(self) -> bool:
-        if self.size <= self.most:
-            return False
-        self.clear()
-        self.size = 0
-        return True
-
-
-class PieceEncoder(Pieces):
+class PieceEncoder(dict):
     """``encode(texts)`` gives each text's ids; as a dictionary it holds the ids of pieces, as bytes.
 
     ``style`` is ``byte`` (byte-level BPE, a space belongs to the word behind it) or ``word`` (BPE with word
-    ends, lower case, spaces dropped). A special token's string in a text is that token, as the library has it, or with
-    ``plain`` ordinary text.
+    ends, lower case, spaces dropped). A special token's string in a text is that token, as the library has it. A memory
+    of over ``most`` bytes of pieces is emptied between texts.
     """
 
-    def __init__(self, path: str, style: str, most: int = 96 << 20, plain: bool = False):
+    def __init__(self, path: str, style: str, most: int = 96 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        super().__init__(most)
+        super().__init__()
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = plain
-        self.special = [] if plain else [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.model = self.library.model
         self.kind = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
-        self.style, self.letters, self.other = style, _byte_letters(), set()
+        self.style, self.most, self.size, self.letters, self.other = style, most, 0, byte_letters(), set()
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind)
@@ -85,11 +62,15 @@ class PieceEncoder(Pieces):
             if piece not in ("", ".", ",", "\n"):
                 self.other.add(piece)
             ids = self.whole(piece).tobytes()
-        return self.keep(piece, ids)
+        self[piece] = ids
+        self.size += 200 + 2 * len(piece) + len(ids)  # what a string, its bytes and their place take, nearly
+        return ids
 
     def _one(self, text: str) -> np.ndarray:
-        if self.trim():
+        if self.size > self.most:
+            self.clear()
             self.other.clear()
+            self.size = 0
         lower = text.lower() if self.style == "word" else text
         # In capitals a special token's string is ordinary text, but its lower-cased pieces would not be.
         if _ODD_CHARACTER.search(text) or _ODD_PAIR[self.style].search(text) or any(t in lower for t in self.special):
@@ -107,74 +88,12 @@ class PieceEncoder(Pieces):
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         return [self._one(t) for t in texts]
 
-    def token_bytes(self) -> list[bytes]:
-        """Per id the bytes it stands for in a byte-level file."""
-        back = {letter: byte for byte, letter in self.letters.items()}
-        out = [b""] * (max(self.library.get_vocab().values()) + 1)
-        special = {t.content for t in self.library.get_added_tokens_decoder().values()}
-        for token, i in self.library.get_vocab().items():
-            out[i] = token.encode() if token in special else bytes(back[c] for c in token)
-        return out
-
-
-class BlankPieceEncoder(Pieces):
-    """Ids by a ``sentencepiece`` file that marks blanks and changes nothing else: no piece of it holds a blank behind another
-    character, or a line end, so text is encoded word by word, cut before blanks and line ends."""
-
-    def __init__(self, path: str, most: int = 96 << 20):
-        import sentencepiece
-
-        super().__init__(most)
-        self.library = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = self.library.vocab_size()
-        shown = [self.library.id_to_piece(i) for i in range(n)]
-        plain = [x for i, x in enumerate(shown) if not (self.library.is_control(i) or self.library.is_unknown(i) or self.library.is_byte(i))]
-        self.cuts = not any("\n" in x or _BLANK in x.lstrip(_BLANK) for x in plain)
-        self.kind, self.blank = np.dtype("<u2" if n <= 1 << 16 else "<u4"), self.library.piece_to_id(_BLANK)
-        # Only where a text of blanks and line ends comes out as it went in may texts be cut.
-        self.cuts &= self.library.encode(" a  b \n\nc ", out_type=str) == self._spelled(" a  b \n\nc ")
-        self.shown = shown
-
-    def _spelled(self, text: str) -> list[str]:
-        """What an encoder without normaliser gives for a text whose longer pieces are runs of blanks."""
-        out = self.library.encode(text, out_type=str)
-        return out if self.library.decode(out) == text else []
-
-    def whole(self, text: str) -> np.ndarray:
-        return np.array(self.library.encode(text), self.kind)
-
-    def __missing__(self, piece: str) -> bytes:
-        if not piece:
-            ids = [self.blank]
-        else:
-            ids = self.library.encode(piece)
-            ids = ids[1:] if piece[0] == "\n" else ids
-        return self.keep(piece, np.array(ids, self.kind).tobytes())
-
-    def _one(self, text: str) -> np.ndarray:
-        self.trim()
-        if not text or not self.cuts or "  " in text or text[0] == " " or "\x01" in text or _BLANK in text:
-            return self.whole(text)
-        cut = text.replace("\n", "\x01\n").replace(" ", "\x01").split("\x01")
-        return np.frombuffer(b"".join(map(self.__getitem__, cut)), self.kind)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [self._one(t) for t in texts]
-
-    def token_bytes(self) -> list[bytes]:
-        """Per id the bytes it stands for: a byte piece its byte, any other its letters, marked blanks as spaces."""
-        return [
-            bytes([int(x[3:5], 16)]) if self.library.is_byte(i) else x.replace(_BLANK, " ").encode()
-            for i, x in enumerate(self.shown)
-        ]
-
 
-_encoders: dict[tuple, Pieces] = {}
+_encoders: dict[tuple[str, str], PieceEncoder] = {}
 
 
-def encoder(path: str, style: str, plain: bool = False):
-    """The encoder of a file; a Python worker that runs several tasks keeps it, with its pieces. Style ``blank`` is sentencepiece's."""
-    key = (path, style, plain)
-    if key not in _encoders:
-        _encoders[key] = BlankPieceEncoder(path) if style == "blank" else PieceEncoder(path, style, plain=plain)
-    return _encoders[key]
+def encoder(path: str, style: str) -> PieceEncoder:
+    """The encoder of a file; a Python worker that runs several tasks keeps it, with its pieces."""
+    if (path, style) not in _encoders:
+        _encoders[path, style] = PieceEncoder(path, style)
+    return _encoders[path, style]

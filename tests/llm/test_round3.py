@@ -8,12 +8,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
 from cargoloom.llm import alignment, dialogue, languages
-from cargoloom.llm.pieces import encoder
+from cargoloom.llm.pieces import byte_letters
 from cargoloom.llm.queries import tokenizer
 
 A, B = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -239,8 +240,7 @@ def brute_alignment(texts):
     a = Tokenizer.from_file(tokenizer(A))
     a.encode_special_tokens = True
     b = sentencepiece.SentencePieceProcessor(model_file=tokenizer(B))
-    letters = encoder(tokenizer(A), "byte", plain=True).letters
-    back = {v: k for k, v in letters.items()}
+    back = {v: k for k, v in byte_letters().items()}
 
     def piece(i):
         p = b.id_to_piece(i)
@@ -287,6 +287,30 @@ def test_alignment(spark):
     assert alignment.align(docs.limit(0), tokenizer(A), tokenizer(B)).count() == 0
 
 
+ODD = ["a", "the", "Word", "İ", " ", " ", " ", "  ", "\n", "\t", ".", ",", "'s", "12", "²", "日本", "ﬁ", "<|endoftext|>", "</s>", "\u0301", "\u00a0",
+       "\u3000", "▁", "\x01", "\x1c", "\x85", "K", "\r"]
+
+
+def test_tokens_are_the_libraries():
+    draw = random.Random(11)
+    texts = [t or "" for t in TEXTS] + ["".join(draw.choices(ODD, k=draw.randint(0, 12))) for _ in range(20_000)]
+    pair = alignment.Pair(tokenizer(A), tokenizer(B))
+    assert pair.cuts
+    (a, a_n), (b, b_n) = pair.tokens(pa.array(texts, pa.string()))
+    library = Tokenizer.from_file(tokenizer(A))
+    library.encode_special_tokens = True
+    of_a = [e.ids for e in library.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+    of_b = pair.b.encode(texts)
+    for i, (text, x, y) in enumerate(zip(texts, of_a, of_b, strict=True)):
+        if not text or "▁" in text:
+            assert a_n[i] == b_n[i] == 0, text
+            of_a[i], of_b[i] = [], []
+        else:
+            assert (a_n[i], b_n[i]) == (len(x), len(y)), text
+    assert a.tolist() == [x for ids in of_a for x in ids]
+    assert b.tolist() == [x for ids in of_b for x in ids]
+
+
 def test_perfect_hash_numbers_every_key_once():
     keys = np.random.default_rng(1).integers(0, 1 << 48, 20_000)
     perfect = alignment.PerfectHash.of(np.concatenate((keys, keys[:100])))
