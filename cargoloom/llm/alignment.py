@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoloom.llm.common import numbers_of, saved, sliced
+from cargoloom.llm.common import numbers_of, saved, sliced, taken
 from cargoloom.llm.pieces import byte_letters
 
 FAN, SLICE = 16, 1 << 16
@@ -97,13 +97,6 @@ _GAP = r"[\s\v\x1c-\x1f\x{85}\p{Z}]"
 _BLANK = "\u2581"
 
 
-def _taken(flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ``rows`` of lists laid end to end in ``flat``, laid end to end, and their sizes."""
-    n = sizes[rows]
-    starts = (np.cumsum(sizes) - sizes)[rows]
-    return flat[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
-
-
 def _laid(texts: pa.Array) -> bytes:
     """All texts of an array end to end."""
     _, offsets, data = texts.buffers()
@@ -179,7 +172,7 @@ class Pair:
         order = np.concatenate((np.flatnonzero(~open_), np.flatnonzero(open_)))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
-        a = _taken(np.concatenate([ids, *single]), sizes[order], place)
+        a = taken(np.concatenate([ids, *single]), sizes[order], place)
         # B: its library takes a list; a word's blank is added by it, before a line end it is taken off again.
         plain = words.to_pylist()
         lists = self.b.encode(plain, num_threads=1) if plain else []
@@ -193,8 +186,8 @@ class Pair:
             same = np.flatnonzero(spelled == length)
             bad |= spelled != length
             if len(same):
-                there, _ = _taken(raw, length, same)
-                got, _ = _taken(table, widths, _taken(flat, n, same)[0])
+                there, _ = taken(raw, length, same)
+                got, _ = taken(table, widths, taken(flat, n, same)[0])
                 bad[same] |= np.add.reduceat(there != got, np.cumsum(length[same]) - length[same]) > 0
         return a, b, bad
 
@@ -219,7 +212,7 @@ class Pair:
         wrong = per_text(bad[numbers]) > 0
         found = []
         for flat, n in ((a, a_n), (b, b_n)):
-            whole, _ = _taken(flat, n, numbers)
+            whole, _ = taken(flat, n, numbers)
             found.append(([whole], per_text(n[numbers])))
         rest = np.flatnonzero(full & ~cut)
         rest_sizes: list[list[int]] = [[], []]
@@ -239,7 +232,7 @@ class Pair:
             order[places], order[rest] = np.arange(len(places)), len(places) + np.arange(len(rest))
             order[places[wrong]] = -1
             there = order[order >= 0]
-            flat, n = _taken(np.concatenate(found[i][0]), sizes, there)
+            flat, n = taken(np.concatenate(found[i][0]), sizes, there)
             per = np.zeros(len(texts), np.int64)
             per[order >= 0] = n
             out.append((flat, per))

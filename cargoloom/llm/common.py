@@ -59,11 +59,11 @@ def sliced(batches: Iterator[pa.RecordBatch], most_bytes: int = 8 << 20) -> Iter
             yield batch.slice(start, rows)
 
 
-def count_by_part(df: DataFrame, part: str, value) -> list[tuple[int, int]]:
-    """Per part its total, and before it the sum over lower parts; one row per task reaches the driver."""
-    totals = df.groupBy(part).agg(F.sum(value).cast("long").alias("total")).orderBy(part).collect()
-    ends = np.cumsum([0] + [r["total"] for r in totals])
-    return [(r[part], int(ends[i])) for i, r in enumerate(totals)]
+def taken(flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``rows`` of lists laid end to end in ``flat``, laid end to end, and their sizes."""
+    n = sizes[rows]
+    starts = (np.cumsum(sizes) - sizes)[rows]
+    return flat[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from cargoloom.llm.common import identified_texts, in_id_order, numbers_of, sliced, texts_of
+from cargoloom.llm.common import identified_texts, in_id_order, numbers_of, sliced
 from cargoloom.llm.pieces import PieceEncoder, encoder
 
 LENGTH = 2048
 ROWS = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Ids packed by one run of the dynamic program, as many whole documents as reach it: a bound on memory.
 #: A longer document is one run by itself.
-CHUNK = 4_000_000
+CHUNK = 1_000_000
 
 
 def cuts(places: np.ndarray, costs: np.ndarray, length: int, window_cost: float) -> np.ndarray:
@@ -158,7 +158,7 @@ def pack(
             return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in out.items()})
 
         for batch in sliced(batches):
-            for doc_id, ids in zip(numbers_of(batch, "doc_id").tolist(), code.encode(texts_of(batch)), strict=True):
+            for doc_id, ids in zip(numbers_of(batch, "doc_id").tolist(), code.encode(batch.column(batch.schema.get_field_index("text"))), strict=True):
                 if held and size + len(ids) + 1 > CHUNK:
                     yield flush()
                 held.append((doc_id, np.append(ids, ids.dtype.type(end_id))))

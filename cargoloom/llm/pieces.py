@@ -13,13 +13,17 @@ import re
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from cargoloom.llm.common import taken
 
 # Characters whose class is the same for every regular-expression library: no superscript and
 # fraction digits, no combining marks, no control characters but tab and line ends;
 # nor the dotted capital I, which lower-cases to a letter and a mark.
-_ODD_CHARACTER = re.compile("[^\t\n\r\x20-\x7e¡-±´-¸º»¿-įı-ɏ‐-‧]")
+_ODD_CHARACTER = "[^\t\n\r\x20-\x7e¡-±´-¸º»¿-įı-ɏ‐-‧]"
 # Where a cut before a space, stop, comma or line end need not be a piece end, among simple pieces...
-_ODD_PAIR = {"byte": re.compile(r"\n[ \n.,]|[.,][.,]"), "word": re.compile(r"[.,][.,]")}
+_ODD_PAIR = {"byte": r"\n[ \n.,]|[.,][.,]", "word": "[.,][.,]"}
 # ... and in texts that hold other pieces as well.
 _ODD_PLACE = {"byte": re.compile(r"\s\s|[^\w\n][.,]|_[.,]"), "word": re.compile(r"[^\w\s][.,]|_[.,]")}
 
@@ -36,10 +40,10 @@ class PieceEncoder(dict):
 
     ``style`` is ``byte`` (byte-level BPE, a space belongs to the word behind it) or ``word`` (BPE with word
     ends, lower case, spaces dropped). A special token's string in a text is that token, as the library has it. A memory
-    of over ``most`` bytes of pieces is emptied between texts.
+    of over ``most`` bytes of pieces is emptied between batches.
     """
 
-    def __init__(self, path: str, style: str, most: int = 96 << 20):
+    def __init__(self, path: str, style: str, most: int = 128 << 20):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -66,27 +70,47 @@ class PieceEncoder(dict):
         self.size += 200 + 2 * len(piece) + len(ids)  # what a string, its bytes and their place take, nearly
         return ids
 
-    def _one(self, text: str) -> np.ndarray:
-        if self.size > self.most:
-            self.clear()
-            self.other.clear()
-            self.size = 0
-        lower = text.lower() if self.style == "word" else text
-        # In capitals a special token's string is ordinary text, but its lower-cased pieces would not be.
-        if _ODD_CHARACTER.search(text) or _ODD_PAIR[self.style].search(text) or any(t in lower for t in self.special):
-            return self.whole(text)
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Each text's ids (null: empty). Texts of simple characters are cut all at once, and each distinct piece of them looked up once."""
+        texts = pc.fill_null(texts, "")
+        lower = pc.utf8_lower(texts) if self.style == "word" else texts
+        whole = pc.match_substring_regex(texts, _ODD_CHARACTER)
+        for odd in (pc.match_substring_regex(texts, _ODD_PAIR[self.style]), *(pc.match_substring(lower, t) for t in self.special)):
+            # In capitals a special token's string is ordinary text, but its lower-cased pieces would not be.
+            whole = pc.or_(whole, odd)
+        out: list[np.ndarray] = [np.zeros(0, self.kind)] * len(texts)
+        simple = lower.filter(pc.invert(whole))
         if self.style == "word":
-            cut = lower.replace(".", " .").replace(",", " ,").split()
+            lists = pc.ascii_split_whitespace(pc.replace_substring(pc.replace_substring(simple, ".", " ."), ",", " ,"))
         else:
-            marked = text.replace(" ", "\x01 ").replace(".", "\x01.").replace(",", "\x01,")
-            cut = marked.replace("\n", "\x01\n\x01").split("\x01")
-        ids = b"".join(map(self.__getitem__, cut))
-        if not self.other.isdisjoint(cut) and _ODD_PLACE[self.style].search(text):
-            return self.whole(text)
-        return np.frombuffer(ids, self.kind)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [self._one(t) for t in texts]
+            for mark in (" ", ".", ",", "\n"):
+                simple = pc.replace_substring(simple, mark, "\x01" + mark + ("\x01" if mark == "\n" else ""))
+            lists = pc.split_pattern(simple, "\x01")
+        places = np.flatnonzero(pc.invert(whole).to_numpy(zero_copy_only=False))
+        if len(places):
+            coded = pc.dictionary_encode(lists.flatten())
+            pieces, numbers = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+            if self.size > self.most:
+                self.clear()
+                self.other.clear()
+                self.size = 0
+            ids = list(map(self.__getitem__, pieces))
+            flat, n = taken(np.frombuffer(b"".join(ids), self.kind), np.array(list(map(len, ids))) // self.kind.itemsize, numbers)
+            in_text = pc.list_value_length(lists).to_numpy()
+            ends = np.cumsum(in_text)
+            cut = np.concatenate(([0], np.cumsum(n)))[np.concatenate(([0], ends))].tolist()
+            # Where pieces that are no words come in, a cut need not have been a piece's end.
+            other = np.array([p in self.other for p in pieces], bool)[numbers]
+            some = np.diff(np.concatenate(([0], np.cumsum(other)))[ends], prepend=0) > 0
+            for i, place in enumerate(places.tolist()):
+                out[place] = flat[cut[i] : cut[i + 1]]
+                if some[i]:
+                    text = texts[place].as_py()
+                    if _ODD_PLACE[self.style].search(text):
+                        out[place] = self.whole(text)
+        for place in np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist():
+            out[place] = self.whole(texts[place].as_py())
+        return out
 
 
 _encoders: dict[tuple[str, str], PieceEncoder] = {}

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cargoloom.llm.common import identified_texts, in_id_order, numbers_of, saved, sliced, texts_of
+from cargoloom.llm.common import identified_texts, in_id_order, numbers_of, saved, sliced
 from cargoloom.llm.pieces import encoder
 
 PARTS = "part int, n_documents long, n_tokens long, wide int"
@@ -83,7 +83,7 @@ def write_token_files(
             nonlocal total
             for batch in sliced(batches):
                 ids_of.append(numbers_of(batch, "doc_id").astype("<i8"))
-                for ids in code.encode(texts_of(batch)):
+                for ids in code.encode(batch.column(batch.schema.get_field_index("text"))):
                     whole = ids.astype(kind) if end_id is None else np.append(ids.astype(kind), kind.type(end_id))
                     lengths.append(len(whole))
                     total += len(whole)
