@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,23 +49,54 @@ def dense_keys(df: DataFrame, order_by: Sequence[str], key: str, after: int = 0)
     return rows.select((start + place + 1).alias(key), *df.columns)
 
 
+@dataclass(frozen=True)
+class KnownKeys:
+    """Rows with keys given earlier, and the highest key ever given: the latter from a log (``VersionedTables``), not from a scan."""
+
+    rows: DataFrame
+    highest: int
+
+
 def stable_keys(
     incoming: DataFrame,
-    current: DataFrame,
+    known: KnownKeys,
     natural_key: str,
     key: str,
     order_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Rows of ``incoming`` with the key each natural key already has in ``current``.
+    """Rows of ``incoming`` with the key each natural key already has in ``known``.
 
-    Natural keys seen for the first time get dense keys above the highest one in
-    use, so a key once given never moves to another row. ``natural_key`` must be
+    Natural keys seen for the first time get dense keys above the highest one ever
+    given, so a key once given never moves to another row. ``natural_key`` must be
     unique in both inputs; null counts as a value.
     """
-    known = current.select(F.col(natural_key).alias("__known"), F.col(key))
+    held = known.rows.select(F.col(natural_key).alias("__known"), F.col(key))
     same = F.col(natural_key).eqNullSafe(F.col("__known"))
-    kept = incoming.join(known, same, "inner").select(key, *incoming.columns)
-    fresh = incoming.join(known.select("__known"), same, "left_anti")
-    highest = current.agg(F.coalesce(F.max(key), F.lit(0)).cast("long")).first()[0]
-    numbered = dense_keys(fresh, order_by or [natural_key], key, after=highest)
+    kept = incoming.join(held, same, "inner").select(key, *incoming.columns)
+    fresh = incoming.join(held.select("__known"), same, "left_anti")
+    numbered = dense_keys(fresh, order_by or [natural_key], key, after=known.highest)
     return kept.withColumn(key, F.col(key).cast("long")).unionByName(numbered)
+
+
+def numbered_copies(df: DataFrame, natural: Sequence[str], name: str) -> DataFrame:
+    """``df`` with a column that tells rows of one natural key apart: 0, 1, ... in the order of their other columns.
+
+    Nulls count as values. Where no key repeats, as it should be, this costs one aggregate. Only rows of repeated keys are
+    sorted, over the whole cluster, so a key that a third of all rows share is no hot task.
+    """
+    repeated = df.groupBy(*natural).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    path = new_work_path(df.sparkSession, "repeated-keys")
+    repeated.select(*[F.col(c).alias(f"__{c}") for c in natural]).write.parquet(path)
+    keys = df.sparkSession.read.parquet(path)
+    if keys.isEmpty():
+        return df.withColumn(name, F.lit(0).cast("long"))
+
+    def same(prefix: str):
+        return reduce(and_, [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in natural])
+
+    others = [c for c in df.columns if c not in natural]
+    placed = dense_keys(df.join(keys, same("__"), "left_semi"), [*natural, *others], "__place")
+    first = placed.groupBy(*natural).agg(F.min("__place").alias("__first"))
+    first = first.select("__first", *[F.col(c).alias(f"__{c}") for c in natural])
+    copies = placed.join(first, same("__"), "left").withColumn(name, F.col("__place") - F.col("__first"))
+    return df.join(keys, same("__"), "left_anti").withColumn(name, F.lit(0).cast("long")).unionByName(copies.select(*df.columns, name))

@@ -1,7 +1,7 @@
 """The dimension tables.
 
 Each builder returns one frame with the surrogate key in front. ``as_of`` stands
-for "now". Pass ``current`` (the last published rows) to keep the keys already given.
+for "now". Pass ``known`` (the last published rows and the highest key) to keep the keys already given.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from cargoloom.functions.dates import (
     open_end_date,
 )
 from cargoloom.functions.moments import moment_date
-from cargoloom.operators.keys import dense_keys, stable_keys
+from cargoloom.operators.keys import KnownKeys, dense_keys, stable_keys
 
 # The payment methods.
 PAYMENT_METHODS = (
@@ -32,10 +32,10 @@ PAYMENT_METHODS = (
 )
 
 
-def _keyed(rows: DataFrame, natural_key: str, key: str, current: DataFrame | None) -> DataFrame:
-    if current is None:
+def _keyed(rows: DataFrame, natural_key: str, key: str, known: KnownKeys | None) -> DataFrame:
+    if known is None:
         return dense_keys(rows, [natural_key], key)
-    return stable_keys(rows, current, natural_key, key)
+    return stable_keys(rows, known, natural_key, key)
 
 
 def dim_date(spark: SparkSession, start: date, end: date, holidays: tuple[str, ...] = HOLIDAYS) -> DataFrame:
@@ -61,7 +61,7 @@ def dim_date_covering(df: DataFrame, column: str) -> DataFrame:
     return dim_date(df.sparkSession, first, last)
 
 
-def dim_user(users: DataFrame, as_of: datetime, current: DataFrame | None = None) -> DataFrame:
+def dim_user(users: DataFrame, as_of: datetime, known: KnownKeys | None = None) -> DataFrame:
     rows = users.select(
         "user_id",
         "full_name",
@@ -74,11 +74,11 @@ def dim_user(users: DataFrame, as_of: datetime, current: DataFrame | None = None
         F.coalesce(F.col("created_at").cast("date"), moment_date(as_of)).alias("effective_start_date"),
         open_end_date().alias("effective_end_date"),
     )
-    return _keyed(rows, "user_id", "user_key", current)
+    return _keyed(rows, "user_id", "user_key", known)
 
 
 def dim_driver(
-    drivers: DataFrame, users: DataFrame, as_of: datetime, current: DataFrame | None = None
+    drivers: DataFrame, users: DataFrame, as_of: datetime, known: KnownKeys | None = None
 ) -> DataFrame:
     """Drivers with the key and name of their user (``users`` is dim_user); drivers without one are left out."""
     rows = drivers.join(users.select("user_id", "user_key", "full_name"), "user_id").select(
@@ -92,7 +92,7 @@ def dim_driver(
         moment_date(as_of).alias("effective_start_date"),
         open_end_date().alias("effective_end_date"),
     )
-    return _keyed(rows, "driver_id", "driver_key", current)
+    return _keyed(rows, "driver_id", "driver_key", known)
 
 
 def distinct_addresses(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -104,7 +104,7 @@ def distinct_addresses(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
 def dim_location(
     orders: DataFrame,
     as_of: datetime,
-    current: DataFrame | None = None,
+    known: KnownKeys | None = None,
     shipments: DataFrame | None = None,
     layout: str = "default",
 ) -> DataFrame:
@@ -119,7 +119,7 @@ def dim_location(
         moment_date(as_of).alias("effective_start_date"),
         open_end_date().alias("effective_end_date"),
     )
-    return _keyed(rows, "full_address", "location_key", current)
+    return _keyed(rows, "full_address", "location_key", known)
 
 
 def dim_payment_method(spark: SparkSession) -> DataFrame:

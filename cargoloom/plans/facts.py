@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from cargoloom.functions.dates import date_key, minutes_between
 from cargoloom.functions.moments import moment
 from cargoloom.operators.joins import fan_out_left_join
-from cargoloom.operators.keys import dense_keys, stable_keys
+from cargoloom.operators.keys import KnownKeys, dense_keys, numbered_copies, stable_keys
 
 PAYMENT_POLICIES = ("all", "latest", "sum")
+ORDER_FACT_KEY = ("order_id", "order_copy", "payment_id", "payment_copy")
 
 
 def audit_columns(as_of: datetime, etl_user: str) -> dict[str, Column]:
@@ -31,7 +32,7 @@ def payments_per_order(payments: DataFrame, policy: str = "all") -> DataFrame:
         raise ValueError(f"payment policy must be one of {PAYMENT_POLICIES}, not {policy!r}")
     kept = ["payment_id", "amount", "payment_method", "payment_status"]
     if policy == "all":
-        return payments.select("order_id", *kept)
+        return payments.select("order_id", *kept, *[c for c in ("payment_copy",) if c in payments.columns])
     latest = F.max_by(F.struct(*kept), F.struct("payment_date", "payment_id")).alias("latest")
     total = F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("total")
     merged = payments.groupBy("order_id").agg(latest, total)
@@ -60,8 +61,8 @@ def fact_orders(
     etl_user: str,
     payment_policy: str = "all",
     dim_payment_method: DataFrame | None = None,
-    known_keys: DataFrame | None = None,
-    with_payment_id: bool = False,
+    known_keys: KnownKeys | None = None,
+    with_natural_key: bool = False,
 ) -> DataFrame:
     """One row per order and payment (or per order, see ``payments_per_order``).
 
@@ -70,9 +71,14 @@ def fact_orders(
     merges, and adaptive execution splits a busy user's or address's order rows. They
     come before the payments, while there is one row per order. With
     ``dim_payment_method`` the method's key is looked up as well. Keys are
-    those of ``known_keys`` (``order_key``, ``order_id``, ``payment_id``) for a fact known there, and follow the highest for
-    others; ``with_payment_id`` keeps the column that tells an order's facts apart, to save such keys.
+    those of ``known_keys`` for a fact known there, and follow the highest for others. What tells facts apart is
+    ``ORDER_FACT_KEY``: the order and, under ``all``, its payment, each with a number among source rows of one id. Under ``latest`` and
+    ``sum`` the grain is the order, so a later payment doesn't move its key. ``with_natural_key`` keeps those columns, to save keys.
     """
+    stable = known_keys is not None or with_natural_key
+    if stable:
+        orders = numbered_copies(orders, ["order_id"], "order_copy")
+        payments = numbered_copies(payments, ["order_id", "payment_id"], "payment_copy") if payment_policy == "all" else payments
     places = dim_location.select("full_address", "location_key")
     placed = (
         orders.select(
@@ -84,6 +90,7 @@ def fact_orders(
             "delivery_time",
             "status",
             "created_at",
+            *(["order_copy"] if stable else []),
         )
         .join(dim_user.select("user_id", "user_key"), "user_id", "left")
         .join(places.toDF("pickup_address", "pickup_location_key"), "pickup_address", "left")
@@ -121,10 +128,22 @@ def fact_orders(
         F.col("created_at").alias("order_created_at"),
         F.col("delivery_time").alias("order_completed_at"),
         "payment_id",
+        *([c for c in ("order_copy", "payment_copy") if c in rows.columns]),
     )
     # The payment id makes the order total where an order has several payments.
-    numbered = keyed_facts(shaped, ["order_id", "payment_id"], "order_key", known_keys)
-    last = ["payment_id"] if with_payment_id else []
+    natural = ["order_id", "payment_id"]
+    if stable:
+        by_payment = payment_policy == "all"
+        no = F.lit(None).cast("long")
+        shaped = shaped.withColumns(
+            {
+                "payment_id": F.col("payment_id") if by_payment else F.lit(None).cast(shaped.schema["payment_id"].dataType),
+                "payment_copy": F.coalesce(F.col("payment_copy"), F.lit(0)) if by_payment else no,
+            }
+        )
+        natural = list(ORDER_FACT_KEY)
+    numbered = keyed_facts(shaped, natural, "order_key", known_keys)
+    last = [c for c in ORDER_FACT_KEY if c != "order_id"] if with_natural_key else []
     return numbered.select("order_key", *[c for c in columns if c in rows.columns or c in shaped.columns], *last).withColumns(
         audit_columns(as_of, etl_user)
     )
@@ -137,21 +156,25 @@ def fact_shipment_tracking(
     as_of: datetime,
     etl_user: str,
     dim_location: DataFrame | None = None,
-    known_keys: DataFrame | None = None,
+    known_keys: KnownKeys | None = None,
     per_order_fact: bool = False,
+    with_natural_key: bool = False,
 ) -> DataFrame:
     """One row per shipment, with the minutes since its estimated time.
 
     An order with several facts (payment policy ``all``) gives the lowest ``order_key`` of them; with
-    ``per_order_fact`` its shipments get one row for each. Keys are those of ``known_keys`` (earlier tracking
-    facts) for a shipment and order known there, and follow the highest for others.
+    ``per_order_fact`` its shipments get one row for each. Keys are those of ``known_keys`` for a shipment known there, and
+    follow the highest for others; source rows of one shipment id, or without one, are told apart by ``shipment_copy``,
+    which ``with_natural_key`` keeps.
 
     With ``dim_location`` the key of the current location is looked up as well. The
     lookups in dimensions come first, before an order with several facts repeats rows.
     """
-    rows = shipments.select(
-        "shipment_id", "order_id", "driver_id", "estimated_delivery_time", "status", "current_location"
-    ).join(dim_driver.select("driver_id", "driver_key"), "driver_id", "left")
+    wanted = ["shipment_id", "order_id", "driver_id", "estimated_delivery_time", "status", "current_location"]
+    source, copy = shipments.select(*wanted), []
+    if known_keys is not None or with_natural_key:
+        source, copy = numbered_copies(source, ["shipment_id"], "shipment_copy"), ["shipment_copy"]
+    rows = source.join(dim_driver.select("driver_id", "driver_key"), "driver_id", "left")
     location_key = []
     if dim_location is not None:
         places = dim_location.select(
@@ -176,19 +199,20 @@ def fact_shipment_tracking(
         moment(as_of).alias("tracking_timestamp"),
         "current_location",
         minutes_between(F.col("estimated_delivery_time"), moment(as_of)).alias("elapsed_time_minutes"),
+        *copy,
     )
-    known = None if known_keys is None else known_keys.select("tracking_key", "shipment_id", "order_key")
     # A shipment keeps its key when its order arrives later.
-    natural = ["shipment_id", "order_key"] if per_order_fact else ["shipment_id"]
-    numbered = keyed_facts(shaped, natural, "tracking_key", known)
+    natural = ["shipment_id", *copy, *(["order_key"] if per_order_fact else [])]
+    numbered = keyed_facts(shaped, natural, "tracking_key", known_keys)
+    numbered = numbered if with_natural_key else numbered.drop(*copy)
     return numbered.withColumns(audit_columns(as_of, etl_user))
 
 
-def keyed_facts(rows: DataFrame, natural: list[str], key: str, known: DataFrame | None) -> DataFrame:
+def keyed_facts(rows: DataFrame, natural: list[str], key: str, known: KnownKeys | None) -> DataFrame:
     """Facts with a key per natural key: the known one, else the next ones in order. Nulls count as values."""
     if known is None:
         return dense_keys(rows, natural, key)
     name = F.to_json(F.struct(*natural), {"ignoreNullFields": "false"})
-    held = known.select(key, name.alias("__natural"))
+    held = KnownKeys(known.rows.select(key, name.alias("__natural")), known.highest)
     kept = stable_keys(rows.withColumn("__natural", name), held, "__natural", key, natural)
     return kept.drop("__natural")

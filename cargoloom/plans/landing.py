@@ -39,13 +39,27 @@ def land_all(
     as_of: datetime,
     specs: Sequence[TableSpec] = LOGISTICS_TABLES,
     max_concurrent: int = 4,
+    incremental: bool = False,
 ) -> list[Metric]:
-    landed = each([lambda s=s: land(read, zones, s, as_of) for s in specs], max_concurrent)
+    step = land_new if incremental else land
+    landed = each([lambda s=s: step(read, zones, s, as_of) for s in specs], max_concurrent)
     return [metric for metrics in landed for metric in metrics]
 
 
+def land_new(read: Reader, zones: Zones, spec: TableSpec, as_of: datetime) -> list[Metric]:
+    """Land what a source has above the mark of the loads before ``as_of``; the whole source where there is no mark.
+
+    Rows without a mark of their own come each time: readers keep one row per key (``Zones.newest``).
+    """
+    started, mark = monotonic(), landed_mark(zones, spec, as_of)
+    if spec.incremental_column is None or mark is None:
+        return land(read, zones, spec, as_of)
+    rows, _ = land_increment(read(spec), zones, spec, as_of, mark, with_unmarked=True)
+    return [("landing", spec.name, "rows", rows), ("landing", spec.name, "seconds", monotonic() - started)]
+
+
 def land_increment(
-    df: DataFrame, zones: Zones, spec: TableSpec, as_of: datetime, after: datetime | None
+    df: DataFrame, zones: Zones, spec: TableSpec, as_of: datetime, after: datetime | None, with_unmarked: bool = False
 ) -> tuple[int, datetime | None]:
     """Land the rows above the mark as the batch ``as_of``; returns their number and the next mark.
 
@@ -54,12 +68,12 @@ def land_increment(
     """
     if spec.incremental_column is None:
         raise ValueError(f"{spec.name} has no incremental column")
-    fresh = newer_than(df, spec.incremental_column, after)
+    fresh = newer_than(df, spec.incremental_column, after, with_unmarked, spec.key)
     rows, mark = zones.land_batch(trim_padding(fresh, spec.padded), spec, as_of)
     return rows, mark or after
 
 
 def landed_mark(zones: Zones, spec: TableSpec, before: datetime) -> datetime | None:
-    """The mark reached by batches before ``before``, from the marks kept with them: one small row per batch."""
-    held = zones.increments(spec.name).items()
+    """The mark reached by loads before ``before``, full or not, from the marks kept with them: one small row per batch."""
+    held = zones.loads(spec.name).items()
     return max((e["mark"] for b, e in held if b < batch_id(before) and e["mark"] is not None), default=None)

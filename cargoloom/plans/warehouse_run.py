@@ -10,14 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargoloom.functions.moments import batch_id
+from cargoloom.operators.keys import KnownKeys
 from cargoloom.operators.quality import cast_to_declared, orphan_checks, union_checks
 from cargoloom.operators.upsert import updatable_columns, upsert
 from cargoloom.plans.dimensions import dim_date_covering, dim_driver, dim_location, dim_payment_method, dim_user
-from cargoloom.plans.facts import fact_orders, fact_shipment_tracking
+from cargoloom.plans.facts import ORDER_FACT_KEY, fact_orders, fact_shipment_tracking
 from cargoloom.plans.landing import Metric, Reader, each, land_all
 from cargoloom.plans.metrics import metric_rows, save_metrics, transform_metrics
 from cargoloom.plans.warehouse_schema import FOREIGN_KEYS, TABLES, foreign_key_columns
-from cargoloom.session import work_scope
+from cargoloom.session import new_work_path, work_scope
 from cargoloom.sinks.versions import VersionedTables
 from cargoloom.sinks.zones import Zones
 from cargoloom.sources.jdbc import JdbcSource
@@ -25,28 +26,53 @@ from cargoloom.sources.specs import LOGISTICS_TABLES, ROWS_PER_PARTITION, TableS
 
 
 
-#: What a run brings facts of: all of an owner's facts come together.
-FACT_OWNERS = {"fact_orders": "order_id", "fact_shipment_tracking": "shipment_id"}
+#: What a run brings facts of: all of an owner's facts come together. Then their key.
+FACT_OWNERS = {"fact_orders": ("order_id", "order_key"), "fact_shipment_tracking": ("shipment_id", "tracking_key")}
+#: Columns that tell when facts were written: alone they don't make them other facts.
+AUDIT = ("etl_timestamp", "etl_user")
 
 
-def load_dimension(tables: VersionedTables, df: DataFrame, table: str, key: str, as_of: datetime) -> int:
-    """Merge a dimension, in its declared types, into the warehouse as it was before ``as_of``, by its key; foreign keys of
-    known rows stay untouched. A repeat of the run merges into the same state again."""
+def merged_dimension(tables: VersionedTables, df: DataFrame, table: str, key: str, as_of: datetime) -> DataFrame:
+    """A dimension, in its declared types, merged into the warehouse as it was before ``as_of``, by its key; foreign keys of
+    known rows stay untouched."""
     df, current = cast_to_declared(df, TABLES[table], keep_text_ids=True), tables.before(table, as_of)
     if current is None:
-        return tables.publish(df, table, as_of)
-    update = updatable_columns(df, key, foreign_key_columns(table))
-    return tables.publish(upsert(current, df, key, update), table, as_of)
+        return df
+    return upsert(current, df, key, updatable_columns(df, key, foreign_key_columns(table)))
+
+
+def load_dimension(tables: VersionedTables, df: DataFrame, table: str, key: str, as_of: datetime) -> int:
+    """Publish the merged dimension. A repeat of the run merges into the same state again."""
+    return tables.publish(merged_dimension(tables, df, table, key, as_of), table, as_of, key=key)
 
 
 def load_fact(tables: VersionedTables, df: DataFrame, table: str, as_of: datetime) -> int:
     """Merge facts, in their declared types, into the warehouse as it was before ``as_of``: all facts of an order or
-    shipment that is there again give way to the new ones."""
-    df, current = cast_to_declared(df, TABLES[table], keep_text_ids=True), tables.before(table, as_of)
-    if current is not None:
-        own = FACT_OWNERS[table]
-        df = df.unionByName(current.join(df.select(own), own, "left_anti"), allowMissingColumns=True)
-    return tables.publish(df, table, as_of)
+    shipment that is there again, and changed, give way to the new ones. Buckets without any are not written."""
+    owner, key = FACT_OWNERS[table]
+    return tables.merge(cast_to_declared(df, TABLES[table], keep_text_ids=True), table, as_of, owner, key, AUDIT)
+
+
+def load_keys(tables: VersionedTables, df: DataFrame, table: str, natural: Sequence[str], key: str, as_of: datetime) -> int:
+    """Keys given to facts, in a table of their own as facts don't show all that tells them apart. A natural key that does not
+    come with its owner any more keeps its key, should it come back."""
+    owner, known = natural[0], tables.before(table, as_of)
+    df = df.select(key, *natural)
+    if known is not None:
+        came = df.select(F.col(owner).alias("__owner")).distinct()
+        held = known.join(came, F.col(owner).eqNullSafe(F.col("__owner")), "left_semi")
+        df = df.unionByName(held.join(df.select(key), key, "left_anti"))
+    return tables.merge(df, table, as_of, owner, key)
+
+
+def keys_of(tables: VersionedTables, table: str, as_of: datetime, incoming: DataFrame, owner: str) -> KnownKeys | None:
+    """The keys known before ``as_of`` of owners between the least and the greatest incoming one, so that parquet skips the rest."""
+    known = tables.known_keys(table, as_of)
+    if known is None:
+        return None
+    low, high = incoming.agg(F.min(owner), F.max(owner)).first()
+    inside = F.col(owner).isNull() if low is None else F.col(owner).isNull() | F.col(owner).between(F.lit(low), F.lit(high))
+    return KnownKeys(known.rows.where(inside), known.highest)
 
 
 def load_database(
@@ -62,46 +88,82 @@ def load_database(
         target.append(cast_to_declared(df, TABLES[f"fact_{name}"]), f"fact_{name}", rows_per_partition)
 
 
+def arrived(
+    spark: SparkSession, zones: Zones, warehouse: VersionedTables, specs: Sequence[TableSpec], as_of: datetime
+) -> dict[str, DataFrame]:
+    """What a run must build anew after an increment: rows that came, and all that belongs to an order that came itself, with a
+    payment, or whose user is new. Rows are in their newest state; a table that is loaded whole comes whole."""
+    by_name = {s.name: s for s in specs}
+    came = {n: zones.batch(n, as_of) for n in ("users", "drivers", "orders", "shipments", "payments")}
+    path = new_work_path(spark, "orders-that-came")
+    orders = zones.newest("orders", by_name["orders"].key)
+    touched = came["orders"].select("order_id").unionByName(came["payments"].select("order_id"))
+    users = warehouse.before("dim_user", as_of)
+    if users is not None:
+        late = came["users"].select("user_id").join(users.select("user_id"), "user_id", "left_anti")
+        touched = touched.unionByName(orders.select("order_id", "user_id").join(late, "user_id", "left_semi").select("order_id"))
+    touched.distinct().write.parquet(path)
+    ids = spark.read.parquet(path).select(F.col("order_id").alias("__id"))
+    raw = dict(came)
+    for name, rows in (("orders", orders), ("payments", zones.newest("payments", by_name["payments"].key))):
+        raw[name] = rows.join(ids, F.col("order_id").eqNullSafe(F.col("__id")), "left_semi")
+    if any(not e["whole"] for e in zones.loads("shipments").values()):
+        # Of a source with marks: shipments that came, and those whose order did.
+        rows, own = zones.newest("shipments", by_name["shipments"].key), came["shipments"].select(F.col("shipment_id").alias("__own"))
+        rows = rows.join(own.distinct().withColumn("__came", F.lit(True)), F.col("shipment_id").eqNullSafe(F.col("__own")), "left")
+        rows = rows.join(ids.withColumn("__with", F.lit(True)), F.col("order_id").eqNullSafe(F.col("__id")), "left")
+        raw["shipments"] = rows.where("__came OR __with").drop("__own", "__came", "__id", "__with")
+    return raw
+
+
 def build_tables(
     spark: SparkSession,
     zones: Zones,
     warehouse: VersionedTables,
+    raw: dict[str, DataFrame],
     as_of: datetime,
     etl_user: str,
     payment_policy: str = "all",
     payment_methods: bool = False,
-) -> tuple[dict[str, DataFrame], dict[str, DataFrame], list[Metric]]:
-    """Build and save dimensions and facts from the raw zone; later steps read what was saved."""
-    raw = {n: zones.read("raw", n, merge_schema=False) for n in ("users", "drivers", "orders", "shipments", "payments")}
-    metrics: list[Metric] = []
+    incremental: bool = False,
+) -> tuple[dict[str, DataFrame], dict[str, DataFrame], dict[str, DataFrame], list[Metric]]:
+    """Build and save dimensions and facts of ``raw`` rows; later steps read what was saved.
 
-    def save_dim(name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        started = monotonic()
-        rows = zones.load_processed(build(), f"dim_{name}")
-        metrics.extend(
-            [("build", f"dim_{name}", "rows", rows), ("build", f"dim_{name}", "seconds", monotonic() - started)]
-        )
-        return zones.read("processed", f"dim_{name}", merge_schema=False)
+    Returns the dimensions, the facts, what their foreign keys refer to, and metrics. The last are the dimensions, or, where an
+    increment brings only some rows of them, the warehouse's merged with these.
+    """
+    metrics: list[Metric] = []
+    known = {t: warehouse.known_keys(f"dim_{t}", as_of) for t in ("user", "driver", "location")}
 
-    def build_users_and_drivers() -> dict[str, DataFrame]:
-        user = save_dim("user", lambda: dim_user(raw["users"], as_of, warehouse.before("dim_user", as_of)))
-        driver = save_dim(
-            "driver", lambda: dim_driver(raw["drivers"], user, as_of, warehouse.before("dim_driver", as_of))
-        )
+    def save_dim(name: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, DataFrame]:
+        started, table = monotonic(), f"dim_{name}"
+        rows = zones.load_processed(build(), table)
+        metrics.extend([("build", table, "rows", rows), ("build", table, "seconds", monotonic() - started)])
+        saved = zones.read("processed", table, merge_schema=False)
+        if not incremental:
+            return saved, saved
+        path = new_work_path(spark, f"merged-{table}")
+        merged = merged_dimension(warehouse, saved, table, f"{name}_key", as_of)
+        merged.write.parquet(path)
+        return saved, spark.read.schema(merged.schema).parquet(path)
+
+    def build_users_and_drivers() -> dict[str, tuple[DataFrame, DataFrame]]:
+        user = save_dim("user", lambda: dim_user(raw["users"], as_of, known["user"]))
+        driver = save_dim("driver", lambda: dim_driver(raw["drivers"], user[1], as_of, known["driver"]))
         return {"user": user, "driver": driver}
 
-    def build_dates() -> dict[str, DataFrame]:
+    def build_dates() -> dict[str, tuple[DataFrame, DataFrame]]:
         return {"date": save_dim("date", lambda: dim_date_covering(dates_of(raw), "day"))}
 
-    def build_locations() -> dict[str, DataFrame]:
-        known = warehouse.before("dim_location", as_of)
-        return {"location": save_dim("location", lambda: dim_location(raw["orders"], as_of, known))}
+    def build_locations() -> dict[str, tuple[DataFrame, DataFrame]]:
+        return {"location": save_dim("location", lambda: dim_location(raw["orders"], as_of, known["location"]))}
 
-    def build_methods() -> dict[str, DataFrame]:
+    def build_methods() -> dict[str, tuple[DataFrame, DataFrame]]:
         return {"payment_method": save_dim("payment_method", lambda: dim_payment_method(spark))}
 
     parts = [build_dates, build_users_and_drivers, build_locations, *([build_methods] if payment_methods else [])]
-    dims = {name: df for part in each(parts) for name, df in part.items()}
+    built = {name: pair for part in each(parts) for name, pair in part.items()}
+    dims, lookups = {n: p[0] for n, p in built.items()}, {n: p[1] for n, p in built.items()}
 
     def save_fact(table: str, build: Callable[[], DataFrame]) -> DataFrame:
         started = monotonic()
@@ -109,39 +171,43 @@ def build_tables(
         metrics.extend([("build", table, "rows", rows), ("build", table, "seconds", monotonic() - started)])
         return zones.read("processed", table, merge_schema=False)
 
-    # Keys once given to an order and payment, in a table of their own as the facts do not show payments.
     held = save_fact(
         "fact_orders",
         lambda: fact_orders(
             raw["orders"],
             raw["payments"],
-            dims["user"],
-            dims["location"],
+            lookups["user"],
+            lookups["location"],
             as_of,
             etl_user,
             payment_policy,
-            dim_payment_method=dims.get("payment_method"),
-            known_keys=warehouse.before("keys_fact_orders", as_of),
-            with_payment_id=True,
+            dim_payment_method=lookups.get("payment_method"),
+            known_keys=keys_of(warehouse, "keys_fact_orders", as_of, raw["orders"], "order_id"),
+            with_natural_key=True,
         ),
     )
-    keys = held.select("order_key", "order_id", "payment_id")
-    known = warehouse.before("keys_fact_orders", as_of)
-    gone = keys if known is None else keys.unionByName(known.join(keys.select("order_key"), "order_key", "left_anti"))
-    warehouse.publish(gone, "keys_fact_orders", as_of)
-    orders = held.drop("payment_id")
-    tracking = save_fact(
+    load_keys(warehouse, held, "keys_fact_orders", ORDER_FACT_KEY, "order_key", as_of)
+    orders = held.drop(*ORDER_FACT_KEY[1:])
+    given, earlier = orders.select("order_id", "order_key"), warehouse.before("fact_orders", as_of)
+    if incremental and earlier is not None:
+        came = given.select(F.col("order_id").alias("__id")).distinct()
+        rest = earlier.select("order_id", "order_key").join(came, F.col("order_id").eqNullSafe(F.col("__id")), "left_anti")
+        given = given.unionByName(rest)
+    tracked = save_fact(
         "fact_shipment_tracking",
         lambda: fact_shipment_tracking(
             raw["shipments"],
-            orders,
-            dims["driver"],
+            given,
+            lookups["driver"],
             as_of,
             etl_user,
-            known_keys=warehouse.before("fact_shipment_tracking", as_of),
+            known_keys=keys_of(warehouse, "keys_fact_shipment_tracking", as_of, raw["shipments"], "shipment_id"),
+            with_natural_key=True,
         ),
     )
-    return dims, {"orders": orders, "shipment_tracking": tracking}, metrics
+    load_keys(warehouse, tracked, "keys_fact_shipment_tracking", ("shipment_id", "shipment_copy"), "tracking_key", as_of)
+    refer = {**{f"dim_{n}": df for n, df in lookups.items()}, "fact_orders": given}
+    return dims, {"orders": orders, "shipment_tracking": tracked.drop("shipment_copy")}, refer, metrics
 
 
 def dates_of(raw: dict[str, DataFrame]) -> DataFrame:
@@ -151,11 +217,15 @@ def dates_of(raw: dict[str, DataFrame]) -> DataFrame:
     return ordered.unionAll(due)
 
 
-def reference_checks(dims: dict[str, DataFrame], facts: dict[str, DataFrame]) -> DataFrame:
+def reference_checks(
+    dims: dict[str, DataFrame], facts: dict[str, DataFrame], refer: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Orphans of every foreign key. ``refer`` holds what keys refer to where that is more than the tables given."""
     tables = {**{f"dim_{n}": d for n, d in dims.items()}, **{f"fact_{n}": d for n, d in facts.items()}}
+    others = refer or tables
     return union_checks(
         [
-            orphan_checks(tables[table], table, [(fk, tables[other], pk) for fk, other, pk in references])
+            orphan_checks(tables[table], table, [(fk, others[other], pk) for fk, other, pk in references])
             for table, references in FOREIGN_KEYS.items()
             if table in tables
         ]
@@ -172,25 +242,32 @@ def run(
     payment_policy: str = "all",
     required_checks: Sequence[str] = (),
     payment_methods: bool = False,
+    incremental: bool = False,
 ) -> DataFrame:
     """Run everything for ``as_of`` and return the run's metrics, which are also saved.
 
     The processed zone holds the tables of the last run. The warehouse holds every dimension row and fact once, with the
     key it was first given: each run merges into the warehouse as it was before ``as_of``, so the same run may be
     repeated, or finished after it broke off. An ``as_of`` older than what the warehouse holds is refused.
+    With ``incremental`` sources are read above the mark of the loads before (whole where they have none), and only what belongs to
+    the rows that came is built and merged. The warehouse is then as after a full run, but for facts of rows deleted at the source.
     With ``payment_methods`` their dimension is built and looked up too. The checks come before the warehouse: all are recorded, and a failed one among
     ``required_checks`` (such as ``duplicate_keys``) stops the run.
     """
     zones = Zones(spark, base_path)
     warehouse = VersionedTables(spark, f"{base_path.rstrip('/')}/warehouse")
+    newest = warehouse.current_version("dim_user")
+    if newest is not None and newest > batch_id(as_of):
+        raise ValueError(f"the warehouse has version {newest}, newer than {batch_id(as_of)}")
     with work_scope(spark):
-        metrics = land_all(read, zones, as_of, specs)
-        dims, facts, built = build_tables(
-            spark, zones, warehouse, as_of, etl_user, payment_policy, payment_methods
+        metrics = land_all(read, zones, as_of, specs, incremental=incremental)
+        names = ("users", "drivers", "orders", "shipments", "payments")
+        raw = arrived(spark, zones, warehouse, specs, as_of) if incremental else {n: zones.batch(n, as_of) for n in names}
+        dims, facts, refer, built = build_tables(
+            spark, zones, warehouse, raw, as_of, etl_user, payment_policy, payment_methods, incremental
         )
-
-    # One row per table and check, some dozens in all.
-    checks = union_checks([transform_metrics(dims, facts), reference_checks(dims, facts)]).collect()
+        # One row per table and check, some dozens in all.
+        checks = union_checks([transform_metrics(dims, facts), reference_checks(dims, facts, refer)]).collect()
     failed = [f"{c.table_name}.{c.check_name}" for c in checks if c.check_name in required_checks and not c.passed]
     if failed:
         raise ValueError(f"failed checks: {failed}")

@@ -67,11 +67,30 @@ def work_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _scope.reset(token)
-        place = spark._jvm.org.apache.hadoop.fs.Path(root)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete_path(spark, root)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there, asked of the file system the path belongs to."""
+def _place(spark: SparkSession, path: str):
+    """A path and the file system it belongs to."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, system = _place(spark, path)
+    return system.exists(place)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    place, system = _place(spark, path)
+    system.delete(place, True)
+
+
+def directories(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Names of the directories ``depth`` steps below a path, such as the partitions of a table; nothing else in it is listed."""
+    found = [""]
+    for _ in range(depth):
+        place_of = [_place(spark, f"{path}/{d}" if d else path) for d in found]
+        below = [(d, status) for d, (place, system) in zip(found, place_of, strict=True) for status in system.listStatus(place)]
+        found = [f"{d}/{s.getPath().getName()}".lstrip("/") for d, s in below if s.isDirectory()]
+    return sorted(d for d in found if not d.rsplit("/", 1)[-1].startswith(("_", ".")))

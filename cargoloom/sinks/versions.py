@@ -1,28 +1,41 @@
-"""Tables that are replaced as a whole without ever being half there.
+"""Tables in versions that are never half there, and that share the files they have in common.
 
-A new version is written to its own directory and then entered in the table's small log;
-readers take the newest entry. A run that dies before the log entry leaves the old version current.
-Publishing a version again is a newer attempt at it, in a directory of its own: build it from ``before`` that version.
-The log keeps each attempt's schema, so partition columns come back with the types they had.
-Old directories stay until the file system's owner removes them.
+A version is one row of the table's small log. Its manifest lists the directories the version is made of, each with its row count.
+New rows go to directories of the version's own; directories that did not change are listed again and no row of them is copied.
+A run that dies before its log row leaves the old version current. Publishing a version again is a newer attempt at
+it, built from ``before`` that version. The log also keeps the schema, so partition columns come back with the types they were written
+with, and the highest surrogate key ever given, so that new keys need no scan of the old ones.
+
+**Merged tables** are dealt into hash buckets of their owner (such as the order a fact belongs to): :meth:`VersionedTables.merge` writes
+the buckets in which known owners changed, and adds directories to buckets that got new owners. Where a bucket has come to
+more than ``MOST_PARTS`` directories, the next merge that touches it writes it as one. **Partitioned tables** lose whole
+partitions by :meth:`VersionedTables.keep_parts`, which writes no data at all.
+
+The log serves one writer at a time. Directories that no version of interest lists are removed by :meth:`VersionedTables.vacuum`.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from cargoloom.functions.moments import batch_id
-from cargoloom.session import path_exists
-from cargoloom.sinks.zones import write_parquet
+from cargoloom.operators.keys import KnownKeys
+from cargoloom.session import delete_path, directories, new_work_path, path_exists
+from cargoloom.sinks.zones import figures
 
-_LOG_SCHEMA = "version string, attempt int, schema string"
+_LOG_SCHEMA = (
+    "version string, attempt int, schema string, layout string, parts array<struct<path: string, rows: long>>, highest long"
+)
+_VERSION, _BUCKET = "dl_version", "dl_bucket"
+BUCKETS, MOST_PARTS = 32, 8
 
 
 @dataclass(frozen=True)
@@ -33,22 +46,37 @@ class VersionedTables:
     def _log_path(self, table: str) -> str:
         return f"{self.base_path.rstrip('/')}/{table}/log"
 
-    def _path(self, table: str, version: str, attempt: int) -> str:
-        return f"{self.base_path.rstrip('/')}/{table}/version_{version}_{attempt}"
+    def _root(self, table: str) -> str:
+        return f"{self.base_path.rstrip('/')}/{table}/parts"
 
-    def _newest(self, table: str, before: str | None = None):
-        """The log entry of the newest attempt at the newest version, or at the newest one before a version."""
+    def _log(self, table: str) -> DataFrame | None:
         if not path_exists(self.spark, self._log_path(table)):
             return None
-        log = self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path(table))
+        return self.spark.read.schema(_LOG_SCHEMA).parquet(self._log_path(table))
+
+    def _newest(self, table: str, before: str | None = None):
+        """The log row of the newest attempt at the newest version, or at the newest one before a version."""
+        log = self._log(table)
+        if log is None:
+            return None
         log = log if before is None else log.filter(F.col("version") < before)
-        return log.agg(F.max(F.struct("version", "attempt", "schema")).alias("entry")).first()["entry"]
+        order = F.struct("version", "attempt")
+        return log.agg(F.max_by(F.struct(*log.columns), order).alias("entry")).first()["entry"]
 
-    def _read(self, table: str, entry) -> DataFrame | None:
+    def _read(self, table: str, entry, parts=None, with_bucket: bool = False) -> DataFrame | None:
         if entry is None:
             return None
-        schema = StructType.fromJson(json.loads(entry["schema"]))
-        return self.spark.read.schema(schema).parquet(self._path(table, entry["version"], entry["attempt"]))
+        schema, layout = StructType.fromJson(json.loads(entry["schema"])), json.loads(entry["layout"])
+        names = [*schema.names, *([_BUCKET] if with_bucket else [])]
+        more = StructType([*schema.fields, StructField(_VERSION, StringType())])
+        if layout["owner"]:
+            more = more.add(_BUCKET, IntegerType())
+        parts = entry["parts"] if parts is None else parts
+        if not parts:
+            return self.spark.createDataFrame([], more).select(*names)
+        root = self._root(table)
+        paths = [f"{root}/{p['path']}" for p in parts]
+        return self.spark.read.schema(more).option("basePath", root).parquet(*paths).select(*names)
 
     def current_version(self, table: str) -> str | None:
         entry = self._newest(table)
@@ -61,19 +89,183 @@ class VersionedTables:
         """The table as it was before version ``as_of``, whether that version is there yet or not."""
         return self._read(table, self._newest(table, batch_id(as_of)))
 
-    def publish(self, df: DataFrame, table: str, as_of: datetime, partition_by: Sequence[str] = ()) -> int:
-        """Write ``df`` as the table's version ``as_of`` and make it current; ``df`` may read older versions and attempts.
+    def highest_key(self, table: str, as_of: datetime) -> int:
+        """The highest key given before version ``as_of``, from the log alone."""
+        entry = self._newest(table, batch_id(as_of))
+        return 0 if entry is None else entry["highest"] or 0
 
-        A version older than the current one could not become current and is refused.
-        """
+    def known_keys(self, table: str, as_of: datetime) -> KnownKeys | None:
+        """The rows before version ``as_of`` with the highest key given by then."""
+        rows = self.before(table, as_of)
+        return None if rows is None else KnownKeys(rows, self.highest_key(table, as_of))
+
+    def rows(self, table: str) -> int:
+        """Rows of the current version, from its manifest."""
+        return sum(p["rows"] for p in self._newest(table)["parts"])
+
+    def directories_of(self, table: str, as_of: datetime | None = None) -> list[str]:
+        """The manifest of the current version, or of the newest one before ``as_of``."""
+        return [p["path"] for p in self._newest(table, batch_id(as_of) if as_of else None)["parts"]]
+
+    def _attempt(self, table: str, as_of: datetime) -> tuple[str, int]:
+        """The next attempt's name. A version older than the current one could not become current and is refused."""
         version, newest = batch_id(as_of), self._newest(table)
         if newest is not None and version < newest["version"]:
             raise ValueError(f"{table} already has version {newest['version']}, newer than {version}")
-        attempt = newest["attempt"] + 1 if newest is not None and version == newest["version"] else 1
-        rows = write_parquet(df, self._path(table, version, attempt), "overwrite", partition_by)
-        entry = self.spark.createDataFrame([(version, attempt, df.schema.json())], _LOG_SCHEMA)
-        entry.coalesce(1).write.mode("append").parquet(self._log_path(table))
-        return rows
+        return version, newest["attempt"] + 1 if newest is not None and version == newest["version"] else 1
+
+    def _write(self, df: DataFrame, table: str, name: tuple[str, int], partition_by: Sequence[str], key: str | None):
+        """Write rows to a directory of the attempt's own: its parts with their rows, and the highest key in them."""
+        place, counted = f"{_VERSION}={name[0]}_{name[1]}", Observation()
+        path = f"{self._root(table)}/{place}"
+        rows = df.hint("rebalance", *partition_by) if partition_by else df
+        highest = F.max(F.col(key).cast("long")) if key else F.lit(None).cast("long")
+        writer = rows.observe(counted, F.count(F.lit(1)).alias("n"), highest.alias("highest")).write
+        writer = writer.mode("overwrite").option("compression", "snappy")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        seen = figures(counted)
+        if not partition_by:
+            return [(place, seen["n"])], seen.get("highest")
+        # How many rows each directory has: footers only, one row per directory.
+        written = self.spark.read.schema(df.schema).parquet(path) if seen["n"] else None
+        file = F.col("_metadata.file_path")
+        found = written.groupBy(F.regexp_replace(file, "/[^/]*$", "").alias("place")).count().collect() if seen["n"] else []
+        # File paths in metadata are escaped once more than the names of directories.
+        counts = {unquote(r["place"].rsplit(f"{place}/", 1)[-1]): r["count"] for r in found}
+        inside = directories(self.spark, path, len(partition_by))
+        return [(f"{place}/{d}", counts[d]) for d in inside], seen.get("highest")
+
+    def _enter(self, table, name, schema: StructType, layout: dict, parts, highest: int | None) -> int:
+        entry = (*name, schema.json(), json.dumps(layout), [(p[0], p[1]) for p in parts], highest)
+        self.spark.createDataFrame([entry], _LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self._log_path(table))
+        return sum(p[1] for p in parts)
+
+    def publish(
+        self, df: DataFrame, table: str, as_of: datetime, partition_by: Sequence[str] = (), key: str | None = None
+    ) -> int:
+        """Write ``df`` as the table's version ``as_of`` and make it current; ``df`` may read older versions and attempts.
+
+        With ``key`` the highest value of that column ever published is kept in the log. Returns the version's rows.
+        """
+        name, earlier = self._attempt(table, as_of), self.highest_key(table, as_of)
+        parts, highest = self._write(df, table, name, partition_by, key)
+        highest = max(highest or 0, earlier) if key else None
+        return self._enter(table, name, df.schema, {"partition_by": list(partition_by), "owner": None}, parts, highest)
+
+    def keep_parts(self, table: str, as_of: datetime, keep: Callable[[dict[str, str | None]], bool]) -> int:
+        """Publish those partitions of the version before ``as_of`` whose values ``keep`` wants. Writes one log row and no data."""
+        entry = self._newest(table, batch_id(as_of))
+        if entry is None:
+            raise ValueError(f"no version of {table} to clean up")
+
+        def values(path: str) -> dict[str, str | None]:
+            pairs = [unquote(step).split("=", 1) for step in path.split("/")[1:]]
+            return {c: None if v == "__HIVE_DEFAULT_PARTITION__" else v for c, v in pairs}
+
+        kept = [(p["path"], p["rows"]) for p in entry["parts"] if keep(values(p["path"]))]
+        schema = StructType.fromJson(json.loads(entry["schema"]))
+        return self._enter(table, self._attempt(table, as_of), schema, json.loads(entry["layout"]), kept, entry["highest"])
+
+    def partitioned_by(self, table: str, as_of: datetime) -> list[str]:
+        entry = self._newest(table, batch_id(as_of))
+        return [] if entry is None else json.loads(entry["layout"])["partition_by"]
+
+    def merge(
+        self,
+        df: DataFrame,
+        table: str,
+        as_of: datetime,
+        owner: str,
+        key: str | None = None,
+        ignore: Sequence[str] = (),
+        buckets: int | None = None,
+    ) -> int:
+        """Publish the version before ``as_of`` with all rows of each owner in ``df`` replaced by those of ``df``; returns its rows.
+
+        Null is an owner like any other. An owner whose rows are as they were, but for the columns ``ignore``, is left alone.
+        Rows of new owners are added to their buckets; only buckets with changed owners, or with very many directories, are
+        written anew. The number of buckets (``BUCKETS``, if none is given) is the one the table began with.
+        """
+        name, entry = self._attempt(table, as_of), self._newest(table, batch_id(as_of))
+        n = (buckets or BUCKETS) if entry is None else json.loads(entry["layout"])["buckets"]
+        bucketed = df.withColumn(_BUCKET, F.pmod(F.xxhash64(owner), F.lit(n)).cast("int"))
+        layout = {"partition_by": [_BUCKET], "owner": owner, "buckets": n}
+        if entry is None:
+            parts, highest = self._write(bucketed, table, name, [_BUCKET], key)
+            return self._enter(table, name, df.schema, layout, parts, highest)
+
+        earlier = [(p["path"], p["rows"]) for p in entry["parts"]]
+        schema = StructType.fromJson(json.loads(entry["schema"]))
+        compared = [c for c in df.columns if c in schema.names and c not in ignore]
+        bounds = df.agg(F.min(owner), F.max(owner), F.count_if(F.col(owner).isNull())).first()
+        stored = self._read(table, entry).where(_between(owner, *bounds))
+        theirs, ours = _digests(bucketed, owner, compared, [_BUCKET]), _digests(stored, owner, compared)
+        both = theirs.alias("new").join(ours.alias("old"), F.col(f"new.`{owner}`").eqNullSafe(F.col(f"old.`{owner}`")), "left")
+        known = F.col("old.digest").isNotNull()
+        same = known & (F.col("old.digest") == F.col("new.digest"))
+        path = new_work_path(self.spark, "changed-owners")
+        both.where(~same).select(F.col(f"new.`{owner}`"), F.col(f"new.{_BUCKET}"), known.alias("known")).write.parquet(path)
+        changed = self.spark.read.parquet(path)
+        # One row per bucket.
+        touched = {r[_BUCKET]: r["known"] for r in changed.groupBy(_BUCKET).agg(F.max("known").alias("known")).collect()}
+        held: dict[int, int] = {}
+        for place, _ in earlier:
+            held[_bucket_of(place)] = held.get(_bucket_of(place), 0) + 1
+        anew = sorted(b for b, has_known in touched.items() if has_known or held.get(b, 0) >= MOST_PARTS)
+        if not touched:
+            return self._enter(table, name, schema, layout, earlier, entry["highest"])
+        owners = changed.select(F.col(owner).alias("__owner"))
+        rows = bucketed.join(owners, F.col(owner).eqNullSafe(F.col("__owner")), "left_semi")
+        if anew:
+            old = [p for p in entry["parts"] if _bucket_of(p["path"]) in set(anew)]
+            rest = self._read(table, entry, old, with_bucket=True)
+            kept = rest.join(owners, F.col(owner).eqNullSafe(F.col("__owner")), "left_anti")
+            rows = rows.unionByName(kept, allowMissingColumns=True)
+        parts, highest = self._write(rows, table, name, [_BUCKET], key)
+        parts = [p for p in earlier if _bucket_of(p[0]) not in set(anew)] + parts
+        highest = max(highest or 0, entry["highest"] or 0) if key else None
+        return self._enter(table, name, rows.drop(_BUCKET).schema, layout, parts, highest)
+
+    def vacuum(self, table: str, keep_versions: int = 2) -> int:
+        """Remove the directories that none of the newest versions lists, and log rows no more needed; how many directories went.
+
+        Frames of older versions can't be read afterwards.
+        """
+        log = self._log(table)
+        if log is None:
+            return 0
+        newest = log.groupBy("version").agg(F.max_by(F.struct(*log.columns), "attempt").alias("e")).orderBy(F.desc("version"))
+        entries = [r["e"] for r in newest.limit(keep_versions).collect()]
+        used = {p["path"] for e in entries for p in e["parts"]}
+        root, gone = self._root(table), 0
+        for version in directories(self.spark, root, 1):
+            inside = [p for p in used if p == version or p.startswith(version + "/")]
+            if not inside:
+                gone += 1
+                delete_path(self.spark, f"{root}/{version}")
+            elif version not in used:
+                depth = inside[0].count("/")
+                for d in directories(self.spark, f"{root}/{version}", depth):
+                    if f"{version}/{d}" not in used:
+                        gone += 1
+                        delete_path(self.spark, f"{root}/{version}/{d}")
+        return gone
+
+
+def _bucket_of(path: str) -> int:
+    return int(path.rsplit("=", 1)[1])
+
+
+def _between(owner: str, low, high, nulls: int) -> Column:
+    """Where an owner of the frame can be: parquet skips row groups outside."""
+    inside = F.lit(False) if low is None else F.col(owner).between(F.lit(low), F.lit(high))
+    return inside | F.col(owner).isNull() if nulls else inside
+
+
+def _digests(df: DataFrame, owner: str, columns: Sequence[str], more: Sequence[str] = ()) -> DataFrame:
+    """Per owner a digest of its rows, whatever their order: their number and the sums of two 64-bit hashes of each."""
+    hashes = [F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")) for seed in (1, 2)]
+    return df.groupBy(owner, *more).agg(F.struct(F.count(F.lit(1)), *hashes).alias("digest"))
 
 
 def retained(df: DataFrame, as_of: datetime, days: int, column: str = "dl_process_date") -> DataFrame:
@@ -89,7 +281,13 @@ def apply_retention(
     partition_by: Sequence[str] = (),
     column: str = "dl_process_date",
 ) -> int:
-    """Publish the retained rows as the next version; returns how many there are."""
+    """Publish the retained rows as the next version; returns how many there are.
+
+    A table partitioned by ``column`` loses directories from its manifest and no row is copied; any other is written anew.
+    """
+    if column in tables.partitioned_by(table, as_of):
+        first = (as_of.date() - timedelta(days=days)).isoformat()
+        return tables.keep_parts(table, as_of, lambda values: values[column] is not None and values[column] >= first)
     rows = tables.before(table, as_of)
     if rows is None:
         raise ValueError(f"no version of {table} to clean up")

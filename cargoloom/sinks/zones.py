@@ -6,10 +6,12 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from cargoloom.functions.moments import batch_id, moment, moment_date
 from cargoloom.session import path_exists
@@ -49,12 +51,21 @@ def write_parquet(
     holds a large part of all rows over several tasks.
     """
     counted = Observation()
-    rows = df.hint("rebalance", *partition_by) if partition_by else df
-    writer = rows.observe(counted, F.count(F.lit(1)).alias("n")).write.mode(mode).option("compression", "snappy")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return counted.get["n"]
+    write_rows(df.observe(counted, F.count(F.lit(1)).alias("n")), path, mode, partition_by)
+    return figures(counted)["n"]
+
+
+def figures(seen: Observation) -> dict:
+    """What was observed on a write. Of a frame that Catalyst knows to be empty nothing is written or observed: no rows."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {"n": 0}
+
+
+def write_rows(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = ()) -> None:
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode(mode).option("compression", "snappy")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def write_batch(df: DataFrame, path: str, as_of: datetime) -> int:
@@ -71,7 +82,7 @@ def write_batch(df: DataFrame, path: str, as_of: datetime) -> int:
         .partitionBy("dl_batch_id")
         .parquet(path)
     )
-    return counted.get["n"]
+    return figures(counted)["n"]
 
 
 @dataclass(frozen=True)
@@ -84,71 +95,95 @@ class Zones:
             raise ValueError(f"zone must be one of {ZONES}, not {zone!r}")
         return f"{self.base_path.rstrip('/')}/{zone}/{table}"
 
-    def land_raw(self, df: DataFrame, spec: TableSpec, as_of: datetime) -> int:
-        """Write a whole source table with lineage columns; returns its row count. It replaces all increments so far."""
-        rows, partition_by = with_file_partitions(with_lineage(df, spec.name, as_of), spec)
-        n = self._write(rows, "raw", spec.name, "overwrite", partition_by)
-        if self.increments(spec.name):
-            self._log_increment(spec.name, (batch_id(as_of), 0, 0, None, True, ""))
-        return n
-
-    # An increment is one batch. Each attempt at it has a directory of its own and, once written, a row in the table's
-    # small log with its row count and mark; readers take the last attempt at each batch. So a repeat replaces the batch
-    # as a whole, whatever file partitions its rows are in, and another batch of the same day stands beside it.
+    # A raw table is its last full load and the increments since. Each is a batch, each attempt at a batch has a directory of its
+    # own and, once written, a row in the table's small log with its row count and mark; readers take the last attempt at each.
+    # So a load is there as a whole or not at all, a repeat replaces its batch whatever file partitions the rows are in,
+    # another batch of the same day stands beside it, and the next mark is known after full loads and increments alike.
 
-    def _increment_path(self, table: str) -> str:
+    def _place(self, table: str) -> str:
         return f"{self.path('raw', table)}__increments"
 
-    def _log_increment(self, table: str, entry: tuple) -> None:
-        log = self.spark.createDataFrame([(self._entries(table), *entry)], _INCREMENT_LOG)
-        log.coalesce(1).write.mode("append").parquet(f"{self._increment_path(table)}/log")
+    def _attempt_path(self, table: str, batch: str, attempt: int, whole: bool) -> str:
+        return f"{self._place(table)}/{'whole' if whole else 'batches'}/dl_increment={batch}/dl_attempt={attempt}"
 
     def _log(self, table: str) -> list:
-        path = f"{self._increment_path(table)}/log"
+        path = f"{self._place(table)}/log"
         if not path_exists(self.spark, path):
             return []
         return sorted(self.spark.read.schema(_INCREMENT_LOG).parquet(path).collect(), key=lambda e: e["number"])
 
-    def _entries(self, table: str) -> int:
-        return len(self._log(table))
-
-    def increments(self, table: str) -> dict[str, object]:
-        """The last attempt's log entry of each batch since the last full load, one small row per batch."""
+    def loads(self, table: str) -> dict[str, object]:
+        """The last attempt's log row of each batch, from the last full load on: one small row per batch."""
         found: dict[str, object] = {}
         for entry in self._log(table):
             if entry["whole"]:
                 found.clear()
-            else:
-                found[entry["batch"]] = entry
+            found[entry["batch"]] = entry
         return found
 
+    def increments(self, table: str) -> dict[str, object]:
+        return {batch: e for batch, e in self.loads(table).items() if not e["whole"]}
+
+    def _land(self, df: DataFrame, spec: TableSpec, as_of: datetime, batch: str, whole: bool):
+        rows, partition_by = with_file_partitions(with_lineage(df, spec.name, as_of), spec)
+        log = self._log(spec.name)
+        attempt = 1 + sum(1 for e in log if e["batch"] == batch)
+        marked = spec.incremental_column and spec.incremental_column in df.columns
+        mark = F.max(F.col(spec.incremental_column).cast("timestamp_ntz")) if marked else F.lit(None).cast("timestamp_ntz")
+        seen = Observation()
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark"))
+        write_rows(counted, self._attempt_path(spec.name, batch, attempt, whole), "overwrite", partition_by)
+        n, reached = figures(seen)["n"], figures(seen).get("mark")
+        number = 1 + max((e["number"] for e in log), default=-1)
+        entry = (number, batch, attempt, n, reached, whole, rows.schema.json())
+        row = self.spark.createDataFrame([entry], _INCREMENT_LOG)
+        row.coalesce(1).write.mode("append").parquet(f"{self._place(spec.name)}/log")
+        return n, reached
+
+    def land_raw(self, df: DataFrame, spec: TableSpec, as_of: datetime) -> int:
+        """Write a whole source table with lineage columns; returns its row count. It replaces all loads so far."""
+        return self._land(df, spec, as_of, batch_id(as_of), True)[0]
+
     def land_batch(self, df: DataFrame, spec: TableSpec, as_of: datetime, batch: str | None = None):
         """Write an increment as a batch (by default ``as_of``'s), in place of earlier attempts at it; rows and their mark."""
-        rows, partition_by = with_file_partitions(with_lineage(df, spec.name, as_of), spec)
-        batch = batch or batch_id(as_of)
-        attempt = 1 + sum(1 for e in self._log(spec.name) if e["batch"] == batch)
-        place = f"{self._increment_path(spec.name)}/batches/dl_increment={batch}/dl_attempt={attempt}"
-        writer = (rows.hint("rebalance", *partition_by) if partition_by else rows).write
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(place)
-        # Of this batch alone, and of its files only the marks.
-        written = self.spark.read.schema(rows.schema).parquet(place)
-        mark = F.max(spec.incremental_column).cast("timestamp_ntz") if spec.incremental_column else F.lit(None)
-        n, mark = written.agg(F.count(F.lit(1)), mark).first()
-        self._log_increment(spec.name, (batch, attempt, n, mark, False, rows.schema.json()))
-        return n, mark
-
-    def _increment_rows(self, table: str) -> DataFrame | None:
-        found = self.increments(table)
-        if not found:
+        return self._land(df, spec, as_of, batch or batch_id(as_of), False)
+
+    def _load_rows(self, table: str, entries: Sequence, with_batch: bool = False) -> DataFrame | None:
+        """The rows of some loads of one kind, with the columns of all of them."""
+        if not entries:
             return None
-        root = f"{self._increment_path(table)}/batches"
-        paths = [f"{root}/dl_increment={b}/dl_attempt={e['attempt']}" for b, e in found.items() if e["rows"]]
-        fields = {f.name: f for e in found.values() for f in StructType.fromJson(json.loads(e["schema"])).fields}
-        schema = StructType(list(fields.values()))
+        fields = {f.name: f for e in entries for f in StructType.fromJson(json.loads(e["schema"])).fields}
+        schema = StructType([*fields.values(), *([StructField("dl_increment", StringType())] if with_batch else [])])
+        whole = entries[0]["whole"]
+        paths = [self._attempt_path(table, e["batch"], e["attempt"], whole) for e in entries if e["rows"]]
         if not paths:
             return self.spark.createDataFrame([], schema)
+        root = f"{self._place(table)}/{'whole' if whole else 'batches'}"
         return self.spark.read.schema(schema).option("basePath", root).parquet(*paths).select(*schema.names)
 
+    def batch(self, table: str, as_of: datetime) -> DataFrame | None:
+        """The rows that the load ``as_of`` brought, whole or increment."""
+        entry = self.loads(table).get(batch_id(as_of))
+        return None if entry is None else self._load_rows(table, [entry])
+
+    def newest(self, table: str, key: str) -> DataFrame:
+        """One state of each source row: a key that came again in a later batch counts as it was in the last one.
+
+        Only the increments since the full load are grouped; the full load loses their keys by an anti join, whose right side
+        Catalyst broadcasts where its measured size allows it. Rows without a key can't be told when they come again and all stay.
+        """
+        held = list(self.loads(table).values())
+        whole = self._load_rows(table, [e for e in held if e["whole"]])
+        later = self._load_rows(table, [e for e in held if not e["whole"]], with_batch=True)
+        if later is None:
+            return self.read("raw", table, merge_schema=False) if whole is None else whole
+        last = later.where(F.col(key).isNotNull()).groupBy(key).agg(F.max("dl_increment").alias("__last"))
+        rows = later.join(last, key, "left").where(F.col(key).isNull() | (F.col("dl_increment") == F.col("__last")))
+        rows = rows.drop("dl_increment", "__last")
+        if whole is None:
+            return rows
+        return whole.join(last.select(key), key, "left_anti").unionByName(rows, allowMissingColumns=True)
+
     def _schema_path(self, zone: str, table: str) -> str:
         return f"{self.base_path.rstrip('/')}/_schemas/{zone}/{table}"
 
@@ -192,12 +227,12 @@ class Zones:
         footer; for a table of very many files pass its ``schema``, or ``merge_schema=False`` if all files are alike.
         A raw table is its last full load and the batches landed since.
         """
-        path, batches = self.path(zone, table), self._increment_rows(table) if zone == "raw" else None
-        if batches is not None and not path_exists(self.spark, path):
-            return batches.select(*columns) if columns else batches
-        schema = schema or self._kept_schema(zone, table)
+        held = list(self.loads(table).values()) if zone == "raw" else []
+        if held:
+            parts = [self._load_rows(table, [e for e in held if e["whole"] == whole]) for whole in (True, False)]
+            rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [p for p in parts if p is not None])
+            return rows.select(*columns) if columns else rows
+        path, schema = self.path(zone, table), schema or self._kept_schema(zone, table)
         reader = self.spark.read.option("mergeSchema", str(merge_schema and schema is None).lower())
         rows = (reader.schema(schema) if schema else reader).parquet(path)
-        if batches is not None:
-            rows = rows.unionByName(batches, allowMissingColumns=True)
         return rows.select(*columns) if columns else rows

@@ -10,16 +10,20 @@ from pyspark.sql import functions as F
 from cargoloom.functions.moments import moment
 
 
-def newer_than(df: DataFrame, column: str, after: datetime | None, with_unmarked: bool = False) -> DataFrame:
+def newer_than(
+    df: DataFrame, column: str, after: datetime | None, with_unmarked: bool = False, key: str = ""
+) -> DataFrame:
     """Rows strictly after the mark (all rows without one). Catalyst pushes the filter to the scan.
 
     Rows whose ``column`` is null have no place before or after a mark. They come with a full load; ``with_unmarked``
-    returns them each time, for readers that keep one row per key.
+    returns them each time, for readers that keep one row per ``key``; a row that lacks the key as well would multiply and
+    does not come.
     """
     if after is None:
         return df
     newer = F.col(column) > moment(after)
-    return df.filter(newer | F.col(column).isNull() if with_unmarked else newer)
+    unmarked = F.col(column).isNull() & F.col(key).isNotNull() if key else F.col(column).isNull()
+    return df.filter(newer | unmarked if with_unmarked else newer)
 
 
 def high_water_mark(df: DataFrame, column: str) -> DataFrame:

@@ -113,13 +113,18 @@ class JdbcSource:
         """Overwrite the table ``temp_<table>``, from where the database can merge it."""
         self._writer(df).mode("overwrite").option("dbtable", f"temp_{table}").save()
 
-    def append(self, df: DataFrame, table: str, rows_per_partition: int = ROWS_PER_PARTITION) -> None:
+    def append(
+        self, df: DataFrame, table: str, rows_per_partition: int = ROWS_PER_PARTITION, rows: int | None = None
+    ) -> None:
         """Append in even parts of at most ``rows_per_partition`` rows; a frequent key does not make one of them slow.
 
+        ``rows`` is their number where it is known, as from the write of the frame; else they are counted first.
+
         A retried task may insert its rows again, so let the table's primary key guard
         it or append to a staging table.
         """
-        self._writer(df.repartition(partitions_for(df.count(), rows_per_partition))).mode("append").option("dbtable", table).save()
+        parts = partitions_for(df.count() if rows is None else rows, rows_per_partition)
+        self._writer(df.repartition(parts)).mode("append").option("dbtable", table).save()
 
     def _writer(self, df: DataFrame):
         settings = {"batchsize": str(BATCH_SIZE), **self.options}

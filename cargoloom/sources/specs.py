@@ -15,7 +15,8 @@ class TableSpec:
 
     A table with few rows per day gets larger files with a coarser ``partition_format``,
     such as ``yyyy-MM``. ``source_table`` is its name in the source database. ``padded`` names the
-    fixed-width text columns, whose trailing blanks are dropped at landing; other texts land as they are.
+    fixed-width text columns, whose trailing blanks are dropped at landing; other texts land as they are. ``key`` is what a
+    source row is told by when it comes again.
     """
 
     name: str
@@ -27,14 +28,15 @@ class TableSpec:
     source_table: str = ""
     padded: tuple[str, ...] = ()
     rows_per_partition: int = ROWS_PER_PARTITION
+    key: str = ""
 
 
 # The six source tables with their read keys, marks and file partitions.
 LOGISTICS_TABLES = (
-    TableSpec("orders", "order_id", "created_at", ("created_at",), ("status",), source_table="Orders"),
-    TableSpec("shipments", "shipment_id", None, (), ("status",), source_table="Shipments"),
-    TableSpec("payments", "payment_id", "payment_date", ("payment_date",), ("payment_status",), source_table="Payments"),
-    TableSpec("notifications", "notification_id", "notification_date", ("notification_date",), source_table="Notifications"),
-    TableSpec("users", None, "created_at", source_table="Users", padded=("role",)),
-    TableSpec("drivers", source_table="Drivers"),
+    TableSpec("orders", "order_id", "created_at", ("created_at",), ("status",), source_table="Orders", key="order_id"),
+    TableSpec("shipments", "shipment_id", None, (), ("status",), source_table="Shipments", key="shipment_id"),
+    TableSpec("payments", "payment_id", "payment_date", ("payment_date",), ("payment_status",), source_table="Payments", key="payment_id"),
+    TableSpec("notifications", "notification_id", "notification_date", ("notification_date",), source_table="Notifications", key="notification_id"),
+    TableSpec("users", None, "created_at", source_table="Users", padded=("role",), key="user_id"),
+    TableSpec("drivers", source_table="Drivers", key="driver_id"),
 )

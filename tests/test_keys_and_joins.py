@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cargoloom.operators.joins import fan_out_left_join, frequent_keys
-from cargoloom.operators.keys import dense_keys, stable_keys
+from cargoloom.operators.keys import KnownKeys, dense_keys, numbered_copies, stable_keys
 
 
 def by_window(df, order):
@@ -51,7 +51,7 @@ def test_stable_keys_never_move(spark, first, later):
     one = spark.createDataFrame([(v,) for v in first], "v string")
     two = spark.createDataFrame([(v,) for v in first | later], "v string")
     old = {r.v: r.k for r in dense_keys(one, ["v"], "k").collect()}
-    grown = stable_keys(two, dense_keys(one, ["v"], "k"), "v", "k").collect()
+    grown = stable_keys(two, KnownKeys(dense_keys(one, ["v"], "k"), len(first)), "v", "k").collect()
     new = {r.v: r.k for r in grown}
     assert {v: new[v] for v in old} == old
     assert sorted(new.values()) == list(range(1, len(first | later) + 1))
@@ -62,7 +62,7 @@ def test_stable_keys_never_move(spark, first, later):
 def test_stable_keys_keep_a_null_key(spark, rows):
     current = spark.createDataFrame([(5, None), (6, "a")], "k long, v string")
     incoming = spark.createDataFrame([(None,), ("a",), ("b",)], "v string")
-    assert rows(stable_keys(incoming, current, "v", "k")) == [(5, None), (6, "a"), (7, "b")]
+    assert rows(stable_keys(incoming, KnownKeys(current, 9), "v", "k")) == [(10, "b"), (5, None), (6, "a")]
 
 
 def fan_out_frames(spark):

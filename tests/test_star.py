@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from cargoloom.plans.dimensions import dim_driver, dim_location, dim_payment_method, dim_user
 from cargoloom.plans.facts import fact_orders, fact_shipment_tracking
 from cargoloom.plans.warehouse_run import load_database
+from cargoloom.sources.specs import ROWS_PER_PARTITION
 
 ORDERS = (
     "order_id int, user_id int, pickup_address string, delivery_address string, package_description string,"
@@ -188,5 +189,5 @@ def test_database_load_stages_dimensions_then_appends_facts(spark, as_of):
     assert written == [
         ("dim_user", ("user_key", "int"), 2),
         ("dim_location", ("location_key", "int"), 4),
-        ("fact_orders", ("order_amount", "decimal(10,2)"), 4),
+        ("fact_orders", ("order_amount", "decimal(10,2)"), ROWS_PER_PARTITION),
     ]

@@ -10,7 +10,7 @@ import __spark_entry__ as contract
 from cargoloom.adapters import TABLES, source
 from cargoloom.plans import warehouse_run
 from cargoloom.sinks.versions import VersionedTables
-from cargoloom.workload.queries import AS_OF
+from cargoloom.workload.queries import AS_OF, RUN_SPECS
 
 SMALL = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not Path(SMALL).exists(), reason="test tables not present")
@@ -84,14 +84,14 @@ def test_a_run_that_breaks_in_the_fact_load_can_be_finished(spark, tmp_path, mon
 
     with monkeypatch.context() as m, pytest.raises(OSError):
         m.setattr(warehouse_run, "load_fact", broken)
-        warehouse_run.run(spark, read, base, AS_OF, "me")
+        warehouse_run.run(spark, read, base, AS_OF, "me", RUN_SPECS)
     assert warehouse.current("dim_user") is not None and warehouse.current("fact_orders") is None
-    warehouse_run.run(spark, read, base, AS_OF, "me")
+    warehouse_run.run(spark, read, base, AS_OF, "me", RUN_SPECS)
     once = {n: warehouse.current(n).count() for n in ("dim_user", "dim_location", "fact_orders")}
-    warehouse_run.run(spark, read, base, AS_OF, "me")
+    warehouse_run.run(spark, read, base, AS_OF, "me", RUN_SPECS)
     assert once == {n: warehouse.current(n).count() for n in once}
     with pytest.raises(ValueError, match="newer"):
-        warehouse_run.run(spark, read, base, AS_OF - timedelta(days=1), "me")
+        warehouse_run.run(spark, read, base, AS_OF - timedelta(days=1), "me", RUN_SPECS)
 
 
 @needs_data
