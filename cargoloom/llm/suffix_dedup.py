@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargoloom.llm.common import identified_texts, numbers_of, saved, sliced, texts_of
+from cargoloom.operators.keys import dense_keys
 
 LENGTH = 100
 #: Bytes of the first anchors and of those that busy ones are cut by; the last step is always ``length``.
@@ -514,21 +515,14 @@ def _removed(texts: DataFrame, rows: DataFrame, length: int, options) -> DataFra
 
 
 def _with_repeated_ids(texts: DataFrame, length: int, options) -> DataFrame:
-    """Documents numbered anew where ids repeat, without a global sort: the number has the id's order in its high bits."""
-    different = texts.select("doc_id", F.xxhash64("text").alias("t")).distinct()
-    # Ids keep their order when multiplied by one more than the most texts an id has.
-    most = different.groupBy("doc_id").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
-    ranks = different.groupBy("doc_id").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    numbered = saved(
-        texts.join(ranks, "doc_id").select(
-            (F.col("doc_id") * most + F.array_position("ts", F.xxhash64("text")) - 1).alias("own"), "doc_id", "text"
-        ),
-        "numbered",
-    )
+    """Documents numbered anew where ids repeat, in the order of id and text hash; the ids themselves are never reckoned with."""
+    hashed = texts.withColumn("t", F.xxhash64("text"))
+    numbers = saved(dense_keys(hashed.select("doc_id", "t").distinct(), ["doc_id", "t"], "own"), "numbers")
+    numbered = saved(hashed.join(numbers, ["doc_id", "t"]).select("own", "text"), "numbered")
     once = numbered.groupBy("own").agg(F.first("text").alias("text")).select(F.col("own").alias("doc_id"), "text")
-    rows = numbered.select(F.col("own").alias("doc_id"), "text")
-    done = _removed(once, rows, length, options)
-    return done.withColumn("doc_id", F.floor(F.col("doc_id") / most).cast("long"))
+    done = _removed(once, numbered.select(F.col("own").alias("doc_id"), "text"), length, options)
+    names = numbers.select(F.col("own").alias("__own"), F.col("doc_id").alias("__id"))
+    return done.join(names, F.col("doc_id") == F.col("__own")).withColumn("doc_id", F.col("__id")).drop("__own", "__id")
 
 
 def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -170,6 +170,21 @@ def test_rows_of_one_id_and_length_keep_their_own_text(spark):
     assert sorted(map(tuple, left)) == sorted([(1, first), (2, second[:200]), *[(2, second[200:] + other[200:])] * 2])
 
 
+def test_repeated_ids_of_any_size(spark):
+    """Ids near both ends of the range, some repeated, come back as they are, and their texts are judged in id order."""
+    same = "".join(chr(97 + i * i % 23) for i in range(300))
+    rows = [(2**60 + 1, same), (2**60 + 1, "x" * 60 + same[:150]), (2**60 + 1, same), (2**60 + 3, same[:120]), (2**63 - 10, same), (-(2**63), "short"), (2**63 - 10, "")]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_bytes) for r in got) == sorted((i, len(t)) for i, t in rows)
+    for r in got:
+        if r.doc_id in (2**60 + 3, 2**63 - 10):
+            assert r.n_removed == r.n_bytes
+        elif r.doc_id < 0:
+            assert r.n_removed == 0
+    # Of the two texts of one id that share 150 bytes, the one of lesser hash keeps them.
+    assert sorted({r.n_removed for r in got if r.doc_id == 2**60 + 1}) in ([0, 150],)
+
+
 def signed(x):
     return x - (1 << 64) if x >> 63 else x
 
