@@ -34,7 +34,9 @@ def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def op5_sharding(spark: SparkSession, sf: str) -> DataFrame:
-    return sharding.place(table(spark, sf, "documents").select("doc_id"), SHARDS)
+    placed = sharding.place(table(spark, sf, "documents"), SHARDS)
+    written = sharding.write_shards(placed, new_work_path(spark, "shards"))
+    return written.select("doc_id", "slot", "shard", "shard_name")
 
 
 @query

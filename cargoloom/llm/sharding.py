@@ -86,6 +86,8 @@ def place(docs: DataFrame, shards: Sequence[str] | Mapping[str, int], key: str =
     )
 
 
-def write_shards(placed: DataFrame, path: str) -> None:
-    """One directory per shard; a shard's rows may be written by several tasks, so a full one holds up nobody."""
-    placed.write.partitionBy("shard").parquet(path)
+def write_shards(placed: DataFrame, path: str) -> DataFrame:
+    """One directory per shard, written whole rows and all, and read back. Rows are rebalanced on their shard: few files in each,
+    and a shard that holds much of the data is written by several tasks."""
+    placed.hint("rebalance", "shard").write.partitionBy("shard").parquet(path)
+    return placed.sparkSession.read.schema(placed.schema).parquet(path).select(*placed.columns)

@@ -147,13 +147,16 @@ def fit(
                     "y": batch.column(1),
                     "lang": batch.column(2),
                     "odds": batch.column(3),
+                    "fold": batch.column(4),
                     "found": pa.array(found, pa.binary()),
                 }
             )
 
+    # Copies of a text share a fold, so no earlier probability has seen its own row.
+    by_text = F.pmod(F.xxhash64("text"), F.lit(FOLDS)).cast("int").alias("fold")
     rows = (
-        sample.select("doc_id", "y", F.coalesce("lang", F.lit("")).alias("lang"), "odds", "text")
-        .mapInArrow(encode, "doc_id long, y int, lang string, odds double, found binary")
+        sample.select("doc_id", "y", F.coalesce("lang", F.lit("")).alias("lang"), "odds", by_text, "text")
+        .mapInArrow(encode, "doc_id long, y int, lang string, odds double, fold int, found binary")
         .collect()
     )
     rows.sort(key=lambda r: (r["doc_id"], r["found"]))
@@ -164,7 +167,7 @@ def fit(
     x = Rows([np.frombuffer(r["found"], "<i4") for r in rows], len(features))
     lang = np.array([r["lang"] for r in rows])
     targets = _categories(lang, y)
-    fold = np.arange(len(y)) % FOLDS
+    fold = np.array([r["fold"] for r in rows])
     before = np.zeros((len(y), 0))
     for name, target in targets:
         words, earlier, bias = logistic(x, before, target, trust)

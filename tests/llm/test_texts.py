@@ -88,6 +88,9 @@ def test_placement(spark, rows):
             sharding.lookup_table(wrong, 100)
     docs = docs_of(spark, ODD).withColumnRenamed("fp", "shard")
     placed = sharding.place(docs, names, size=101)
+    back = sharding.write_shards(placed, new_work_path(spark, "shards"))
+    assert back.dtypes == placed.dtypes and rows(back) == rows(placed)
+    assert sharding.write_shards(placed.limit(0), new_work_path(spark, "shards")).count() == 0
     assert placed.count() == docs.count() and placed.columns.count("shard") == 1
     assert placed.where("shard_name is null").count() == 0
     assert placed.where("doc_id = 0").select("shard").distinct().count() == 1
