@@ -66,6 +66,13 @@ def taken(flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.nda
     return flat[np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))], n
 
 
+def give_back_memory(spark: SparkSession) -> None:
+    """Python workers of this session hand freed memory back to the system, so that one that lives through many stages does not keep
+    the most that each of them needed: Arrow takes its memory from the C library, which has one pool and trims it."""
+    settings = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": str(8 << 20)}
+    spark.sparkContext.environment.update(settings)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -10,12 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cargoloom.llm import mixing, packing, simhash, suffix_dedup, toxicity
-from cargoloom.llm.common import saved, table
+from cargoloom.llm.common import give_back_memory, saved, table
 from cargoloom.llm.queries import tokenizer
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier chain does not reject; the chain is fitted on the labelled among ``docs``."""
+    give_back_memory(spark)  # for this and all later stages
     return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
