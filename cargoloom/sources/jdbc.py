@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cargoloom.sources.even_ranges import cells_relation, even_ranges, range_predicates
 from cargoloom.sources.specs import ROWS_PER_PARTITION, TableSpec
 
 # Below this many rows, read with at least that many partitions; else with at least the last number.
@@ -74,11 +75,13 @@ class JdbcSource:
         partition_column: str | None = None,
         where: str | None = None,
         rows_per_partition: int = ROWS_PER_PARTITION,
+        even: bool = False,
     ) -> DataFrame:
         """A whole or filtered table, read in parallel ranges if a partition column is given.
 
         The filter sits inside the subquery that is split, so it holds for every range.
-        An empty table gives an empty frame with the table's schema.
+        An empty table gives an empty frame with the table's schema. Ranges are of equal width, or with ``even``
+        of about equal row counts, which the database counts first: for keys with gaps.
         """
         relation = filtered_relation(table, where)
         if partition_column is None:
@@ -86,6 +89,11 @@ class JdbcSource:
         found = read_bounds(self.scan(bounds_relation(table, partition_column, where)), rows_per_partition)
         if found.total_count == 0 or found.max_id is None:
             return self.scan(relation)
+        if even:
+            starts = self._even_starts(table, partition_column, where, found)
+            settings = {"fetchsize": str(self.fetch_size), "preferTimestampNTZ": "true", **self.options}
+            predicates = range_predicates(partition_column, starts)
+            return self.spark.read.jdbc(self.url, relation, predicates=predicates, properties=settings)
         return (
             self._reader()
             .option("dbtable", relation)
@@ -96,6 +104,13 @@ class JdbcSource:
             .load()
         )
 
+    def _even_starts(self, table: str, column: str, where: str | None, found: ReadBounds) -> list[int]:
+        def count(width, coarser, starts):
+            return [tuple(r) for r in self.scan(cells_relation(table, column, where, found.min_id, width, coarser, starts)).collect()]
+
+        most = -(-found.total_count // found.partitions)
+        return [start for start, _ in even_ranges(count, found.min_id, found.max_id, most)]
+
     def extract_incremental(
         self, table: str, timestamp_column: str, after: datetime | str, partition_column: str | None = None
     ) -> DataFrame:
@@ -103,7 +118,10 @@ class JdbcSource:
 
     def extract_spec(self, spec: TableSpec) -> DataFrame:
         return self.extract(
-            spec.source_table or spec.name, spec.partition_column, rows_per_partition=spec.rows_per_partition
+            spec.source_table or spec.name,
+            spec.partition_column,
+            rows_per_partition=spec.rows_per_partition,
+            even=spec.even_ranges,
         )
 
     def count(self, table: str) -> DataFrame:

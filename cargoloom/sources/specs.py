@@ -16,7 +16,7 @@ class TableSpec:
     A table with few rows per day gets larger files with a coarser ``partition_format``,
     such as ``yyyy-MM``. ``source_table`` is its name in the source database. ``padded`` names the
     fixed-width text columns, whose trailing blanks are dropped at landing; other texts land as they are. ``key`` is what a
-    source row is told by when it comes again.
+    source row is told by when it comes again. ``even_ranges`` reads ranges of equal row counts, for a key with gaps.
     """
 
     name: str
@@ -29,6 +29,7 @@ class TableSpec:
     padded: tuple[str, ...] = ()
     rows_per_partition: int = ROWS_PER_PARTITION
     key: str = ""
+    even_ranges: bool = False
 
 
 # The six source tables with their read keys, marks and file partitions.

@@ -48,6 +48,22 @@ DIM_DRIVER = {
 ADDRESSES = "SELECT trim(pickup_address) AS full_address FROM s_orders UNION SELECT trim(delivery_address) FROM s_orders"
 
 
+# What is known of every user on every day, a row only where it differs from the day before, each up to the next.
+HISTORY = {
+    **_sources("users"),
+    "states": """SELECT user_id, full_name, DATE '1995-01-01' AS day, user_id % 10 <> 0 AS there, address FROM s_users
+        UNION ALL SELECT user_id, full_name, DATE '1996-07-01', true,
+            CASE WHEN user_id % 4 = 0 THEN address || ' 2' ELSE address END FROM s_users
+        UNION ALL SELECT user_id, full_name, DATE '1998-01-01', user_id % 11 <> 0,
+            CASE WHEN user_id % 6 = 0 THEN address || ' 3' WHEN user_id % 4 = 0 THEN address || ' 2' ELSE address END FROM s_users""",
+    "told": """SELECT *, lag(there, 1, false) OVER w AS was_there, lag(address) OVER w AS was FROM states
+        WINDOW w AS (PARTITION BY user_id ORDER BY day)""",
+    "history": """SELECT user_id, full_name, address, effective_end_date = DATE '9999-12-31' AS is_active, effective_start_date, effective_end_date
+        FROM (SELECT *, day AS effective_start_date, lead(day, 1, DATE '9999-12-31') OVER (PARTITION BY user_id ORDER BY day) AS effective_end_date
+            FROM told WHERE there <> was_there OR (there AND address <> was)) x WHERE there""",
+}
+
+
 def _dim_location(addresses: str = ADDRESSES) -> str:
     return f"""SELECT row_number() OVER (ORDER BY full_address) AS location_key, full_address,
         {CITY.format("full_address")} AS city, {DISTRICT.format("full_address")} AS district, {OPEN}
@@ -392,6 +408,19 @@ ORACLES: dict[str, str] = {
         "SELECT min(created_at) AS first_order, max(created_at) AS last_order FROM s_orders", _sources("orders")
     ),
     "distinct_addresses": sql(ADDRESSES, _sources("orders")),
+    "distinct_users_by_year": sql(
+        """SELECT CAST(year(created_at) AS INTEGER) AS year, count(*) AS orders, count(DISTINCT user_id) AS users, true AS near
+        FROM s_orders GROUP BY ROLLUP (1)""",
+        _sources("orders"),
+    ),
+    "user_history": sql("SELECT * FROM history", HISTORY),
+    "orders_by_user_history": sql(
+        """SELECT h.effective_start_date, count(*) AS orders FROM s_orders o LEFT JOIN history h ON o.user_id = h.user_id
+        AND CAST(o.created_at AS DATE) >= h.effective_start_date AND CAST(o.created_at AS DATE) < h.effective_end_date
+        GROUP BY 1""",
+        HISTORY,
+        _sources("orders"),
+    ),
     "distinct_users_in_orders": "SELECT count(*) AS orders, count(DISTINCT o_custkey) AS users FROM orders",
     "surrogate_key_dense": """SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey,
         l_shipdate) AS line_key, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem""",
@@ -423,6 +452,13 @@ ORACLES: dict[str, str] = {
             }.items()
         ]
     ),
+    "partition_bounds_even": _union(
+        [
+            f"""SELECT '{t}' AS table_name, min(k) AS min_id, max(k) AS max_id, count(*) AS total_count, true AS even
+            FROM (SELECT CASE WHEN {k} % 3 = 0 THEN {k} + 1000000000000 ELSE {k} END AS k FROM {t}) x"""
+            for t, k in {"customer": "c_custkey", "orders": "o_orderkey", "events": "event_id", "part": "p_partkey"}.items()
+        ]
+    ),
     "char_padding_join": sql(
         """SELECT count(*) FILTER (WHERE role = rtrim(role)) AS hits_untrimmed, count(role) AS hits_trimmed
         FROM s_users""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,9 @@ from cargoloom.functions.dates import date_key, minutes_between
 from cargoloom.functions.moments import moment
 from cargoloom.functions.text import clip, contact_handle, fold_accents, trim_padding
 from cargoloom.operators import lifecycle, quality
+from cargoloom.operators.history import advance_history, begin_history, with_row_of_day
 from cargoloom.operators.keys import dense_keys, stable_keys
+from cargoloom.operators.sketches import distinct_sketches, error_bound, merged_distinct
 from cargoloom.operators.upsert import updatable_columns, upsert
 from cargoloom.plans import dimensions, facts, metrics, warehouse_run
 from cargoloom.plans.landing import each, land, land_increment, landed_mark
@@ -24,6 +26,7 @@ from cargoloom.session import new_work_path
 from cargoloom.sinks.versions import VersionedTables, apply_retention, retained
 from cargoloom.sinks.zones import Zones, with_lineage
 from cargoloom.sources import jdbc
+from cargoloom.sources.even_ranges import even_ranges, frame_cells
 from cargoloom.sources.incremental import high_water_mark, newer_than
 from cargoloom.sources.specs import LOGISTICS_TABLES
 
@@ -211,6 +214,18 @@ def distinct_users_in_orders(spark, sf):
     )
 
 
+@query
+def distinct_users_by_year(spark, sf):
+    """Users with an order, per year and in all (year null): exact, and whether what the sketches of the years add up to is near enough."""
+    orders = source(spark, sf, "orders").withColumn("year", F.year("created_at"))
+    path = new_work_path(spark, "sketches")
+    distinct_sketches(orders, "user_id", ["year"]).write.parquet(path)
+    merged = spark.read.parquet(path).rollup("year").agg(F.sum("rows").alias("orders"), merged_distinct().alias("estimate"))
+    exact = orders.rollup("year").agg(F.count_distinct("user_id").alias("users")).withColumnRenamed("year", "of")
+    near = F.abs(F.col("estimate") - F.col("users")) <= F.ceil(F.col("users") * error_bound())
+    return merged.join(exact, F.col("year").eqNullSafe(F.col("of"))).select("year", "orders", "users", near.alias("near"))
+
+
 # --- keys --------------------------------------------------------------------------
 
 
@@ -279,6 +294,21 @@ def partition_bounds(spark, sf):
     )
 
 
+@query
+def partition_bounds_even(spark, sf):
+    """Keys of which every third lies behind a gap: the ranges hold all rows, the largest at most twice the mean."""
+    tables = {"customer": "c_custkey", "orders": "o_orderkey", "events": "event_id", "part": "p_partkey"}
+    out = []
+    for name, key in tables.items():
+        value = F.col(key).cast("long")
+        keys = table(spark, sf, name).select(F.when(value % 3 == 0, value + 1_000_000_000_000).otherwise(value).alias("k"))
+        found = jdbc.read_bounds(jdbc.bounds(keys, "k"))
+        most = -(-found.total_count // found.partitions)
+        sizes = [n for _, n in even_ranges(frame_cells(keys, "k", found.min_id), found.min_id, found.max_id, most)]
+        out.append((name, found.min_id, found.max_id, sum(sizes), max(sizes) * len(sizes) <= 2 * sum(sizes)))
+    return spark.createDataFrame(out, "table_name string, min_id long, max_id long, total_count long, even boolean")
+
+
 @query
 def char_padding_join(spark, sf):
     """Padded roles meet unpadded ones once the padding is trimmed; untrimmed they mostly miss."""
@@ -359,6 +389,48 @@ def upsert_dimension(spark, sf):
     return upsert(current, incoming, "user_key", updatable_columns(current, "user_key", ["nation_key"]))
 
 
+HISTORY_DAYS = (date(1995, 1, 1), date(1996, 7, 1), date(1998, 1, 1))
+
+
+def _address_history(spark, sf):
+    """Users over three days: some come on the second, some move on the second or third, some are gone on the third. The last
+    day is run twice."""
+    users = source(spark, sf, "users").select("user_id", "full_name", "address")
+    number, address = F.col("user_id"), F.col("address")
+    second = F.when(number % 4 == 0, F.concat(address, F.lit(" 2"))).otherwise(address)
+    third = F.when(number % 6 == 0, F.concat(address, F.lit(" 3"))).otherwise(second)
+    first = begin_history(users.where(number % 10 != 0), HISTORY_DAYS[0])
+    states = (
+        (HISTORY_DAYS[1], users.withColumn("address", second)),
+        (HISTORY_DAYS[2], users.where(number % 11 != 0)),
+        (HISTORY_DAYS[2], users.where(number % 11 != 0).withColumn("address", third)),
+    )
+
+    def written(df):
+        path = new_work_path(spark, "history")
+        df.write.partitionBy("is_active").parquet(path)
+        return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+    history = written(first)
+    for day, state in states:
+        history = written(advance_history(history, state, "user_id", day, close_missing=True))
+    return history
+
+
+@query
+def user_history(spark, sf):
+    """Every row of the history, closed and open."""
+    return _address_history(spark, sf)
+
+
+@query
+def orders_by_user_history(spark, sf):
+    """Orders per row of the history that held on their day, by that row's start; null where none held."""
+    orders = source(spark, sf, "orders").select("user_id", F.col("created_at").cast("date").alias("day"))
+    placed = with_row_of_day(orders, _address_history(spark, sf), "user_id", "day", ["effective_start_date"])
+    return placed.groupBy("effective_start_date").agg(F.count(F.lit(1)).alias("orders"))
+
+
 # --- checks ------------------------------------------------------------------------
 
 
