@@ -1,9 +1,11 @@
 """Document fingerprints from closed syncmers, in DataFrame operations.
 
-The letters are words (a text split at single spaces). Of ``K`` words in a row, the ``K - 1`` pairs of neighbours are hashed; the
+The letters are words: a text is split at white space of any kind and length. Of a stretch of more than ``LONG_WORD`` code points without any, as in
+languages that do not set spaces, every code point beyond the first so many is a word. Of ``K`` words in a row, the ``K - 1`` pairs of neighbours are hashed; the
 ``K`` words are a closed syncmer, and an anchor, if the least of the pairs is the first or the last. Whether they are depends on these
 words alone, so a passage has the same anchors wherever it stands, and of any ``K - 1`` runs of words in a row at least
-one is an anchor. Texts too short for an anchor take their pairs for anchors, texts of one word the word.
+one is an anchor. Texts with fewer than ``SIZE`` of them add their closed syncmers of two words, whose one pair is the first and the last: these
+are all pairs of neighbours. Texts of one word have the word.
 
 A fingerprint holds each anchor once, with the word where it first stands: the ``SIZE`` of least hash, and every further one whose hash
 is among the least ``1 / SPARSE`` of all hashes, so its size grows with the text and long texts share anchors wherever they share a
@@ -24,6 +26,8 @@ from cargoloom.llm.common import identified_texts, saved
 from cargoloom.operators.keys import dense_keys
 
 K, SIZE, SHIFT = 8, 32, 32
+LONG_WORD = 20
+_BETWEEN_WORDS = rf"[\s\x85\p{{Z}}]+|(?<=[^\s\x85\p{{Z}}]{{{LONG_WORD}}})(?=[^\s\x85\p{{Z}}])"
 #: Beyond ``SIZE``, one anchor of so many is kept; the least group of moved anchors.
 SPARSE, TOGETHER = 8, 2
 #: An anchor is one number: its hash above, its place in words below.
@@ -71,7 +75,7 @@ def anchors(text: Column) -> Column:
         pairs = F.zip_with(F.slice(words, 1, n - 1), F.slice(words, 2, n), lambda a, b: F.xxhash64(a, b))
         return F.when(n >= 2, let(pairs, of_pairs)).otherwise(F.array(_packed(F.xxhash64(text), F.lit(0))))
 
-    every = let(F.split(text, " "), of_words)
+    every = let(F.split(text, _BETWEEN_WORDS), of_words)
     return let(
         F.sort_array(every),
         lambda a: F.filter(a, lambda x, i: (i == 0) | (_hash(x) != _hash(F.get(a, i - 1)))),

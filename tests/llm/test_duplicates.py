@@ -5,6 +5,7 @@ import random
 import struct
 
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -196,8 +197,18 @@ def spark_hash(*values):
     return signed(seed)
 
 
+def words_of(text):
+    words = []
+    for stretch in regex.split(r"[ \t-\r\x85\p{Z}]+", text):
+        words += [stretch[: syncmers.LONG_WORD], *stretch[syncmers.LONG_WORD :]]
+    return words
+
+
+ALWAYS = -(1 << 63) + (1 << 63) // syncmers.SPARSE
+
+
 def sketch_of(text):
-    words = text.split(" ")
+    words = words_of(text)
     pairs = [spark_hash(a, b) for a, b in zip(words, words[1:], strict=False)]
     found = [(spark_hash(text), 0)] if len(words) < 2 else []
     for i in range(len(pairs) - 6):
@@ -208,17 +219,34 @@ def sketch_of(text):
     first = {}
     for h, i in sorted((h >> 24, i) for h, i in found):
         first.setdefault(h, i)
-    return sorted(first.items())[: syncmers.SIZE]
+    return [(h, i) for k, (h, i) in enumerate(sorted(first.items())) if k < syncmers.SIZE or (h << 24 | i) < ALWAYS]
 
 
 def alike(a, b):
     a, b = dict(a), dict(b)
-    union = sorted(set(a) | set(b))[: syncmers.SIZE]
-    return sum(h in a and h in b and abs(a[h] - b[h]) <= syncmers.SHIFT for h in union) / len(union)
+    union = sorted(set(a) | set(b))
+    least = union[: syncmers.SIZE][-1]
+    comparable = [h for h in union if h <= least or h < ALWAYS >> 24]
+    moves = [b[h] - a[h] for h in comparable if h in a and h in b]
+    still = sum(abs(d) <= syncmers.SHIFT for d in moves)
+    together = max((sum(0 <= e - d <= syncmers.SHIFT for e in moves) for d in moves), default=0)
+    return max(still, together if together >= syncmers.TOGETHER else 0) / len(comparable)
+
+
+def odd_spaces():
+    """Lists, texts with all kinds of white space, texts without any, some with the other kind beside them; long ones."""
+    rng = random.Random(5)
+    lines = ["\n".join(f"item{rng.randrange(900)}" for _ in range(400)) for _ in range(4)]
+    mixed = ["".join(f"w{rng.randrange(900)}" + rng.choice([" ", "\t", "\u00a0", "\u3000", " \r\n ", "\x85", "  "]) for _ in range(90)) for _ in range(4)]
+    unspaced = ["".join(chr(0x4E00 + rng.randrange(800)) for _ in range(n)) for n in (5, 21, 90, 900)]
+    beyond = ["".join(chr(0x20000 + rng.randrange(800)) for _ in range(300)) + " and words"]
+    long = [" ".join(f"v{rng.randrange(5000)}" for _ in range(3000)) for _ in range(2)]
+    return [*lines, *mixed, *unspaced, *beyond, *long, " ".join(["head"] * 60) + " " + long[0]]
 
 
-def test_syncmers(spark):
-    texts = near_texts()
+@pytest.mark.parametrize("kind", [near_texts, odd_spaces])
+def test_syncmers(spark, kind):
+    texts = kind()
     docs = docs_of(spark, texts)
     rows = syncmers.fingerprints(docs).collect()
     text = {**dict(enumerate(texts)), 900: ""}
@@ -233,6 +261,9 @@ def test_syncmers(spark):
         assert r.fingerprint == ",".join(str((h << 24) | i) for h, i in sketch_of(own))
         assert r.near_edited == pytest.approx(alike(sketch_of(own), sketch_of(edited)))
         assert r.near_next == pytest.approx(alike(sketch_of(own), sketch_of(following)))
+    # Two thirds stay, so half of all anchors are common; 32 of them tell it to within a tenth.
+    long = [r.near_edited for r in rows if kind is odd_spaces and len(text[r.doc_id]) > 60]
+    assert not long or (sum(long) / len(long) > 0.4 and min(long) > 0.25)
     assert syncmers.fingerprints(docs.limit(0)).count() == 0
 
 
