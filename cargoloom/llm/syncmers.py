@@ -27,7 +27,8 @@ from cargoloom.operators.keys import dense_keys
 
 K, SIZE, SHIFT = 8, 32, 32
 LONG_WORD = 20
-_BETWEEN_WORDS = rf"[\s\x85\p{{Z}}]+|(?<=[^\s\x85\p{{Z}}]{{{LONG_WORD}}})(?=[^\s\x85\p{{Z}}])"
+#: The character that is looked for no times makes Java's lookbehind count code points, not halves of surrogate pairs.
+_BETWEEN_WORDS = rf"[\s\x85\p{{Z}}]+|(?<=[^\s\x85\p{{Z}}]{{{LONG_WORD}}}{chr(0x10FFFF)}{{0}})(?=[^\s\x85\p{{Z}}])"
 #: Beyond ``SIZE``, one anchor of so many is kept; the least group of moved anchors.
 SPARSE, TOGETHER = 8, 2
 #: An anchor is one number: its hash above, its place in words below.
