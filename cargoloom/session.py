@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from threading import Lock
 
 from pyspark.sql import SparkSession
 
 _scope: ContextVar[str | None] = ContextVar("cargoloom_work_scope", default=None)
 
+_COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+_uncoalesced: dict[str, list[str]] = defaultdict(list)  # per session what the setting was, once for each write under way
+_uncoalesced_lock = Lock()
+
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,6 +26,8 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Tasks that list directories; a task per directory costs more than the listing.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "256",
 }
 
 
@@ -70,6 +78,29 @@ def work_scope(spark: SparkSession) -> Iterator[None]:
         delete_path(spark, root)
 
 
+@contextmanager
+def all_shuffle_tasks(spark: SparkSession) -> Iterator[None]:
+    """Shuffles inside keep ``spark.sql.shuffle.partitions`` tasks, however few bytes they move.
+
+    For writes into many directories: what costs there is the files, and a directory has one task (more if it is large) however
+    many tasks there are. Writes may overlap; the last one to end puts the setting back.
+    """
+    session = str(id(spark._jsparkSession))
+    with _uncoalesced_lock:
+        _uncoalesced[session].append(spark.conf.get(_COALESCE))
+        spark.conf.set(_COALESCE, "false")
+    try:
+        yield
+    finally:
+        with _uncoalesced_lock:
+            before = _uncoalesced[session]
+            if len(before) == 1:
+                spark.conf.set(_COALESCE, before[0])
+                del _uncoalesced[session]
+            else:
+                before.pop()
+
+
 def _place(spark: SparkSession, path: str):
     """A path and the file system it belongs to."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -29,7 +29,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from cargoloom.functions.moments import batch_id
 from cargoloom.operators.keys import KnownKeys
 from cargoloom.session import delete_path, directories, new_work_path, path_exists
-from cargoloom.sinks.zones import figures
+from cargoloom.sinks.zones import figures, write_rows
 
 _LOG_SCHEMA = (
     "version string, attempt int, schema string, layout string, parts array<struct<path: string, rows: long>>, highest long"
@@ -118,11 +118,8 @@ class VersionedTables:
         """Write rows to a directory of the attempt's own: its parts with their rows, and the highest key in them."""
         place, counted = f"{_VERSION}={name[0]}_{name[1]}", Observation()
         path = f"{self._root(table)}/{place}"
-        rows = df.hint("rebalance", *partition_by) if partition_by else df
         highest = F.max(F.col(key).cast("long")) if key else F.lit(None).cast("long")
-        writer = rows.observe(counted, F.count(F.lit(1)).alias("n"), highest.alias("highest")).write
-        writer = writer.mode("overwrite").option("compression", "snappy")
-        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+        write_rows(df.observe(counted, F.count(F.lit(1)).alias("n"), highest.alias("highest")), path, "overwrite", partition_by)
         seen = figures(counted)
         if not partition_by:
             return [(place, seen["n"])], seen.get("highest")

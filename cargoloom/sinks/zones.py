@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cargoloom.functions.moments import batch_id, moment, moment_date
-from cargoloom.session import path_exists
+from cargoloom.session import all_shuffle_tasks, path_exists
 from cargoloom.sources.specs import TableSpec
 
 _INCREMENT_LOG = (
@@ -48,7 +48,8 @@ def write_parquet(
 
     Partitioned writes are first rebalanced on the partition columns: each directory gets
     few files of the advisory size, and adaptive execution splits the directory that
-    holds a large part of all rows over several tasks.
+    holds a large part of all rows over several tasks. The directories are dealt to all
+    shuffle tasks, even where there are few bytes: small files cost time, not bytes.
     """
     counted = Observation()
     write_rows(df.observe(counted, F.count(F.lit(1)).alias("n")), path, mode, partition_by)
@@ -64,8 +65,12 @@ def figures(seen: Observation) -> dict:
 
 
 def write_rows(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = ()) -> None:
-    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode(mode).option("compression", "snappy")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    if not partition_by:
+        df.write.mode(mode).option("compression", "snappy").parquet(path)
+        return
+    with all_shuffle_tasks(df.sparkSession):
+        writer = df.hint("rebalance", *partition_by).write.mode(mode).option("compression", "snappy")
+        writer.partitionBy(*partition_by).parquet(path)
 
 
 def write_batch(df: DataFrame, path: str, as_of: datetime) -> int:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cargoloom.operators.upsert import updatable_columns, upsert
 from cargoloom.plans.landing import each, land, land_increment, landed_mark
-from cargoloom.session import new_work_path, path_exists, work_dir, work_scope
+from cargoloom.session import all_shuffle_tasks, new_work_path, path_exists, work_dir, work_scope
 from cargoloom.sinks.versions import VersionedTables, apply_retention, retained
 from cargoloom.sinks.zones import LINEAGE, Zones, with_lineage, write_parquet
 from cargoloom.sources import jdbc
@@ -293,3 +293,21 @@ def test_work_scope_removes_what_was_made_inside(spark):
         assert all(path_exists(spark, p) for p in inside)
     outside = make()
     assert not any(path_exists(spark, p) for p in inside) and path_exists(spark, outside)
+
+
+def test_directories_are_dealt_to_all_tasks_and_the_setting_comes_back(spark, tmp_path):
+    """A few bytes in many directories: several tasks write, one for each directory, also when two writes overlap."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    rows = spark.range(400).selectExpr("id", "id % 40 AS d")
+    with all_shuffle_tasks(spark):
+        with all_shuffle_tasks(spark):
+            assert spark.conf.get(name) == "false"
+        assert spark.conf.get(name) == "false"
+    assert spark.conf.get(name) == before
+    assert write_parquet(rows, str(tmp_path / "t"), partition_by=["d"]) == 400
+    assert spark.conf.get(name) == before
+    files = list((tmp_path / "t").glob("d=*/part-*"))
+    assert len(files) == 40
+    assert len({f.name.split("-")[1] for f in files}) > 1
+    assert spark.read.parquet(str(tmp_path / "t")).selectExpr("sum(id)").first()[0] == 399 * 200
