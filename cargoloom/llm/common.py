@@ -68,7 +68,9 @@ def taken(flat: np.ndarray, sizes: np.ndarray, rows: np.ndarray) -> tuple[np.nda
 
 def give_back_memory(spark: SparkSession) -> None:
     """Python workers of this session hand freed memory back to the system, so that one that lives through many stages does not keep
-    the most that each of them needed: Arrow takes its memory from the C library, which has one pool and trims it."""
+    the most that each of them needed: Arrow takes its memory from the C library, which has one pool and trims it. Batches of texts are
+    handed to workers some 8 MB at a time, as ``sliced`` would cut them: both ends of the pipe hold a batch or two."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     settings = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": str(8 << 20)}
     spark.sparkContext.environment.update(settings)
 
