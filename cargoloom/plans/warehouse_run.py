@@ -18,7 +18,7 @@ from cargoloom.plans.facts import ORDER_FACT_KEY, fact_orders, fact_shipment_tra
 from cargoloom.plans.landing import Metric, Reader, each, land_all
 from cargoloom.plans.metrics import metric_rows, save_metrics, transform_metrics
 from cargoloom.plans.warehouse_schema import FOREIGN_KEYS, TABLES, foreign_key_columns
-from cargoloom.session import new_work_path, work_scope
+from cargoloom.session import new_work_path, run_settings, work_scope
 from cargoloom.sinks.versions import VersionedTables
 from cargoloom.sinks.zones import Zones
 from cargoloom.sources.jdbc import JdbcSource
@@ -30,6 +30,8 @@ from cargoloom.sources.specs import LOGISTICS_TABLES, ROWS_PER_PARTITION, TableS
 FACT_OWNERS = {"fact_orders": ("order_id", "order_key"), "fact_shipment_tracking": ("shipment_id", "tracking_key")}
 #: Columns that tell when facts were written: alone they don't make them other facts.
 AUDIT = ("etl_timestamp", "etl_user")
+#: Dimensions of at most so many rows, of which a lookup takes two numbers, are broadcast.
+BROADCAST_ROWS = 500_000
 
 
 def merged_dimension(tables: VersionedTables, df: DataFrame, table: str, key: str, as_of: datetime) -> DataFrame:
@@ -141,7 +143,8 @@ def build_tables(
         metrics.extend([("build", table, "rows", rows), ("build", table, "seconds", monotonic() - started)])
         saved = zones.read("processed", table, merge_schema=False)
         if not incremental:
-            return saved, saved
+            small = rows <= BROADCAST_ROWS and name in ("user", "driver")
+            return saved, F.broadcast(saved) if small else saved
         path = new_work_path(spark, f"merged-{table}")
         merged = merged_dimension(warehouse, saved, table, f"{name}_key", as_of)
         merged.write.parquet(path)
@@ -259,6 +262,13 @@ def run(
     newest = warehouse.current_version("dim_user")
     if newest is not None and newest > batch_id(as_of):
         raise ValueError(f"the warehouse has version {newest}, newer than {batch_id(as_of)}")
+    with run_settings(spark):
+        return _run(spark, read, zones, warehouse, base_path, as_of, etl_user, specs, payment_policy, required_checks, payment_methods, incremental)
+
+
+def _run(
+    spark, read, zones, warehouse, base_path, as_of, etl_user, specs, payment_policy, required_checks, payment_methods, incremental
+) -> DataFrame:
     with work_scope(spark):
         metrics = land_all(read, zones, as_of, specs, incremental=incremental)
         names = ("users", "drivers", "orders", "shipments", "payments")

@@ -101,6 +101,36 @@ def all_shuffle_tasks(spark: SparkSession) -> Iterator[None]:
                 before.pop()
 
 
+#: What a long run sets. Files are compressed, and what is read from them takes many times their size in the driver: Catalyst estimates
+#: by file sizes which side of a join it broadcasts, adaptive execution by the rows it has measured.
+RUN_SETTINGS = {
+    "spark.sql.sources.fileCompressionFactor": "16.0",
+}
+_before_runs: dict[str, list[dict[str, str]]] = defaultdict(list)  # per session, like _uncoalesced
+_before_runs_lock = Lock()
+
+
+@contextmanager
+def run_settings(spark: SparkSession) -> Iterator[None]:
+    """``RUN_SETTINGS`` inside, whatever they were before afterwards. Runs may overlap; the last one to end puts them back."""
+    session = str(id(spark._jsparkSession))
+    with _before_runs_lock:
+        _before_runs[session].append({k: spark.conf.get(k) for k in RUN_SETTINGS})
+        for k, v in RUN_SETTINGS.items():
+            spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        with _before_runs_lock:
+            before = _before_runs[session]
+            if len(before) == 1:
+                for k, v in before[0].items():
+                    spark.conf.set(k, v)
+                del _before_runs[session]
+            else:
+                before.pop()
+
+
 def _place(spark: SparkSession, path: str):
     """A path and the file system it belongs to."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
