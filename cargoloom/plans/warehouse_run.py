@@ -271,6 +271,8 @@ def _run(
 ) -> DataFrame:
     with work_scope(spark):
         metrics = land_all(read, zones, as_of, specs, incremental=incremental)
+        for spec in specs:
+            zones.drop_replaced(spec.name)
         names = ("users", "drivers", "orders", "shipments", "payments")
         raw = arrived(spark, zones, warehouse, specs, as_of) if incremental else {n: zones.batch(n, as_of) for n in names}
         dims, facts, refer, built = build_tables(
@@ -292,6 +294,8 @@ def _run(
 
     loaded = each([lambda n=n: load(n) for n in dims])
     loaded += each([lambda n=n: load_facts(n) for n in facts])
+    for table in (*[f"dim_{n}" for n in dims], *FACT_OWNERS, *[f"keys_{t}" for t in FACT_OWNERS]):
+        warehouse.vacuum(table, keep_versions=None)
     rows = metric_rows(spark, as_of, [*metrics, *built, *checked, *loaded])
     save_metrics(rows, base_path)
     saved = spark.read.parquet(f"{base_path.rstrip('/')}/metrics")

@@ -114,12 +114,14 @@ class VersionedTables:
             raise ValueError(f"{table} already has version {newest['version']}, newer than {version}")
         return version, newest["attempt"] + 1 if newest is not None and version == newest["version"] else 1
 
-    def _write(self, df: DataFrame, table: str, name: tuple[str, int], partition_by: Sequence[str], key: str | None):
+    def _write(
+        self, df: DataFrame, table: str, name: tuple[str, int], partition_by: Sequence[str], key: str | None, gather: bool = True
+    ):
         """Write rows to a directory of the attempt's own: its parts with their rows, and the highest key in them."""
         place, counted = f"{_VERSION}={name[0]}_{name[1]}", Observation()
         path = f"{self._root(table)}/{place}"
         highest = F.max(F.col(key).cast("long")) if key else F.lit(None).cast("long")
-        write_rows(df.observe(counted, F.count(F.lit(1)).alias("n"), highest.alias("highest")), path, "overwrite", partition_by)
+        write_rows(df.observe(counted, F.count(F.lit(1)).alias("n"), highest.alias("highest")), path, "overwrite", partition_by, gather)
         seen = figures(counted)
         if not partition_by:
             return [(place, seen["n"])], seen.get("highest")
@@ -188,7 +190,8 @@ class VersionedTables:
         bucketed = df.withColumn(_BUCKET, F.pmod(F.xxhash64(owner), F.lit(n)).cast("int"))
         layout = {"partition_by": [_BUCKET], "owner": owner, "buckets": n}
         if entry is None:
-            parts, highest = self._write(bucketed, table, name, [_BUCKET], key)
+            # The first version is all rows there are: each task deals its own into the buckets, none are moved.
+            parts, highest = self._write(bucketed, table, name, [_BUCKET], key, gather=False)
             return self._enter(table, name, df.schema, layout, parts, highest)
 
         earlier = [(p["path"], p["rows"]) for p in entry["parts"]]
@@ -223,16 +226,17 @@ class VersionedTables:
         highest = max(highest or 0, entry["highest"] or 0) if key else None
         return self._enter(table, name, rows.drop(_BUCKET).schema, layout, parts, highest)
 
-    def vacuum(self, table: str, keep_versions: int = 2) -> int:
+    def vacuum(self, table: str, keep_versions: int | None = 2) -> int:
         """Remove the directories that none of the newest versions lists, and log rows no more needed; how many directories went.
 
-        Frames of older versions can't be read afterwards.
+        Frames of older versions can't be read afterwards. With None all versions stay, and only what earlier attempts at
+        them have written goes.
         """
         log = self._log(table)
         if log is None:
             return 0
         newest = log.groupBy("version").agg(F.max_by(F.struct(*log.columns), "attempt").alias("e")).orderBy(F.desc("version"))
-        entries = [r["e"] for r in newest.limit(keep_versions).collect()]
+        entries = [r["e"] for r in (newest if keep_versions is None else newest.limit(keep_versions)).collect()]
         used = {p["path"] for e in entries for p in e["parts"]}
         root, gone = self._root(table), 0
         for version in directories(self.spark, root, 1):

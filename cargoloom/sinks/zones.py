@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from cargoloom.functions.moments import batch_id, moment, moment_date
-from cargoloom.session import all_shuffle_tasks, path_exists
+from cargoloom.session import all_shuffle_tasks, delete_path, path_exists
 from cargoloom.sources.specs import TableSpec
 
 _INCREMENT_LOG = (
@@ -64,9 +64,12 @@ def figures(seen: Observation) -> dict:
         return {"n": 0}
 
 
-def write_rows(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = ()) -> None:
-    if not partition_by:
-        df.write.mode(mode).option("compression", "snappy").parquet(path)
+def write_rows(df: DataFrame, path: str, mode: str, partition_by: Sequence[str] = (), gather: bool = True) -> None:
+    """Write rows; without ``gather`` each task writes its own files into the directories: for some dozens of them, where moving
+    all rows costs more than the files do."""
+    if not (partition_by and gather):
+        writer = df.write.mode(mode).option("compression", "snappy")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
         return
     with all_shuffle_tasks(df.sparkSession):
         writer = df.hint("rebalance", *partition_by).write.mode(mode).option("compression", "snappy")
@@ -137,7 +140,9 @@ class Zones:
         mark = F.max(F.col(spec.incremental_column).cast("timestamp_ntz")) if marked else F.lit(None).cast("timestamp_ntz")
         seen = Observation()
         counted = rows.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark"))
-        write_rows(counted, self._attempt_path(spec.name, batch, attempt, whole), "overwrite", partition_by)
+        # A directory per year or status makes dozens; a directory per day makes thousands.
+        many = bool(spec.date_partitions) and spec.partition_format != "yyyy"
+        write_rows(counted, self._attempt_path(spec.name, batch, attempt, whole), "overwrite", partition_by, gather=many)
         n, reached = figures(seen)["n"], figures(seen).get("mark")
         number = 1 + max((e["number"] for e in log), default=-1)
         entry = (number, batch, attempt, n, reached, whole, rows.schema.json())
@@ -153,6 +158,18 @@ class Zones:
         """Write an increment as a batch (by default ``as_of``'s), in place of earlier attempts at it; rows and their mark."""
         return self._land(df, spec, as_of, batch or batch_id(as_of), False)
 
+    def drop_replaced(self, table: str) -> int:
+        """Remove the files of loads that a later full load, or a later attempt at the same batch, has replaced; how many went.
+
+        Frames that read them can't be read afterwards.
+        """
+        kept = {(e["batch"], e["attempt"], e["whole"]) for e in self.loads(table).values()}
+        old = [a for a in ((e["batch"], e["attempt"], e["whole"]) for e in self._log(table)) if a not in kept]
+        gone = [p for p in (self._attempt_path(table, *a) for a in old) if path_exists(self.spark, p)]
+        for path in gone:
+            delete_path(self.spark, path)
+        return len(gone)
+
     def _load_rows(self, table: str, entries: Sequence, with_batch: bool = False) -> DataFrame | None:
         """The rows of some loads of one kind, with the columns of all of them."""
         if not entries:
