@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from cargoloom.functions.dates import date_key, minutes_between
 from cargoloom.functions.moments import moment
 from cargoloom.operators.joins import fan_out_left_join
-from cargoloom.operators.keys import KnownKeys, dense_keys, numbered_copies, stable_keys
+from cargoloom.operators.keys import KnownKeys, dense_keys, fan_out_keys, numbered_copies, stable_keys
+from cargoloom.session import new_work_path
 
 PAYMENT_POLICIES = ("all", "latest", "sum")
 ORDER_FACT_KEY = ("order_id", "order_copy", "payment_id", "payment_copy")
@@ -63,6 +64,7 @@ def fact_orders(
     dim_payment_method: DataFrame | None = None,
     known_keys: KnownKeys | None = None,
     with_natural_key: bool = False,
+    stored: bool = True,
 ) -> DataFrame:
     """One row per order and payment (or per order, see ``payments_per_order``).
 
@@ -73,7 +75,9 @@ def fact_orders(
     ``dim_payment_method`` the method's key is looked up as well. Keys are
     those of ``known_keys`` for a fact known there, and follow the highest for others. What tells facts apart is
     ``ORDER_FACT_KEY``: the order and, under ``all``, its payment, each with a number among source rows of one id. Under ``latest`` and
-    ``sum`` the grain is the order, so a later payment doesn't move its key. ``with_natural_key`` keeps those columns, to save keys.
+    ``sum`` the grain is the order, so a later payment doesn't move its key. ``with_natural_key`` keeps those columns, to save keys. The facts are read from
+    the work folder; without ``stored`` (where no keys are kept) those of several payments are joined as they are read, for a
+    caller that reads them once.
     """
     stable = known_keys is not None or with_natural_key
     if stable:
@@ -97,7 +101,12 @@ def fact_orders(
         .join(places.toDF("delivery_address", "delivery_location_key"), "delivery_address", "left")
         .drop("user_id", "pickup_address", "delivery_address")
     )
-    rows = orders_with_payments(placed, payments, payment_policy)
+    fanned = payment_policy == "all" and not stable
+    if fanned:
+        # Both ids make the order total: an order's payments take the numbers from its own on.
+        rows = fan_out_keys(placed, payments_per_order(payments), "order_id", "order_id", "payment_id", "order_key")
+    else:
+        rows = orders_with_payments(placed, payments, payment_policy)
     method_key = []
     if dim_payment_method is not None:
         methods = dim_payment_method.select("payment_method", "payment_method_key")
@@ -128,7 +137,7 @@ def fact_orders(
         F.col("created_at").alias("order_created_at"),
         F.col("delivery_time").alias("order_completed_at"),
         "payment_id",
-        *([c for c in ("order_copy", "payment_copy") if c in rows.columns]),
+        *([c for c in ("order_key", "order_copy", "payment_copy") if c in rows.columns]),
     )
     # The payment id makes the order total where an order has several payments.
     natural = ["order_id", "payment_id"]
@@ -142,7 +151,9 @@ def fact_orders(
             }
         )
         natural = list(ORDER_FACT_KEY)
-    numbered = keyed_facts(shaped, natural, "order_key", known_keys)
+    numbered = shaped if fanned else keyed_facts(shaped, natural, "order_key", known_keys)
+    if fanned and stored:
+        numbered = _stored(numbered.drop("payment_id"), "order-facts")
     last = [c for c in ORDER_FACT_KEY if c != "order_id"] if with_natural_key else []
     return numbered.select("order_key", *[c for c in columns if c in rows.columns or c in shaped.columns], *last).withColumns(
         audit_columns(as_of, etl_user)
@@ -183,13 +194,18 @@ def fact_shipment_tracking(
         rows = rows.join(places, F.trim("current_location") == F.col("__place"), "left").drop("__place")
         location_key = ["current_location_key"]
     facts = fact_orders.select("order_id", "order_key")
-    if per_order_fact:
+    paired = per_order_fact and not copy
+    if paired:
+        facts = _stored(facts, "keys-of-orders")
+        rows = fan_out_keys(rows.drop("driver_id"), facts, "order_id", "shipment_id", "order_key", "tracking_key")
+    elif per_order_fact:
         rows = fan_out_left_join(rows.drop("driver_id"), facts, "order_id", spread_by=["order_key"])
     else:
         one = facts.groupBy("order_id").agg(F.min("order_key").alias("order_key"))
         rows = rows.drop("driver_id").join(one, "order_id", "left")
 
     shaped = rows.select(
+        *(["tracking_key"] if paired else []),
         "shipment_id",
         "order_key",
         "driver_key",
@@ -203,11 +219,18 @@ def fact_shipment_tracking(
     )
     # A shipment keeps its key when its order arrives later.
     natural = ["shipment_id", *copy, *(["order_key"] if per_order_fact else [])]
-    numbered = keyed_facts(shaped, natural, "tracking_key", known_keys)
+    numbered = shaped if paired else keyed_facts(shaped, natural, "tracking_key", known_keys)
     numbered = numbered if with_natural_key else numbered.drop(*copy)
     return numbered.withColumns(audit_columns(as_of, etl_user))
 
 
+def _stored(rows: DataFrame, label: str) -> DataFrame:
+    """The rows in the work folder, where they are read more than once."""
+    path = new_work_path(rows.sparkSession, label)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def keyed_facts(rows: DataFrame, natural: list[str], key: str, known: KnownKeys | None) -> DataFrame:
     """Facts with a key per natural key: the known one, else the next ones in order. Nulls count as values."""
     if known is None:
