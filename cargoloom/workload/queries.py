@@ -176,7 +176,7 @@ def fact_shipment_tracking_located(spark, sf):
 
 
 def _instalment_tracking(spark, sf, per_order_fact: bool):
-    orders = _orders_fact(spark, sf, "instalments")
+    orders = _orders_fact(spark, sf, "instalments", stored=False)
     return facts.fact_shipment_tracking(
         source(spark, sf, "shipments"), orders, _drivers(spark, sf), AS_OF, ETL_USER, per_order_fact=per_order_fact
     )
