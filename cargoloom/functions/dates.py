@@ -45,7 +45,9 @@ def minutes_between(start: Column | str, end: Column | str) -> Column:
     Null if either end is null; negative when ``end`` lies before ``start``.
     """
     seconds = F.unix_timestamp(_col(end)) - F.unix_timestamp(_col(start))
-    return F.round(seconds / 60).cast("long")
+    # ``round`` would make a decimal of each value; every number of seconds between two dates is exact in a double.
+    minutes = F.floor((F.abs(seconds) + 30) / 60)
+    return F.when(seconds < 0, -minutes).otherwise(minutes).cast("long")
 
 
 def calendar_days(spark: SparkSession, start: date, end: date) -> DataFrame:

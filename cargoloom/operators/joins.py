@@ -28,7 +28,8 @@ def frequent_keys(df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -
     salts = F.ceil(F.col("__n") / F.lit(rows_per_task)).cast("int").alias(_SALTS)
     frequent = counted.where(F.col("__n") > rows_per_task).select(key, salts)
     path = new_work_path(df.sparkSession, "frequent-keys")
-    frequent.coalesce(1).write.parquet(path)
+    # Gathered after the count: ``coalesce`` would have one task count all keys.
+    frequent.repartition(1).write.parquet(path)
     return df.sparkSession.read.schema(frequent.schema).parquet(path)
 
 

@@ -194,20 +194,23 @@ class ColumnRule:
         return "string" if self.length() is not None else self.type
 
 
-# The ranges of the integral types.
+# The ranges of the integral types, and the only texts that a cast to one of them takes.
 INTEGRAL_BITS = {"tinyint": 7, "smallint": 15, "int": 31, "bigint": 63}
+WHOLE_NUMBER = r"^[\s\p{Cntrl}]*[+\-]?0*[0-9]{1,19}[\s\p{Cntrl}]*$"
 
 
 def _misfits(value: Column, held: DataType, target: str) -> Column:
     """Whether a value cannot be cast. ``try_cast`` decides, but it costs an exception per misfit,
-    so values that cannot fit by their range or letters are told apart before it."""
+    so values that cannot fit by their range or form are told apart before it. Nearly all ids of a source may be misfits."""
     unfit = value.try_cast(target).isNull()
     decimal = re.fullmatch(r"decimal\((\d+),\s*(\d+)\)", target)
     if isinstance(held, NumericType) and (decimal or target in INTEGRAL_BITS):
         limit = 10.0 ** (int(decimal[1]) - int(decimal[2])) if decimal else 2.0 ** INTEGRAL_BITS[target]
         unfit = (F.abs(value.cast("double")) > limit) | unfit
     elif isinstance(held, StringType) and target in INTEGRAL_BITS:
-        unfit = value.rlike(r"[^0-9+\-.\s\p{Cntrl}]") | unfit
+        bits = INTEGRAL_BITS[target]
+        inside = value.try_cast("bigint").between(-(2**bits), 2**bits - 1)
+        unfit = F.when(~value.rlike(WHOLE_NUMBER), True).otherwise(~F.coalesce(inside, F.lit(False)))
     return value.isNotNull() & unfit
 
 

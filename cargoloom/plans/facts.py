@@ -128,11 +128,10 @@ def fact_orders(
         "order_created_at",
         "order_completed_at",
     ]
+    # What is computed of the times comes last: the rows are joined and sorted without it.
     shaped = rows.select(
         *[c for c in columns if c in rows.columns],
-        date_key("created_at").alias("order_date_key"),
         F.col("amount").alias("order_amount"),
-        minutes_between("created_at", "delivery_time").alias("delivery_duration_minutes"),
         F.col("status").alias("order_status"),
         F.col("created_at").alias("order_created_at"),
         F.col("delivery_time").alias("order_completed_at"),
@@ -155,9 +154,13 @@ def fact_orders(
     if fanned and stored:
         numbered = _stored(numbered.drop("payment_id"), "order-facts")
     last = [c for c in ORDER_FACT_KEY if c != "order_id"] if with_natural_key else []
-    return numbered.select("order_key", *[c for c in columns if c in rows.columns or c in shaped.columns], *last).withColumns(
-        audit_columns(as_of, etl_user)
+    timed = numbered.withColumns(
+        {
+            "order_date_key": date_key("order_created_at"),
+            "delivery_duration_minutes": minutes_between("order_created_at", "order_completed_at"),
+        }
     )
+    return timed.select("order_key", *[c for c in columns if c in timed.columns], *last).withColumns(audit_columns(as_of, etl_user))
 
 
 def fact_shipment_tracking(
@@ -204,8 +207,14 @@ def fact_shipment_tracking(
         one = facts.groupBy("order_id").agg(F.min("order_key").alias("order_key"))
         rows = rows.drop("driver_id").join(one, "order_id", "left")
 
-    shaped = rows.select(
-        *(["tracking_key"] if paired else []),
+    # What is computed of the time comes last: the rows are joined and sorted without it.
+    kept = ["shipment_id", "order_key", "driver_key", "estimated_delivery_time", *location_key, "status", "current_location", *copy]
+    shaped = rows.select(*(["tracking_key"] if paired else []), *kept)
+    # A shipment keeps its key when its order arrives later.
+    natural = ["shipment_id", *copy, *(["order_key"] if per_order_fact else [])]
+    numbered = shaped if paired else keyed_facts(shaped, natural, "tracking_key", known_keys)
+    return numbered.select(
+        "tracking_key",
         "shipment_id",
         "order_key",
         "driver_key",
@@ -215,13 +224,8 @@ def fact_shipment_tracking(
         moment(as_of).alias("tracking_timestamp"),
         "current_location",
         minutes_between(F.col("estimated_delivery_time"), moment(as_of)).alias("elapsed_time_minutes"),
-        *copy,
-    )
-    # A shipment keeps its key when its order arrives later.
-    natural = ["shipment_id", *copy, *(["order_key"] if per_order_fact else [])]
-    numbered = shaped if paired else keyed_facts(shaped, natural, "tracking_key", known_keys)
-    numbered = numbered if with_natural_key else numbered.drop(*copy)
-    return numbered.withColumns(audit_columns(as_of, etl_user))
+        *(copy if with_natural_key else []),
+    ).withColumns(audit_columns(as_of, etl_user))
 
 
 def _stored(rows: DataFrame, label: str) -> DataFrame:

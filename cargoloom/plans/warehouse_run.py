@@ -189,26 +189,31 @@ def build_tables(
             with_natural_key=True,
         ),
     )
-    load_keys(warehouse, held, "keys_fact_orders", ORDER_FACT_KEY, "order_key", as_of)
     orders = held.drop(*ORDER_FACT_KEY[1:])
     given, earlier = orders.select("order_id", "order_key"), warehouse.before("fact_orders", as_of)
     if incremental and earlier is not None:
         came = given.select(F.col("order_id").alias("__id")).distinct()
         rest = earlier.select("order_id", "order_key").join(came, F.col("order_id").eqNullSafe(F.col("__id")), "left_anti")
         given = given.unionByName(rest)
-    tracked = save_fact(
-        "fact_shipment_tracking",
-        lambda: fact_shipment_tracking(
-            raw["shipments"],
-            given,
-            lookups["driver"],
-            as_of,
-            etl_user,
-            known_keys=keys_of(warehouse, "keys_fact_shipment_tracking", as_of, raw["shipments"], "shipment_id"),
-            with_natural_key=True,
-        ),
-    )
-    load_keys(warehouse, tracked, "keys_fact_shipment_tracking", ("shipment_id", "shipment_copy"), "tracking_key", as_of)
+
+    def track() -> DataFrame:
+        tracked = save_fact(
+            "fact_shipment_tracking",
+            lambda: fact_shipment_tracking(
+                raw["shipments"],
+                given,
+                lookups["driver"],
+                as_of,
+                etl_user,
+                known_keys=keys_of(warehouse, "keys_fact_shipment_tracking", as_of, raw["shipments"], "shipment_id"),
+                with_natural_key=True,
+            ),
+        )
+        load_keys(warehouse, tracked, "keys_fact_shipment_tracking", ("shipment_id", "shipment_copy"), "tracking_key", as_of)
+        return tracked
+
+    # The orders' keys are written beside the shipments' facts, which do not need them.
+    tracked, _ = each([track, lambda: load_keys(warehouse, held, "keys_fact_orders", ORDER_FACT_KEY, "order_key", as_of)])
     refer = {**{f"dim_{n}": df for n, df in lookups.items()}, "fact_orders": given}
     return dims, {"orders": orders, "shipment_tracking": tracked.drop("shipment_copy")}, refer, metrics
 

@@ -103,10 +103,12 @@ def all_shuffle_tasks(spark: SparkSession) -> Iterator[None]:
 
 #: What a long run sets. Files are compressed, and what is read from them takes many times their size in the driver: Catalyst estimates
 #: by file sizes which side of a join it broadcasts, adaptive execution by the rows it has measured. The files of a shuffle go when its
-#: job ends, not when the driver happens to collect its garbage.
+#: job ends, not when the driver happens to collect its garbage. Joins whose smaller side takes so few bytes in
+#: every shuffle task hash it and sort neither side.
 RUN_SETTINGS = {
     "spark.sql.sources.fileCompressionFactor": "16.0",
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
 }
 _before_runs: dict[str, list[dict[str, str]]] = defaultdict(list)  # per session, like _uncoalesced
 _before_runs_lock = Lock()

@@ -125,14 +125,12 @@ class VersionedTables:
         seen = figures(counted)
         if not partition_by:
             return [(place, seen["n"])], seen.get("highest")
-        # How many rows each directory has: footers only, one row per directory.
-        written = self.spark.read.schema(df.schema).parquet(path) if seen["n"] else None
-        file = F.col("_metadata.file_path")
-        found = written.groupBy(F.regexp_replace(file, "/[^/]*$", "").alias("place")).count().collect() if seen["n"] else []
-        # File paths in metadata are escaped once more than the names of directories.
-        counts = {unquote(r["place"].rsplit(f"{place}/", 1)[-1]): r["count"] for r in found}
+        # How many rows each directory has: its values alone are read, as texts, and row counts of footers; one row per directory.
+        texts = StructType([StructField(c, StringType()) for c in partition_by])
+        found = self.spark.read.schema(texts).parquet(path).groupBy(*partition_by).count().collect() if seen["n"] else []
+        counts = {tuple(r)[:-1]: r["count"] for r in found}
         inside = directories(self.spark, path, len(partition_by))
-        return [(f"{place}/{d}", counts[d]) for d in inside], seen.get("highest")
+        return [(f"{place}/{d}", counts[tuple(_values(d).values())]) for d in inside], seen.get("highest")
 
     def _enter(self, table, name, schema: StructType, layout: dict, parts, highest: int | None) -> int:
         entry = (*name, schema.json(), json.dumps(layout), [(p[0], p[1]) for p in parts], highest)
@@ -157,11 +155,7 @@ class VersionedTables:
         if entry is None:
             raise ValueError(f"no version of {table} to clean up")
 
-        def values(path: str) -> dict[str, str | None]:
-            pairs = [unquote(step).split("=", 1) for step in path.split("/")[1:]]
-            return {c: None if v == "__HIVE_DEFAULT_PARTITION__" else v for c, v in pairs}
-
-        kept = [(p["path"], p["rows"]) for p in entry["parts"] if keep(values(p["path"]))]
+        kept = [(p["path"], p["rows"]) for p in entry["parts"] if keep(_values(p["path"].partition("/")[2]))]
         schema = StructType.fromJson(json.loads(entry["schema"]))
         return self._enter(table, self._attempt(table, as_of), schema, json.loads(entry["layout"]), kept, entry["highest"])
 
@@ -253,6 +247,12 @@ class VersionedTables:
         return gone
 
 
+def _values(path: str) -> dict[str, str | None]:
+    """The partition values that the steps of a path name."""
+    pairs = [unquote(step).split("=", 1) for step in path.split("/") if step]
+    return {c: None if v == "__HIVE_DEFAULT_PARTITION__" else v for c, v in pairs}
+
+
 def _bucket_of(path: str) -> int:
     return int(path.rsplit("=", 1)[1])
 

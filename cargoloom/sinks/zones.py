@@ -9,7 +9,7 @@ from datetime import datetime
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -37,10 +37,16 @@ def with_lineage(df: DataFrame, table: str, as_of: datetime) -> DataFrame:
 
 def with_file_partitions(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str]]:
     """The frame with its derived day columns, and the names to partition the files by."""
-    days = {f"{c}_partition": F.date_format(c, spec.partition_format) for c in spec.date_partitions}
+    days = {f"{c}_partition": _formatted(c, spec.partition_format) for c in spec.date_partitions}
     return (df.withColumns(days) if days else df), [*days, *spec.partitions]
 
 
+def _formatted(column: str, form: str) -> Column:
+    """A date in a format. Four-digit years need no formatter for each row."""
+    formatted, year = F.date_format(column, form), F.year(column)
+    return F.when(year.between(1000, 9999), year.cast("string")).otherwise(formatted) if form == "yyyy" else formatted
+
+
 def write_parquet(
     df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> int:
