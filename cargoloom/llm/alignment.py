@@ -29,10 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargoloom.llm.common import numbers_of, saved, sliced, taken
+from cargoloom.llm.common import give_back_memory, numbers_of, saved, sliced, taken
 from cargoloom.llm.pieces import byte_letters
 
 FAN, SLICE = 16, 1 << 16
+#: Bytes of texts, or of ids, that a worker has in hand: it takes some 25 times as many for their words, ids and places.
+BATCH = 4 << 20
 ROWS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
@@ -150,7 +152,7 @@ class Pair:
         self.words += [b"%d%s" % (i, end) for i in ids_b for end in (b",", b";")]
 
     def _of_a(self, text: str) -> np.ndarray:
-        return self.a.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+        return self.a.encode_to_numpy(text, disallowed_special=()).astype(self.kind)
 
     def _words(self, words: pa.Array) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray], np.ndarray]:
         """Ids of A and of B with their numbers for each distinct word, and which words B does not give back."""
@@ -159,7 +161,7 @@ class Pair:
         open_ = pc.match_substring_regex(shown, _GAP + r"\z").to_numpy(zero_copy_only=False)
         # A: all words that end in no white space in one text, the few others one by one.
         joined = shown.filter(pa.array(~open_))
-        ids, sizes = np.zeros(0, np.int64), np.zeros(len(words), np.int64)
+        ids, sizes = np.zeros(0, self.kind), np.zeros(len(words), np.int64)
         if len(joined):
             ids = self._of_a(_laid(joined).decode())
             ends, stops = np.cumsum(self.a_sizes[ids]), np.cumsum(pc.binary_length(joined).to_numpy())
@@ -178,7 +180,7 @@ class Pair:
         lists = self.b.encode(plain, num_threads=1) if plain else []
         lists = [[self.blank] if not w else x[1:] if w[0] == "\n" else x for w, x in zip(plain, lists, strict=True)]
         b_sizes = np.array([len(x) for x in lists], np.int64)
-        b = np.fromiter(chain.from_iterable(lists), np.int64, int(b_sizes.sum())), b_sizes
+        b = np.fromiter(chain.from_iterable(lists), self.kind, int(b_sizes.sum())), b_sizes
         raw, length = np.frombuffer(_laid(shown), np.uint8), pc.binary_length(shown).to_numpy().astype(np.int64)
         bad = np.zeros(len(words), bool)
         for (flat, n), table, widths in ((a, self.a_flat, self.a_sizes), (b, self.b_flat, self.b_sizes)):
@@ -218,7 +220,7 @@ class Pair:
         rest_sizes: list[list[int]] = [[], []]
         for text in texts.take(pa.array(rest)).to_pylist():
             raw = b" " + text.encode()
-            ids = self._of_a(" " + text), np.array(self.b.encode(text), np.int64)
+            ids = self._of_a(" " + text), np.array(self.b.encode(text), self.kind)
             spelled = [b"".join(map(t.__getitem__, x.tolist())) for t, x in zip((self.a_bytes, self.b_bytes), ids, strict=True)]
             for i in (0, 1):
                 kept = ids[i] if spelled == [raw, raw] else ids[i][:0]
@@ -232,7 +234,10 @@ class Pair:
             order[places], order[rest] = np.arange(len(places)), len(places) + np.arange(len(rest))
             order[places[wrong]] = -1
             there = order[order >= 0]
-            flat, n = taken(np.concatenate(found[i][0]), sizes, there)
+            flat, n = np.concatenate(found[i][0]), sizes
+            found[i] = ([], sizes)
+            if len(there) < len(sizes) or (np.diff(there) < 0).any():
+                flat, n = taken(flat, sizes, there)
             per = np.zeros(len(texts), np.int64)
             per[order >= 0] = n
             out.append((flat, per))
@@ -277,13 +282,13 @@ def _batch_ids(batch: pa.RecordBatch, name: str, kind: np.dtype) -> tuple[np.nda
     return np.concatenate([np.zeros(0, kind), *rows]).astype(np.int64), np.array([len(x) for x in rows], np.int64)
 
 
-def encoded(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """The first pass, written: ids of both tokenizers per document, and a row per task with the distinct pairs it met."""
+def _first_pass(a_path: str, b_path: str):
+    """Ids of both tokenizers per document, and at a task's end the distinct pairs it met."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, met = _pair(a_path, b_path), np.zeros(0, np.int64)
         names, kinds = ["doc_id", "a", "b", "pairs"], [pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        for batch in sliced(batches):
+        for batch in sliced(batches, BATCH):
             (a, a_n), (b, b_n) = pair.tokens(batch.column(batch.schema.get_field_index("text")))
             of_a, of_b = pair.ends(a, b)
             met = np.union1d(met, _codes(a[of_a], b[of_b]))
@@ -297,10 +302,15 @@ def encoded(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         columns = [[None], [None], [None], [met.astype("<i8").tobytes()]]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
+    return run
+
+
+def encoded(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+    """The first pass, written: ids of both tokenizers per document, and a row per task with the distinct pairs it met."""
     texts = docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    return saved(texts.mapInArrow(run, "doc_id long, a binary, b binary, pairs binary"), "alignment-ids")
+    return saved(texts.mapInArrow(_first_pass(a_path, b_path), "doc_id long, a binary, b binary, pairs binary"), "alignment-ids")
 
 
 def _distinct_pairs(tokens: DataFrame, most: int) -> np.ndarray:
@@ -339,7 +349,7 @@ def _counts(tokens: DataFrame, a_path: str, b_path: str, known: PerfectHash) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, perfect, part = _pair(a_path, b_path), shared.value, TaskContext.get().partitionId()
         total = np.zeros(len(perfect.keys), "<i8")
-        for batch in sliced(batches):
+        for batch in sliced(batches, BATCH):
             (a, _), (b, _) = _batch_ids(batch, "a", pair.kind), _batch_ids(batch, "b", pair.kind)
             of_a, of_b = pair.ends(a, b)
             numbers = perfect.numbers(_codes(a[of_a], b[of_b]))
@@ -368,6 +378,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     empty digest. Rows without ``doc_id`` are left out, rows of one id are documents of their own, other columns are
     not read, an empty table gives no rows.
     """
+    give_back_memory(docs.sparkSession)  # for the last pass as well, which the caller runs
     pair = _pair(a_path, b_path)
     if min(pair.a_sizes.min(), pair.b_sizes.min()) < 1:
         raise ValueError("a token without bytes")
@@ -380,7 +391,7 @@ def align(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, (perfect, total, highest) = _pair(a_path, b_path), shared.value
-        for batch in sliced(batches, 4 << 20):
+        for batch in sliced(batches, BATCH):
             (a, n_a), (b, n_b) = _batch_ids(batch, "a", pair.kind), _batch_ids(batch, "b", pair.kind)
             of_a, of_b = pair.ends(a, b)
             numbers = perfect.numbers(_codes(a[of_a], b[of_b]))
