@@ -11,8 +11,8 @@ An anchor value with one fragment left needs no more work; bytes travel for the
 
 **What is equal.** The distinct fragments of an anchor value are put in shards. A shard sorts its rotations (each fragment with
 an end mark, as a ring) by their first ``length`` symbols and so has its Burrows-Wheeler transform, here with the ``STRIDE``
-symbols before each rotation as one letter. Shards are merged without sorting rotations again: an interleave, the order of shard
-numbers, starts as shard after shard; dealing its entries stably by their transform's letter gives the interleave for
+symbols before each rotation as one letter. Shards are merged without sorting rotations again: an interleave of their
+entries starts as shard after shard; dealing its entries stably by their transform's letter gives the interleave for
 ``STRIDE`` symbols more. Entries that agreed so far and have one letter stay in one block, the others part: where two neighbours part
 is their common prefix. After ``length`` symbols every block of two or more is a repeated interval, and of
 its strings all but the earliest are repeats.
@@ -258,18 +258,26 @@ def _bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _radix(keys: np.ndarray, top: int) -> np.ndarray:
-    """A stable order of numbers below ``top``, by 16 bits at a time."""
-    order = np.argsort((keys & 0xFFFF).astype(np.uint16), kind="stable")
-    if top > 1 << 16:
-        order = order[np.argsort((keys >> 16).astype(np.uint16)[order], kind="stable")]
-    return order
+def _in_order(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A stable order of numbers from 0 on, and the numbers in it.
+
+    Where a number and its place go into 63 bits they are sorted as one: a plain sort is several times faster than one of places.
+    """
+    bits = max(len(keys) - 1, 1).bit_length()
+    if len(keys) and int(keys.max()).bit_length() + bits > 63:
+        order = np.argsort(keys, kind="stable")
+        return order, keys[order]
+    both = keys.astype(np.int64) << bits
+    both |= np.arange(len(keys))
+    both.sort()
+    return both & ((1 << bits) - 1), both >> bits
 
 
 def _ranked(keys: np.ndarray) -> tuple[np.ndarray, int]:
-    """Keys as dense numbers in their order."""
-    order = np.argsort(keys, kind="stable")
-    new = np.diff(keys[order], prepend=keys[order[:1]] - 1) != 0
+    """Keys (from 0 on) as dense numbers in their order."""
+    order, keys = _in_order(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
     out = np.empty(len(keys), np.int64)
     out[order] = np.cumsum(new) - 1
     return out, int(new.sum())
@@ -285,12 +293,20 @@ class Rings:
         raw[self.begin + sizes - 1] = 0
         self.symbols, self.sizes = raw, sizes
         self.ring = np.repeat(np.arange(len(sizes)), sizes)
-        self.offset = np.arange(len(raw)) - self.begin[self.ring]
+        self.first, self.size = np.repeat(self.begin, sizes), np.repeat(sizes, sizes)
+        self.offset = np.arange(len(raw)) - self.first
+        self.least = int(sizes.min()) if len(sizes) else 0
 
-    def ahead(self, by: int) -> np.ndarray:
+    def ahead(self, by: int, places: slice = slice(None)) -> np.ndarray:
         """Of every place the place ``by`` symbols on, around its ring."""
-        size = self.sizes[self.ring]
-        return self.begin[self.ring] + (self.offset + by) % size
+        size, at = self.size[places], self.offset[places] + by
+        if abs(by) > self.least:
+            at %= size
+        elif by < 0:
+            at += size * (at < 0)
+        else:
+            at -= size * (at >= size)
+        return self.first[places] + at
 
 
 def shard_order(letters: np.ndarray, rings: Rings, places: slice, length: int) -> np.ndarray:
@@ -299,24 +315,20 @@ def shard_order(letters: np.ndarray, rings: Rings, places: slice, length: int) -
     ``letters`` ranks the ``STRIDE`` symbols from each place on; ranks of twice as many follow from pairs.
     """
     base = places.start
-    size, offset, begin = (
-        rings.sizes[rings.ring[places]],
-        rings.offset[places],
-        rings.begin[rings.ring[places]] - base,
-    )
-    rank, n = letters[places], len(offset)
+    rank = letters[places]
+    n = len(rank)
     have, done = STRIDE, {STRIDE: rank}
     while 2 * have <= length:
-        ahead = begin + (offset + have) % size
+        ahead = rings.ahead(have, places) - base
         rank, _ = _ranked(rank * (int(rank.max()) + 1) + rank[ahead])
         have *= 2
         done[have] = rank
     while have < length:
         step = max(s for s in done if s <= length - have)
-        ahead = begin + (offset + have) % size
+        ahead = rings.ahead(have, places) - base
         rank, _ = _ranked(rank * n + done[step][ahead])
         have += step
-    return base + np.argsort(rank, kind="stable")
+    return base + _in_order(rank)[0]
 
 
 def merged_blocks(fragments: list[bytes], length: int, shard_bytes: int = SHARD_BYTES):
@@ -340,23 +352,24 @@ def merged_blocks(fragments: list[bytes], length: int, shard_bytes: int = SHARD_
     orders = [shard_order(letters, rings, slice(a, b), length) for a, b in zip(cut, cut[1:], strict=False)]
     arrays = np.concatenate(orders)
     # The transform: the letter before each rotation of a shard's order.
-    transform = letters[rings.ahead(-STRIDE)][arrays]
-    shard = np.repeat(np.arange(len(orders)), np.diff(cut)).astype(np.uint16)
-    entry = np.arange(n)
-    block, prefix = np.zeros(n, np.int64), np.zeros(n, np.int32)
+    transform = letters[rings.ahead(-STRIDE)][arrays].astype(np.int32)
+    # The j-th of a shard's entries stands for the j-th of its order, so one entry is always followed by the same: where a stable deal of
+    # its own shard by letters puts it.
+    shard = np.repeat(np.arange(len(orders)), np.diff(cut))
+    follows = np.empty(n, np.int32)
+    follows[_in_order(shard * n_letters + transform)[0]] = np.arange(n, dtype=np.int32)
+    entry = np.arange(n, dtype=np.int32)
+    block, prefix = np.zeros(n, np.int32), np.zeros(n, np.int32)
     for _ in range(length // STRIDE):
-        letter = transform[entry]
-        moved = _radix(letter, n_letters)
-        shard, letter, old = shard[moved], letter[moved], block[moved]
+        moved, letter = _in_order(transform[entry])
+        old = block[moved]
         # Places agree in STRIDE symbols more if their letters agree and what follows was in one block.
         part = np.ones(n, bool)
         part[1:] = (letter[1:] != letter[:-1]) | (old[1:] != old[:-1])
-        block = np.cumsum(part) - 1
-        prefix += np.where(part, 0, STRIDE).astype(np.int32)
-        # The j-th entry of a shard stands for the j-th of its order.
-        entry = np.empty(n, np.int64)
-        entry[np.argsort(shard, kind="stable")] = np.arange(n)
-    return rings, arrays[entry], block, prefix
+        block = np.cumsum(part, dtype=np.int32)
+        prefix += ~part
+        entry = follows[entry[moved]]
+    return rings, arrays[entry], block, prefix * STRIDE
 
 
 def repeats(doc: np.ndarray, start: np.ndarray, fragments: list[bytes], length: int, shard_bytes: int = SHARD_BYTES):
@@ -364,7 +377,11 @@ def repeats(doc: np.ndarray, start: np.ndarray, fragments: list[bytes], length:
     rings, order, block, _ = merged_blocks(fragments, length, shard_bytes)
     ring, offset = rings.ring[order], rings.offset[order]
     whole = offset + length < rings.sizes[ring]
-    order, block, ring, offset = order[whole], block[whole], ring[whole], offset[whole]
+    block, ring, offset = block[whole], ring[whole], offset[whole]
+    # Blocks lie in order; one with a single string holds no repeat.
+    same = block[1:] == block[:-1]
+    several = np.r_[False, same] | np.r_[same, False]
+    block, ring, offset = block[several], ring[several], offset[several]
     at = start[ring] + offset
     inside = np.lexsort((at, doc[ring], block))
     block, ring, at = block[inside], ring[inside], at[inside]
