@@ -15,7 +15,7 @@ from pyspark.sql.types import LongType, StructType
 
 from cargoloom.operators.joins import fan_out_left_join, frequent_keys
 
-from cargoloom.session import new_work_path
+from cargoloom.session import new_work_path, stored_frame
 
 _SLOT = "__slot"
 _BEFORE = "__before"
@@ -143,12 +143,24 @@ def stable_keys(
     given, so a key once given never moves to another row. ``natural_key`` must be
     unique in both inputs; null counts as a value.
     """
-    held = known.rows.select(F.col(natural_key).alias("__known"), F.col(key))
-    same = F.col(natural_key).eqNullSafe(F.col("__known"))
-    kept = incoming.join(held, same, "inner").select(key, *incoming.columns)
-    fresh = incoming.join(held.select("__known"), same, "left_anti")
-    numbered = dense_keys(fresh, order_by or [natural_key], key, after=known.highest)
-    return kept.withColumn(key, F.col(key).cast("long")).unionByName(numbered)
+    return stable_keys_by(incoming, known, [natural_key], key, order_by)
+
+
+def stable_keys_by(
+    incoming: DataFrame, known: KnownKeys, natural: Sequence[str], key: str, order_by: Sequence[str] | None = None
+) -> DataFrame:
+    """``stable_keys`` for a natural key of several columns, which both have in the same types.
+
+    Both sides are joined once, into the work folder: what ``incoming`` is made of is not evaluated again to find the rows that are
+    not known, nor to sort them.
+    """
+    held = known.rows.select(F.col(key), *[F.col(c).alias(f"__known_{c}") for c in natural], F.lit(True).alias("__held"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__known_{c}")) for c in natural])
+    joined = incoming.join(held, same, "left").select(F.col(key).cast("long").alias(key), *incoming.columns, "__held")
+    rows = stored_frame(joined, f"known-{key}")
+    fresh = rows.where("__held IS NULL").select(*incoming.columns)
+    numbered = dense_keys(fresh, order_by or natural, key, after=known.highest)
+    return rows.where("__held").select(key, *incoming.columns).unionByName(numbered)
 
 
 def repeated_keys(df: DataFrame, natural: Sequence[str]) -> DataFrame | None:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from cargoloom.functions.dates import date_key, minutes_between
 from cargoloom.functions.moments import moment
 from cargoloom.operators.joins import fan_out_left_join
-from cargoloom.operators.keys import KnownKeys, dense_keys, fan_out_keys, numbered_copies, stable_keys
-from cargoloom.session import new_work_path
+from cargoloom.operators.keys import KnownKeys, dense_keys, fan_out_keys, numbered_copies, stable_keys, stable_keys_by
+from cargoloom.session import stored_frame
 
 PAYMENT_POLICIES = ("all", "latest", "sum")
 ORDER_FACT_KEY = ("order_id", "order_copy", "payment_id", "payment_copy")
@@ -152,7 +152,7 @@ def fact_orders(
         natural = list(ORDER_FACT_KEY)
     numbered = shaped if fanned else keyed_facts(shaped, natural, "order_key", known_keys)
     if fanned and stored:
-        numbered = _stored(numbered.drop("payment_id"), "order-facts")
+        numbered = stored_frame(numbered.drop("payment_id"), "order-facts")
     last = [c for c in ORDER_FACT_KEY if c != "order_id"] if with_natural_key else []
     timed = numbered.withColumns(
         {
@@ -199,7 +199,7 @@ def fact_shipment_tracking(
     facts = fact_orders.select("order_id", "order_key")
     paired = per_order_fact and not copy
     if paired:
-        facts = _stored(facts, "keys-of-orders")
+        facts = stored_frame(facts, "keys-of-orders")
         rows = fan_out_keys(rows.drop("driver_id"), facts, "order_id", "shipment_id", "order_key", "tracking_key")
     elif per_order_fact:
         rows = fan_out_left_join(rows.drop("driver_id"), facts, "order_id", spread_by=["order_key"])
@@ -228,17 +228,12 @@ def fact_shipment_tracking(
     ).withColumns(audit_columns(as_of, etl_user))
 
 
-def _stored(rows: DataFrame, label: str) -> DataFrame:
-    """The rows in the work folder, where they are read more than once."""
-    path = new_work_path(rows.sparkSession, label)
-    rows.write.option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def keyed_facts(rows: DataFrame, natural: list[str], key: str, known: KnownKeys | None) -> DataFrame:
     """Facts with a key per natural key: the known one, else the next ones in order. Nulls count as values."""
     if known is None:
         return dense_keys(rows, natural, key)
+    if all(rows.schema[c].dataType == known.rows.schema[c].dataType for c in natural):
+        return stable_keys_by(rows, known, natural, key)
     name = F.to_json(F.struct(*natural), {"ignoreNullFields": "false"})
     held = KnownKeys(known.rows.select(key, name.alias("__natural")), known.highest)
     kept = stable_keys(rows.withColumn("__natural", name), held, "__natural", key, natural)

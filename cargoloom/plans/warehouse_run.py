@@ -18,7 +18,7 @@ from cargoloom.plans.facts import ORDER_FACT_KEY, fact_orders, fact_shipment_tra
 from cargoloom.plans.landing import Metric, Reader, each, land_all
 from cargoloom.plans.metrics import metric_rows, save_metrics, transform_metrics
 from cargoloom.plans.warehouse_schema import FOREIGN_KEYS, TABLES, foreign_key_columns
-from cargoloom.session import new_work_path, run_settings, work_scope
+from cargoloom.session import new_work_path, run_settings, stored_frame, work_scope
 from cargoloom.sinks.versions import VersionedTables
 from cargoloom.sinks.zones import Zones
 from cargoloom.sources.jdbc import JdbcSource
@@ -57,14 +57,10 @@ def load_fact(tables: VersionedTables, df: DataFrame, table: str, as_of: datetim
 
 def load_keys(tables: VersionedTables, df: DataFrame, table: str, natural: Sequence[str], key: str, as_of: datetime) -> int:
     """Keys given to facts, in a table of their own as facts don't show all that tells them apart. A natural key that does not
-    come with its owner any more keeps its key, should it come back."""
-    owner, known = natural[0], tables.before(table, as_of)
-    df = df.select(key, *natural)
-    if known is not None:
-        came = df.select(F.col(owner).alias("__owner")).distinct()
-        held = known.join(came, F.col(owner).eqNullSafe(F.col("__owner")), "left_semi")
-        df = df.unionByName(held.join(df.select(key), key, "left_anti"))
-    return tables.merge(df, table, as_of, owner, key)
+    come with its owner any more keeps its key, should it come back. So rows are only ever added: those of keys above the
+    highest one given before."""
+    fresh = df.select(key, *natural).where(F.col(key) > tables.highest_key(table, as_of))
+    return tables.add(fresh, table, as_of, natural[0], key)
 
 
 def keys_of(tables: VersionedTables, table: str, as_of: datetime, incoming: DataFrame, owner: str) -> KnownKeys | None:
@@ -97,6 +93,9 @@ def arrived(
     payment, or whose user is new. Rows are in their newest state; a table that is loaded whole comes whole."""
     by_name = {s.name: s for s in specs}
     came = {n: zones.batch(n, as_of) for n in ("users", "drivers", "orders", "shipments", "payments")}
+    whole = {n: all(e["whole"] for e in zones.loads(n).values()) for n in ("orders", "payments", "shipments")}
+    if all(whole.values()):
+        return came
     path = new_work_path(spark, "orders-that-came")
     orders = zones.newest("orders", by_name["orders"].key)
     touched = came["orders"].select("order_id").unionByName(came["payments"].select("order_id"))
@@ -107,14 +106,16 @@ def arrived(
     touched.distinct().write.parquet(path)
     ids = spark.read.parquet(path).select(F.col("order_id").alias("__id"))
     raw = dict(came)
+    # What came whole names all of its orders. Anything else is read many times, so it is found once.
     for name, rows in (("orders", orders), ("payments", zones.newest("payments", by_name["payments"].key))):
-        raw[name] = rows.join(ids, F.col("order_id").eqNullSafe(F.col("__id")), "left_semi")
-    if any(not e["whole"] for e in zones.loads("shipments").values()):
+        if not whole[name]:
+            raw[name] = stored_frame(rows.join(ids, F.col("order_id").eqNullSafe(F.col("__id")), "left_semi"), f"{name}-that-came")
+    if not whole["shipments"]:
         # Of a source with marks: shipments that came, and those whose order did.
         rows, own = zones.newest("shipments", by_name["shipments"].key), came["shipments"].select(F.col("shipment_id").alias("__own"))
         rows = rows.join(own.distinct().withColumn("__came", F.lit(True)), F.col("shipment_id").eqNullSafe(F.col("__own")), "left")
         rows = rows.join(ids.withColumn("__with", F.lit(True)), F.col("order_id").eqNullSafe(F.col("__id")), "left")
-        raw["shipments"] = rows.where("__came OR __with").drop("__own", "__came", "__id", "__with")
+        raw["shipments"] = stored_frame(rows.where("__came OR __with").drop("__own", "__came", "__id", "__with"), "shipments-that-came")
     return raw
 
 
@@ -276,8 +277,7 @@ def _run(
 ) -> DataFrame:
     with work_scope(spark):
         metrics = land_all(read, zones, as_of, specs, incremental=incremental)
-        for spec in specs:
-            zones.drop_replaced(spec.name)
+        each([lambda s=s: zones.drop_replaced(s.name) for s in specs])
         names = ("users", "drivers", "orders", "shipments", "payments")
         raw = arrived(spark, zones, warehouse, specs, as_of) if incremental else {n: zones.batch(n, as_of) for n in names}
         dims, facts, refer, built = build_tables(
@@ -299,8 +299,8 @@ def _run(
 
     loaded = each([lambda n=n: load(n) for n in dims])
     loaded += each([lambda n=n: load_facts(n) for n in facts])
-    for table in (*[f"dim_{n}" for n in dims], *FACT_OWNERS, *[f"keys_{t}" for t in FACT_OWNERS]):
-        warehouse.vacuum(table, keep_versions=None)
+    written = (*[f"dim_{n}" for n in dims], *FACT_OWNERS, *[f"keys_{t}" for t in FACT_OWNERS])
+    each([lambda t=t: warehouse.vacuum(t, keep_versions=None) for t in written])
     rows = metric_rows(spark, as_of, [*metrics, *built, *checked, *loaded])
     save_metrics(rows, base_path)
     saved = spark.read.parquet(f"{base_path.rstrip('/')}/metrics")

@@ -9,7 +9,7 @@ from contextlib import contextmanager
 from contextvars import ContextVar
 from threading import Lock
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _scope: ContextVar[str | None] = ContextVar("cargoloom_work_scope", default=None)
 
@@ -78,6 +78,13 @@ def work_scope(spark: SparkSession) -> Iterator[None]:
         delete_path(spark, root)
 
 
+def stored_frame(rows: DataFrame, label: str) -> DataFrame:
+    """The rows in the work folder, where they are read more than once."""
+    path = new_work_path(rows.sparkSession, label)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 @contextmanager
 def all_shuffle_tasks(spark: SparkSession) -> Iterator[None]:
     """Shuffles inside keep ``spark.sql.shuffle.partitions`` tasks, however few bytes they move.

@@ -20,6 +20,8 @@ import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
+from operator import and_
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -180,45 +182,78 @@ class VersionedTables:
         written anew. The number of buckets (``BUCKETS``, if none is given) is the one the table began with.
         """
         name, entry = self._attempt(table, as_of), self._newest(table, batch_id(as_of))
-        n = (buckets or BUCKETS) if entry is None else json.loads(entry["layout"])["buckets"]
-        bucketed = df.withColumn(_BUCKET, F.pmod(F.xxhash64(owner), F.lit(n)).cast("int"))
-        layout = {"partition_by": [_BUCKET], "owner": owner, "buckets": n}
+        bucketed, layout = _bucketed(df, owner, entry, buckets)
         if entry is None:
-            # The first version is all rows there are: each task deals its own into the buckets, none are moved.
-            parts, highest = self._write(bucketed, table, name, [_BUCKET], key, gather=False)
-            return self._enter(table, name, df.schema, layout, parts, highest)
+            return self._begin(bucketed, table, name, layout, key)
 
         earlier = [(p["path"], p["rows"]) for p in entry["parts"]]
         schema = StructType.fromJson(json.loads(entry["schema"]))
-        compared = [c for c in df.columns if c in schema.names and c not in ignore]
+        columns = [c for c in df.columns if c in schema.names and c not in ignore]
         bounds = df.agg(F.min(owner), F.max(owner), F.count_if(F.col(owner).isNull())).first()
-        stored = self._read(table, entry).where(_between(owner, *bounds))
-        theirs, ours = _digests(bucketed, owner, compared, [_BUCKET]), _digests(stored, owner, compared)
-        both = theirs.alias("new").join(ours.alias("old"), F.col(f"new.`{owner}`").eqNullSafe(F.col(f"old.`{owner}`")), "left")
-        known = F.col("old.digest").isNotNull()
-        same = known & (F.col("old.digest") == F.col("new.digest"))
-        path = new_work_path(self.spark, "changed-owners")
-        both.where(~same).select(F.col(f"new.`{owner}`"), F.col(f"new.{_BUCKET}"), known.alias("known")).write.parquet(path)
-        changed = self.spark.read.parquet(path)
+        within = _between(owner, *bounds)
+        compared = _compared(bucketed, self._read(table, entry).where(within), owner, columns)
+        path, seen = new_work_path(self.spark, "owners-compared"), Observation()
+        counted = [F.count_if(F.expr(c)).alias(n) for n, c in (("changed", "changed"), ("same", "came AND NOT changed"), ("gone", "NOT came"))]
+        compared.observe(seen, *counted).write.parquet(path)
+        compared, of = self.spark.read.schema(compared.schema).parquet(path), {"changed": 0, "same": 0, "gone": 0, **figures(seen)}
         # One row per bucket.
-        touched = {r[_BUCKET]: r["known"] for r in changed.groupBy(_BUCKET).agg(F.max("known").alias("known")).collect()}
-        held: dict[int, int] = {}
-        for place, _ in earlier:
-            held[_bucket_of(place)] = held.get(_bucket_of(place), 0) + 1
-        anew = sorted(b for b, has_known in touched.items() if has_known or held.get(b, 0) >= MOST_PARTS)
+        by_bucket = compared.where("changed").groupBy(_BUCKET).agg(F.max("known").alias("known"))
+        touched = {r[_BUCKET]: r["known"] for r in by_bucket.collect()}
         if not touched:
             return self._enter(table, name, schema, layout, earlier, entry["highest"])
-        owners = changed.select(F.col(owner).alias("__owner"))
-        rows = bucketed.join(owners, F.col(owner).eqNullSafe(F.col("__owner")), "left_semi")
+        anew = _anew(earlier, touched)
+
+        def among(rows: DataFrame, wanted: str, how: str) -> DataFrame:
+            owners = compared.where(wanted).select(F.col(owner).alias("__owner"))
+            return rows.join(owners, F.col(owner).eqNullSafe(F.col("__owner")), how)
+
+        # Rows are told by the owners that changed or by all others, whichever are fewer; where there are no others, by none.
+        rows = bucketed
+        if of["same"]:
+            rows = among(rows, "came AND NOT changed", "left_anti") if of["same"] < of["changed"] else among(rows, "changed", "left_semi")
+        others = of["same"] + of["gone"]
+        if anew:
+            old = self._read(table, entry, [p for p in entry["parts"] if _bucket_of(p["path"]) in anew], with_bucket=True)
+            if others < of["changed"]:
+                rows = rows.unionByName(old.where(~within), allowMissingColumns=True)
+                rest = among(old.where(within), "NOT changed", "left_semi") if others else None
+            else:
+                rest = among(old, "changed", "left_anti")
+            rows = rows if rest is None else rows.unionByName(rest, allowMissingColumns=True)
+        # Where nearly all is written as it comes, each task deals its own rows into the buckets, like those of a first version.
+        parts, highest = self._write(rows, table, name, [_BUCKET], key, gather=bool(others) or 2 * len(anew) < layout["buckets"])
+        return self._replace(table, name, rows, layout, entry, anew, parts, highest, key)
+
+    def add(self, df: DataFrame, table: str, as_of: datetime, owner: str, key: str | None = None, buckets: int | None = None) -> int:
+        """Publish the version before ``as_of`` with the rows of ``df`` beside its own, whoever they belong to; returns its rows.
+
+        Rows that are there are read only in buckets with very many directories.
+        """
+        name, entry = self._attempt(table, as_of), self._newest(table, batch_id(as_of))
+        bucketed, layout = _bucketed(df, owner, entry, buckets)
+        if entry is None:
+            return self._begin(bucketed, table, name, layout, key)
+        earlier = [(p["path"], p["rows"]) for p in entry["parts"]]
+        touched = {r[_BUCKET]: False for r in bucketed.select(_BUCKET).distinct().collect()}
+        if not touched:
+            return self._enter(table, name, StructType.fromJson(json.loads(entry["schema"])), layout, earlier, entry["highest"])
+        anew, rows = _anew(earlier, touched), bucketed
         if anew:
-            old = [p for p in entry["parts"] if _bucket_of(p["path"]) in set(anew)]
-            rest = self._read(table, entry, old, with_bucket=True)
-            kept = rest.join(owners, F.col(owner).eqNullSafe(F.col("__owner")), "left_anti")
-            rows = rows.unionByName(kept, allowMissingColumns=True)
+            old = [p for p in entry["parts"] if _bucket_of(p["path"]) in anew]
+            rows = rows.unionByName(self._read(table, entry, old, with_bucket=True), allowMissingColumns=True)
         parts, highest = self._write(rows, table, name, [_BUCKET], key)
-        parts = [p for p in earlier if _bucket_of(p[0]) not in set(anew)] + parts
+        return self._replace(table, name, rows, layout, entry, anew, parts, highest, key)
+
+    def _begin(self, bucketed: DataFrame, table: str, name: tuple[str, int], layout: dict, key: str | None) -> int:
+        """The first version is all rows there are: each task deals its own into the buckets, none are moved."""
+        parts, highest = self._write(bucketed, table, name, [_BUCKET], key, gather=False)
+        return self._enter(table, name, bucketed.drop(_BUCKET).schema, layout, parts, highest)
+
+    def _replace(self, table, name, rows: DataFrame, layout: dict, entry, anew: set[int], parts, highest: int | None, key) -> int:
+        """Publish an entry's directories with the new ones, in place of those of the buckets written anew."""
+        kept = [(p["path"], p["rows"]) for p in entry["parts"] if _bucket_of(p["path"]) not in anew]
         highest = max(highest or 0, entry["highest"] or 0) if key else None
-        return self._enter(table, name, rows.drop(_BUCKET).schema, layout, parts, highest)
+        return self._enter(table, name, rows.drop(_BUCKET).schema, layout, kept + parts, highest)
 
     def vacuum(self, table: str, keep_versions: int | None = 2) -> int:
         """Remove the directories that none of the newest versions lists, and log rows no more needed; how many directories went.
@@ -257,16 +292,49 @@ def _bucket_of(path: str) -> int:
     return int(path.rsplit("=", 1)[1])
 
 
+def _bucketed(df: DataFrame, owner: str, entry, buckets: int | None) -> tuple[DataFrame, dict]:
+    """Rows with their buckets, and the layout: its number of buckets is the one the table began with."""
+    n = (buckets or BUCKETS) if entry is None else json.loads(entry["layout"])["buckets"]
+    layout = {"partition_by": [_BUCKET], "owner": owner, "buckets": n}
+    return df.withColumn(_BUCKET, F.pmod(F.xxhash64(owner), F.lit(n)).cast("int")), layout
+
+
+def _anew(earlier: Sequence[tuple[str, int]], touched: dict[int, bool]) -> set[int]:
+    """Of the touched buckets those to write anew: they hold known owners that changed, or very many directories."""
+    held: dict[int, int] = {}
+    for place, _ in earlier:
+        held[_bucket_of(place)] = held.get(_bucket_of(place), 0) + 1
+    return {b for b, has_known in touched.items() if has_known or held.get(b, 0) >= MOST_PARTS}
+
+
 def _between(owner: str, low, high, nulls: int) -> Column:
-    """Where an owner of the frame can be: parquet skips row groups outside."""
-    inside = F.lit(False) if low is None else F.col(owner).between(F.lit(low), F.lit(high))
+    """Where an owner of the frame can be, true or false: parquet skips row groups outside."""
+    inside = F.lit(False) if low is None else F.col(owner).isNotNull() & F.col(owner).between(F.lit(low), F.lit(high))
     return inside | F.col(owner).isNull() if nulls else inside
 
 
-def _digests(df: DataFrame, owner: str, columns: Sequence[str], more: Sequence[str] = ()) -> DataFrame:
-    """Per owner a digest of its rows, whatever their order: their number and the sums of two 64-bit hashes of each."""
-    hashes = [F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(38,0)")) for seed in (1, 2)]
-    return df.groupBy(owner, *more).agg(F.struct(F.count(F.lit(1)), *hashes).alias("digest"))
+def _compared(new: DataFrame, old: DataFrame, owner: str, columns: Sequence[str]) -> DataFrame:
+    """Each owner of either side with its bucket (of the new side), whether it ``came``, was ``known``, and ``changed`` as it came.
+
+    Rows are compared whatever their order, by their number and the sums of the four halves of two 64-bit hashes of each: those of
+    the new side less those of the old one. Both sides meet in one aggregate.
+    """
+    halves = [f"__half{i}" for i in range(4)]
+
+    def side(df: DataFrame, bucket: Column, sign: int) -> DataFrame:
+        hashes = [F.xxhash64(F.lit(seed), *columns) for seed in (1, 2)]
+        parts = [part for h in hashes for part in (h.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32))]
+        signed = [(F.lit(sign) * p).alias(n) for p, n in zip(parts, halves, strict=True)]
+        flag = F.lit(1).cast("long")
+        return df.select(owner, bucket.alias(_BUCKET), flag.alias("__new" if sign > 0 else "__old"), *signed)
+
+    both = side(new, F.col(_BUCKET), 1).unionByName(side(old, F.lit(None).cast("int"), -1), allowMissingColumns=True)
+    sums = [F.max(_BUCKET).alias(_BUCKET), F.count("__new").alias("__new"), F.count("__old").alias("__old")]
+    # A sum beyond 64 bits is null and counts as a change.
+    met = both.groupBy(owner).agg(*sums, *[F.try_sum(h).alias(h) for h in halves])
+    same = reduce(and_, [F.coalesce(F.col(h) == 0, F.lit(False)) for h in halves], F.col("__new") == F.col("__old"))
+    came, known = F.col("__new") > 0, F.col("__old") > 0
+    return met.select(owner, _BUCKET, came.alias("came"), known.alias("known"), (came & ~same).alias("changed"))
 
 
 def retained(df: DataFrame, as_of: datetime, days: int, column: str = "dl_process_date") -> DataFrame:
