@@ -22,7 +22,7 @@ from cargoloom.operators.upsert import updatable_columns, upsert
 from cargoloom.plans import dimensions, facts, metrics, warehouse_run
 from cargoloom.plans.landing import each, land, land_increment, landed_mark
 from cargoloom.plans.warehouse_schema import TABLES
-from cargoloom.session import new_work_path
+from cargoloom.session import new_work_path, run_settings
 from cargoloom.sinks.versions import VersionedTables, apply_retention, retained
 from cargoloom.sinks.zones import Zones, with_lineage
 from cargoloom.sources import jdbc
@@ -176,10 +176,12 @@ def fact_shipment_tracking_located(spark, sf):
 
 
 def _instalment_tracking(spark, sf, per_order_fact: bool):
-    orders = _orders_fact(spark, sf, "instalments", stored=False)
-    return facts.fact_shipment_tracking(
-        source(spark, sf, "shipments"), orders, _drivers(spark, sf), AS_OF, ETL_USER, per_order_fact=per_order_fact
-    )
+    # Customers and users grow with the tables: files of theirs that look small are not broadcast.
+    with run_settings(spark):
+        orders = _orders_fact(spark, sf, "instalments", stored=False)
+        return facts.fact_shipment_tracking(
+            source(spark, sf, "shipments"), orders, _drivers(spark, sf), AS_OF, ETL_USER, per_order_fact=per_order_fact
+        )
 
 
 @query

@@ -99,3 +99,42 @@ def test_merge_joins_no_rows_where_all_owners_change(spark, tmp_path, monkeypatc
     assert tables.merge(df.withColumn("v", F.lit("b")), "f", days(1), "owner", "key", ["at"]) == 300
     assert len(plans) == 1 and "Join" not in plans[0]
     assert tables.current("f").where("v = 'b'").count() == 300
+
+
+def test_lookups_of_instalment_facts_are_not_broadcast_by_the_size_of_files(spark, tmp_path, monkeypatch):
+    """Users that take little room in a file, and much in the driver."""
+    from cargoloom.operators import keys
+    from cargoloom.workload.queries import QUERIES
+
+    def save(name, df):
+        df.coalesce(1).write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    at = "timestamp_ntz'1996-01-01 00:00:00'"
+    save("region", spark.sql("SELECT 0 AS r_regionkey, 'R' AS r_name"))
+    save("nation", spark.sql("SELECT 0 AS n_nationkey, 'N' AS n_name, 0 AS n_regionkey"))
+    customers = "id AS c_custkey", "concat('c', id) AS c_name", "0 AS c_nationkey", "1.5D AS c_acctbal", "'m' AS c_mktsegment"
+    save("customer", spark.range(4000).selectExpr(*customers))
+    save("supplier", spark.range(20).selectExpr("id AS s_suppkey", "'s' AS s_name", "0 AS s_nationkey", "1D AS s_acctbal"))
+    orders = "id AS o_orderkey", "id % 4000 AS o_custkey", "'F' AS o_orderstatus", "9D AS o_totalprice", f"{at} AS o_orderdate"
+    save("orders", spark.range(500).selectExpr(*orders, "'1' AS o_orderpriority"))
+    lines = "id % 400 AS l_orderkey", "id AS l_partkey", "id % 20 AS l_suppkey", "CAST(id AS INT) AS l_linenumber", "1D AS l_quantity"
+    more = "2D AS l_extendedprice", "0D AS l_discount", "0D AS l_tax", "'N' AS l_returnflag", "'F' AS l_linestatus"
+    save("lineitem", spark.range(800).selectExpr(*lines, *more, f"{at} AS l_shipdate"))
+    dense, plans = keys.dense_keys, []
+
+    def seen(df, order_by, key, *args, **named):
+        plans.append((key, df._jdf.queryExecution().executedPlan().toString()))
+        return dense(df, order_by, key, *args, **named)
+
+    monkeypatch.setattr(keys, "dense_keys", seen)
+    threshold, factor = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.sources.fileCompressionFactor"
+    before = spark.conf.get(threshold), spark.conf.get(factor)
+    spark.conf.set(threshold, "20000")
+    try:
+        found = QUERIES["fact_shipment_tracking_instalments"](spark, str(tmp_path)).collect()
+        assert spark.conf.get(factor) == before[1]
+    finally:
+        spark.conf.set(threshold, before[0])
+    assert len(found) == 800 and all(r.order_key for r in found)
+    joined = [p for key, p in plans if key == "__start"]
+    assert joined and all("Join [user_id" in p and "BroadcastHashJoin [user_id" not in p for p in joined)
