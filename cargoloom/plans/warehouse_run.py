@@ -57,10 +57,19 @@ def load_fact(tables: VersionedTables, df: DataFrame, table: str, as_of: datetim
 
 def load_keys(tables: VersionedTables, df: DataFrame, table: str, natural: Sequence[str], key: str, as_of: datetime) -> int:
     """Keys given to facts, in a table of their own as facts don't show all that tells them apart. A natural key that does not
-    come with its owner any more keeps its key, should it come back. So rows are only ever added: those of keys above the
-    highest one given before."""
-    fresh = df.select(key, *natural).where(F.col(key) > tables.highest_key(table, as_of))
-    return tables.add(fresh, table, as_of, natural[0], key)
+    come with its owner any more keeps its key, should it come back. So rows are added, those of keys above the highest one given
+    before. Only where a key given before comes several times, all rows of the owners that came are merged."""
+    owner, known, highest = natural[0], tables.before(table, as_of), tables.highest_key(table, as_of)
+    df = df.select(key, *natural)
+    if known is None:
+        return tables.add(df, table, as_of, owner, key)
+    given = df.where(F.col(key) <= highest).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
+    if given.where("__n > 1").isEmpty():
+        return tables.add(df.where(F.col(key) > highest), table, as_of, owner, key)
+    came = df.select(F.col(owner).alias("__owner")).distinct()
+    held = known.join(came, F.col(owner).eqNullSafe(F.col("__owner")), "left_semi")
+    df = df.unionByName(held.join(df.select(key), key, "left_anti"))
+    return tables.merge(df, table, as_of, owner, key)
 
 
 def keys_of(tables: VersionedTables, table: str, as_of: datetime, incoming: DataFrame, owner: str) -> KnownKeys | None:

@@ -71,6 +71,15 @@ def test_keys_are_only_added(spark, rows, tmp_path):
     assert len(tables.directories_of("k")) < 11
 
 
+def test_keys_that_come_several_times_are_all_kept(spark, rows, tmp_path):
+    tables = VersionedTables(spark, str(tmp_path / "w"))
+    schema = "key long, owner long, copy long"
+    load_keys(tables, spark.createDataFrame([(1, 7, 0), (2, 7, 1), (3, 8, 0)], schema), "k", ("owner", "copy"), "key", days(0))
+    later = spark.createDataFrame([(1, 7, 0), (1, 7, 0), (4, 7, 2)], schema)
+    assert load_keys(tables, later, "k", ("owner", "copy"), "key", days(1)) == 5
+    assert rows(tables.current("k")) == [(1, 7, 0), (1, 7, 0), (2, 7, 1), (3, 8, 0), (4, 7, 2)]
+
+
 @pytest.mark.parametrize(
     "change, gone, outside",
     [(lambda i: True, 0, 0), (lambda i: i % 50 != 0, 3, 4), (lambda i: i % 50 == 0, 3, 4), (lambda i: True, 0, 4), (lambda i: True, 2, 0)],
